@@ -62,7 +62,7 @@ def two_sided_p(z: Column | str) -> Column:
     z = F.abs(F.col(z) if isinstance(z, str) else z)
     t = 2.0 / (2.0 + z / math.sqrt(2.0))
     p = t * F.exp(-(z * z) / 2.0 + _horner(ERFC_POLYNOMIAL, 2.0 * t - 1.0))
-    return F.when(~F.isnan(z), F.least(p, F.lit(1.0)))
+    return F.when(z.isNotNull() & ~F.isnan(z), F.least(p, F.lit(1.0)))
 
 
 def two_sided_p_sql(z: str) -> str:
@@ -70,7 +70,7 @@ def two_sided_p_sql(z: str) -> str:
     t = f"(2 / (2 + abs({z}) / {root}))"
     power = f"(-(({z}) * ({z})) / 2 + {_horner_sql(ERFC_POLYNOMIAL, f'(2 * {t} - 1)')})"
     # Some engines raise on exp underflow instead of returning zero.
-    return f"(CASE WHEN {power} < -745 THEN CAST(0 AS DOUBLE) ELSE least(1, {t} * exp({power})) END)"
+    return f"(CASE WHEN {z} IS NULL THEN NULL WHEN {power} < -745 THEN CAST(0 AS DOUBLE) ELSE least(1, {t} * exp({power})) END)"
 
 
 def normal_quantile(p: Column | str) -> Column:
