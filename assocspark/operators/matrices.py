@@ -93,7 +93,7 @@ def vech_pairs(matrix_v: DataFrame) -> DataFrame:
     def decode(p):
         # Column c starts at c*k - c*(c-1)/2; solve for the last column that starts at or before p.
         b = 2.0 * F.col("k") + 1
-        c = F.floor((b - F.sqrt(b * b - 8.0 * F.col(p) + 1e-6)) / 2).cast("bigint")
+        c = F.floor((b - F.sqrt(b * b - 8.0 * F.col(p) - 1e-6)) / 2).cast("bigint")
         start = c * F.col("k") - (c * (c - 1) / 2).cast("bigint")
         return c, c + F.col(p) - start
     rows = matrix_v.join(sizes, "panel_id")

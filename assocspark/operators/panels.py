@@ -326,18 +326,18 @@ def bundle_trait_reasons(bundle: DataFrame, se: DataFrame) -> DataFrame:
     """
     from ..functions import is_finite, list_reasons
     own = bundle.filter(F.col("i") == F.col("j")).groupBy("panel_id", "i").agg(
-        *[F.max(F.when(F.col("matrix") == m, F.col("value"))).alias(m) for m in ("S", "I", "S_Stand")])
+        *[F.max(F.when(F.col("matrix") == m, F.col("value"))).alias(f"own_{m}") for m in ("S", "I", "S_Stand")])
     rows = own.join(se.filter(F.col("i") == F.col("j")).select("panel_id", "i", "h_se"), ["panel_id", "i"], "left")
 
     def positive(c):
         return is_finite(c) & (F.col(c) > 0)
     return rows.withColumns({
         "reason": list_reasons([
-            (~positive("S"), "Non-finite or non-positive heritability"),
+            (~positive("own_S"), "Non-finite or non-positive heritability"),
             (~positive("h_se"), "Non-finite or non-positive heritability SE"),
-            (~positive("I"), "Non-finite or non-positive self intercept"),
-            (~is_finite("S_Stand"), "Non-finite standardized diagonal")]),
-        "diagonal_inconsistent": F.coalesce(F.abs(F.col("S_Stand") - 1) > SYMMETRY_TOLERANCE, F.lit(False))})
+            (~positive("own_I"), "Non-finite or non-positive self intercept"),
+            (~is_finite("own_S_Stand"), "Non-finite standardized diagonal")]),
+        "diagonal_inconsistent": F.coalesce(F.abs(F.col("own_S_Stand") - 1) > SYMMETRY_TOLERANCE, F.lit(False))})
 
 
 def bundle_pair_reasons(bundle: DataFrame, se: DataFrame) -> DataFrame:

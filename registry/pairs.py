@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from assocspark.functions.tails import two_sided_p_sql
 from assocspark.operators import matrices, pairs
 
+from assocspark.session import durable
+
 from . import views as v
 from .views import q6, r6
 
@@ -52,7 +54,8 @@ manifest AS (SELECT trait, trait_order, CASE WHEN trait_order % 2 = 0 THEN 'yes'
 
 def frame(spark, sf, ctes: str, name: str):
     text = f"WITH {ctes} SELECT * FROM {name}".replace("FROM lineitem", f"FROM parquet.`{sf}/lineitem.parquet`")
-    return spark.sql(text)
+    # The pair table is what later steps read many times, as from storage; at most pairs x repeats rows.
+    return durable(spark.sql(text))
 
 
 def dirty(spark, sf):
