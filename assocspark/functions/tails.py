@@ -73,19 +73,27 @@ def two_sided_p_sql(z: str) -> str:
     return f"(CASE WHEN {z} IS NULL THEN NULL WHEN {power} < -745 THEN CAST(0 AS DOUBLE) ELSE least(1, {t} * exp({power})) END)"
 
 
-def normal_quantile(p: Column | str) -> Column:
-    """Inverse of the standard normal distribution function; NULL outside (0,1)."""
+def quantile_parts(p: Column | str) -> tuple[Column, Column]:
+    """The two variables of the approximation: distance from one half, and root of the log tail."""
     p = F.col(p) if isinstance(p, str) else p
     q = p - 0.5
-    centre = 0.180625 - q * q
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(1.0 - p)))
+    return q, F.sqrt(-F.log(F.when(q < 0, p).otherwise(1.0 - p)))
+
+
+def quantile_from_parts(q: Column, r: Column) -> Column:
+    """Quantile from :func:`quantile_parts`; best given stored columns, as each is read some twenty times."""
+    centre, near, far = 0.180625 - q * q, r - 1.6, r - 5.0
     sign = F.when(q < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    near, far = r - 1.6, r - 5.0
-    return (F.when((p > 0) & (p < 1) & (F.abs(q) <= 0.425),
-                   q * _horner(CENTRE_NUMERATOR, centre) / _horner(CENTRE_DENOMINATOR, centre))
-            .when((p > 0) & (p < 1) & (r <= 5.0),
-                  sign * _horner(MIDDLE_NUMERATOR, near) / _horner(MIDDLE_DENOMINATOR, near))
-            .when((p > 0) & (p < 1), sign * _horner(FAR_NUMERATOR, far) / _horner(FAR_DENOMINATOR, far)))
+    inside = F.abs(q) < 0.5
+    return (F.when(inside & (F.abs(q) <= 0.425), q * _horner(CENTRE_NUMERATOR, centre) / _horner(CENTRE_DENOMINATOR, centre))
+            .when((inside | (r > 1.0)) & (r <= 5.0), sign * _horner(MIDDLE_NUMERATOR, near) / _horner(MIDDLE_DENOMINATOR, near))
+            .when(r > 5.0, sign * _horner(FAR_NUMERATOR, far) / _horner(FAR_DENOMINATOR, far)))
+
+
+def normal_quantile(p: Column | str) -> Column:
+    """Inverse of the standard normal distribution function; NULL outside (0,1)."""
+    p = F.col(p) if isinstance(p, str) else p
+    return F.when((p > 0) & (p < 1), quantile_from_parts(*quantile_parts(p)))
 
 
 def normal_quantile_sql(p: str) -> str:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_string, evaluate_once, is_finite, is_missing, list_reasons, normal_quantile, to_double
+from ..functions import clean_string, evaluate_once, is_finite, is_missing, list_reasons, quantile_from_parts, quantile_parts, to_double
 from .ordering import exact_medians
 
 # Spellings of a missing number in munged tables, and of a missing prevalence or N.
@@ -244,9 +244,10 @@ def munge(df: DataFrame, alleles: DataFrame, *, info_min: float | None = 0.9, ma
     unique = rows.groupBy("trait", "SNP").agg(first.alias("r")).select("trait", "SNP", "r.*")
     reference = alleles.select("SNP", F.col("A1").alias("_r1"), F.col("A2").alias("_r2"))
     same = allele_match(F.col("A1"), F.col("A2"), F.col("_r1"), F.col("_r2"))
+    q, r = quantile_parts(F.col("P") / 2)
     matched = evaluate_once(unique.join(reference, "SNP").filter(same).select(
-        "trait", "SNP", "A1", "A2", F.col("N").cast("double").alias("N"), (F.col("P") / 2).alias("half"), "effect"))
-    z = F.when(F.col("effect") < 0, -1.0).otherwise(1.0) * F.abs(normal_quantile("half"))
+        "trait", "SNP", "A1", "A2", F.col("N").cast("double").alias("N"), q.alias("q"), r.alias("r"), "effect"))
+    z = F.when(F.col("effect") < 0, -1.0).otherwise(1.0) * F.abs(quantile_from_parts(F.col("q"), F.col("r")))
     return evaluate_once(matched.select("trait", "SNP", "A1", "A2", "N", z.alias("Z")))
 
 

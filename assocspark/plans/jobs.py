@@ -53,14 +53,18 @@ def regression_variants(raw: DataFrame, metadata: DataFrame, hm3: DataFrame, *,
                                  id_source=id_source, require_info=True)
     named = found.good.withColumn("SNP", vq.variant_id(id_source))
     kept, removed = filters.hm3_select(named, hm3, keys=order)
-    issues = vq.replace_issues(found.issues, removed, ["trait", *order])
-    lost = removed.groupBy("trait").agg(F.count("*").alias("hapmap_removed_rows"))
-    adjusted = issues.filter("QC_action = 'p_adjusted'").groupBy("trait").agg(F.count("*").alias("_adjusted"))
-    summary = (found.summary.join(lost, "trait", "left").join(adjusted, "trait", "left")
-               .withColumn("hapmap_removed_rows", F.coalesce("hapmap_removed_rows", F.lit(0)))
-               .withColumns({"retained_rows": F.col("retained_rows") - F.col("hapmap_removed_rows"),
-                             "removed_rows": F.col("removed_rows") + F.col("hapmap_removed_rows"),
-                             "p_adjusted_rows": F.coalesce("_adjusted", F.lit(0))}).drop("_adjusted"))
+
+    def issues():
+        return vq.replace_issues(found.issues, removed, ["trait", *order])
+
+    def summary():
+        lost = removed.groupBy("trait").agg(F.count("*").alias("hapmap_removed_rows"))
+        adjusted = kept.groupBy("trait").agg(F.count_if(F.col("LP") > vq.lp_ceiling(p_min)).alias("_adjusted"))
+        return (found.summary.join(lost, "trait", "left").join(adjusted, "trait", "left")
+                .withColumn("hapmap_removed_rows", F.coalesce("hapmap_removed_rows", F.lit(0)))
+                .withColumns({"retained_rows": F.col("retained_rows") - F.col("hapmap_removed_rows"),
+                              "removed_rows": F.col("removed_rows") + F.col("hapmap_removed_rows"),
+                              "p_adjusted_rows": F.coalesce("_adjusted", F.lit(0))}).drop("_adjusted"))
     return vq.QcResult(kept, issues, summary)
 
 
@@ -92,7 +96,7 @@ def prepare(raw: DataFrame, manifest: DataFrame, *, order: Sequence[str], mode:
             if bad:
                 raise ValueError(f"{bad[0]['trait']}: {bad[0]['reason']}")
         qc = regression_variants(raw, metadata, hm3, order=order, p_min=p_min, id_source=munge_id_source)
-        table = sinks.munge_input(qc.good.withColumn("coordinate_id", F.col("coordinate_id")), "shared", "vcf_id")
+        table = sinks.munge_input(qc.good, "shared", "vcf_id")
         out.update(regression=table, regression_qc=qc)
         if check:
             _require_rows(table, manifest, "records on the reference SNP list")

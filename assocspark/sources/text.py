@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import evaluate_once
+
 # FORMAT keys of the preparation and extraction scans, and the SNP spellings treated as missing.
 PREPARE_FIELDS = {"AF": "eaf_A1", "ES": "beta", "SE": "se", "LP": "LP", "NEF": "N"}
 EXTRACT_FIELDS = {"EZ": "EZ", "LP": "LP", "AF": "AF", "NEF": "NEF", "SI": "SI", "NC": "NC", "NCO": "NCO"}
@@ -19,33 +21,39 @@ VCF_FIXED = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORM
 ROW_ORDER = ("file_block", "file_row")
 
 
-def format_field(key: str, *, keys: Column | str = "FORMAT", sample: Column | str = "sample") -> Column:
-    """Value of a FORMAT key; NULL if the key is absent, its trailing field is dropped, or it is '.'."""
-    place = F.array_position(F.split(keys, ":"), key).cast("int") - 1
-    value = F.get(F.split(sample, ":"), F.when(place >= 0, place))
+def format_field(key: str, keys: str = "_keys", values: str = "_values") -> Column:
+    """Value of a FORMAT key from the split columns; NULL if absent, dropped at the end of the list, or '.'."""
+    place = F.array_position(keys, key).cast("int") - 1
+    value = F.get(values, F.when(place >= 0, place))
     return F.when(value != ".", value)
 
 
-def info_field(key: str, info: Column | str = "INFO") -> Column:
-    """Text of an INFO key as written (vectors stay comma lists); NULL if absent."""
+def info_field(key: str, info: str = "INFO") -> Column:
+    """Text of an INFO key as written (vectors stay comma lists); NULL if absent or empty."""
     value = F.regexp_extract(info, f"(?:^|;){key}=([^;]*)", 1)
-    return F.when(F.col("INFO").rlike(f"(?:^|;){key}=") if isinstance(info, str) else value != "", value)
+    return F.when(value != "", value)
 
 
 def parse_vcf_lines(lines: DataFrame, fields: dict[str, str], *, info: Sequence[str] = ()) -> DataFrame:
     """Records of ``value`` lines: ``SNP, CHR, POS, A1 (= ALT), A2 (= REF)``, the wanted FORMAT and INFO keys as text.
 
-    Other columns of ``lines`` are kept; header lines are dropped. A '.' becomes NULL.
+    Other columns of ``lines`` are kept; header lines are dropped. A '.' becomes NULL. Lines, keys and values
+    are each split once, whatever the number of fields read.
     """
     kept = [c for c in lines.columns if c != "value"]
-    parts = lines.filter(~F.col("value").startswith("#") & (F.col("value") != "")).withColumn("_p", F.split(F.regexp_replace("value", "\r$", ""), "\t"))
-    named = parts.select(*kept, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(VCF_FIXED)], F.get("_p", F.lit(9)).alias("sample"))
-
-    def dot(name):
-        return F.when(F.col(name) != ".", F.col(name))
-    return named.select(
-        *kept, dot("ID").alias("SNP"), dot("CHROM").alias("CHR"), dot("POS").alias("POS"), dot("ALT").alias("A1"), dot("REF").alias("A2"),
-        *[format_field(key).alias(name) for key, name in fields.items()], *[info_field(key).alias(f"INFO_{key}") for key in info])
+    body = lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
+    parts = evaluate_once(body.select(*kept, F.split(F.rtrim("value", F.lit("\r")), "\t").alias("_p")))
+
+    def at(i):
+        return F.get("_p", F.lit(i))
+
+    def dot(i):
+        return F.when(at(i) != ".", at(i))
+    named = evaluate_once(parts.select(
+        *kept, dot(2).alias("SNP"), dot(0).alias("CHR"), dot(1).alias("POS"), dot(4).alias("A1"), dot(3).alias("A2"),
+        at(7).alias("_info"), F.split(at(8), ":").alias("_keys"), F.split(at(9), ":").alias("_values")))
+    return named.select(*kept, "SNP", "CHR", "POS", "A1", "A2", *[format_field(key).alias(name) for key, name in fields.items()],
+                        *[info_field(key, "_info").alias(f"INFO_{key}") for key in info])
 
 
 def vcf_sample_counts(lines: DataFrame, group: str = "trait") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assocspark.functions.tails import two_sided_p_sql
 from assocspark.operators import alleles, combine, export, ordering
+from assocspark.session import durable
 
 from . import views as v
 from .views import q6, r6
@@ -35,7 +36,7 @@ def combined(spark, sf):
 
 def flagship(spark, sf):
     """Raw records to combined associations that passed QC, in genomic order."""
-    result = combined_rows(spark, sf)
+    result = durable(combined_rows(spark, sf))  # read by the QC and by the export
     issues, _ = combine.combined_qc(result, v.LOADINGS)
     passed = result.join(issues.select("SNPID"), "SNPID", "left_anti")
     return rounded(ordering.sort_by_position(combine.direction_counts(passed), ["SNPID"]))
@@ -59,12 +60,12 @@ def combined_custom(spark, sf):
 
 
 def combined_qc_issues(spark, sf):
-    result = combined_rows(spark, sf, SPARSE_LOADINGS)
+    result = durable(combined_rows(spark, sf, SPARSE_LOADINGS))
     return combine.combined_qc(result, SPARSE_LOADINGS, assoc=v.assoc(spark, sf))[0]
 
 
 def combined_qc_summary(spark, sf):
-    return combine.combined_qc(combined_rows(spark, sf, SPARSE_LOADINGS), SPARSE_LOADINGS)[1]
+    return combine.combined_qc(durable(combined_rows(spark, sf, SPARSE_LOADINGS)), SPARSE_LOADINGS)[1]
 
 
 def direction_counts(spark, sf):

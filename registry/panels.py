@@ -104,8 +104,10 @@ def matrix_assessment(spark, sf):
 
 
 def cti_explore_drop(spark, sf):
-    """Traits 1 and 2 made collinear in the CTI: one of them must go wherever both are present."""
-    broken = panel_matrix(spark, sf, "I").withColumn("value", F.when(F.col("i").isin(1, 2) & F.col("j").isin(1, 2), F.lit(1.0))
+    """Trait 2 made a multiple of trait 1 in the CTI: it must go wherever both are present."""
+    broken = panel_matrix(spark, sf, "I").withColumn("value", F.when((F.col("i") == 2) & (F.col("j") == 2), F.lit(0.25))
+                                                     .when(F.col("i").isin(1, 2) & F.col("j").isin(1, 2) & (F.col("i") != F.col("j")), F.lit(0.5))
+                                                     .when((F.col("i") == 1) & (F.col("j") == 1), F.lit(1.0))
                                                      .when((F.least("i", "j") <= 2) & (F.greatest("i", "j") > 2), F.lit(0.0))
                                                      .when((F.least("i", "j") == 0) & (F.greatest("i", "j") > 0), F.lit(0.0)).otherwise(F.col("value")))
     return panels.cti_explore_drop(broken, panel_matrix(spark, sf), 0.3).select("panel_id", "step", "traits", "PC1_Status", "CTI_Status", "dropped", "outcome")
@@ -205,6 +207,28 @@ def _newpos(a, b):
     return f"CAST({low} * 3 - {low} * ({low} - 1) // 2 + {high} - {low} AS BIGINT)"
 
 
+
+
+def _power(name: str, matrix: str, value: str = "value", rounds: int = 1500) -> str:
+    """Largest eigenvalue and its vector per panel by power iteration, for matrices without negative eigenvalues."""
+    return f"""{name}_it AS (SELECT panel_id, t AS i, CAST(1 AS DOUBLE) + CAST(t AS DOUBLE) / 10 AS x, 0 AS k FROM members UNION ALL
+  SELECT panel_id, i, y / sqrt(sum(y * y) OVER (PARTITION BY panel_id)), k + 1 FROM (SELECT m.panel_id, m.i, sum(({value}) * t.x) AS y, max(t.k) AS k
+  FROM {name}_it t JOIN {matrix} m ON m.panel_id = t.panel_id AND m.j = t.i WHERE t.k < {rounds} GROUP BY 1, 2) z),
+{name}_v AS (SELECT panel_id, i, x * CASE WHEN arg_max(x, abs(x)) OVER (PARTITION BY panel_id) < 0 THEN -1 ELSE 1 END AS x FROM {name}_it WHERE k = {rounds}),
+{name} AS (SELECT m.panel_id, sum(a.x * ({value}) * b.x) AS lambda FROM {matrix} m JOIN {name}_v a ON a.panel_id = m.panel_id AND a.i = m.i JOIN {name}_v b ON b.panel_id = m.panel_id AND b.i = m.j GROUP BY 1)"""
+
+
+_REC = _ALL.replace("WITH ", "WITH RECURSIVE ", 1)
+_SPLIT = "ms AS (SELECT panel_id, i, j, value FROM pc WHERE matrix = 'S_Stand'), mi AS (SELECT panel_id, i, j, value FROM pc WHERE matrix = 'I')"
+_PC1 = f"""{_REC}, {_MEMBERS}, {_PANELCELLS}, {_SPLIT}, {_power('e1', 'ms')},
+ld0 AS (SELECT v.panel_id, v.i, v.x, v.x * sqrt(e.lambda) AS l, e.lambda FROM e1_v v JOIN e1 e ON e.panel_id = v.panel_id),
+ld AS (SELECT *, CASE WHEN median(l) OVER (PARTITION BY panel_id) < 0 THEN -1 ELSE 1 END AS s FROM ld0)"""
+_CTI = f"""{_power('h', 'mi')}, {_power('g', 'mi', 'CASE WHEN m.i = m.j THEN 2 - value ELSE -value END', 4000)},
+ct AS (SELECT h.panel_id, 2 - g.lambda AS low, h.lambda AS high FROM h JOIN g ON g.panel_id = h.panel_id)"""
+_SECOND = f"""md AS (SELECT m.panel_id, m.i, m.j, m.value - e.lambda * a.x * b.x AS value FROM ms m JOIN e1 e ON e.panel_id = m.panel_id JOIN e1_v a ON a.panel_id = m.panel_id AND a.i = m.i
+  JOIN e1_v b ON b.panel_id = m.panel_id AND b.i = m.j), {_power('e2', 'md', rounds=4000)}"""
+_PASS = "'PC1 numerical checks passed'"
+
 QUERIES = {
     "panel_cells": (panel_cells, f"{_ALL}, {_MEMBERS}, {_PANELCELLS} SELECT panel_id, i, j, {q6('value')} AS value FROM pc WHERE matrix = 'S_Stand'"),
     "pair_loadings": (pair_loadings, f"{_ALL}, {_TWO} SELECT panel_id, k AS i, 'PASS' AS qc_status, {q6('sqrt((1 + abs(r)) / 2) * CASE WHEN r < 0 AND k = j THEN -1 ELSE 1 END')} AS loading "
@@ -217,21 +241,32 @@ QUERIES = {
     "pair_contributions": (pair_contributions, f"{_ALL}, {_TWO} SELECT panel_id, unnest([i, j]) AS i, CAST(50 AS DOUBLE) AS contribution_percent, CAST(1 AS INT) AS contribution_rank FROM two"),
     "pair_cti": (pair_cti, f"{_ALL}, {_TWO} SELECT panel_id, 'PASS' AS CTI_Status, true AS CTI_Cholesky_Pass, CAST(0 AS INT) AS CTI_Negative_Eigenvalues, {q6('1 - abs(r)')} AS CTI_Minimum_Eigenvalue, "
                  "round((1 + abs(r)) / (1 - abs(r)), 4) AS CTI_Condition_Number FROM two"),
-    "panel_pca": (panel_pca, None),
+    "panel_pca": (panel_pca, f"{_PC1} SELECT panel_id, i, {q6('x * s')} AS eigenvector, {q6('l * s')} AS loading, CAST(s AS DOUBLE) AS sign_multiplier, 'PASS' AS qc_status, {_PASS} AS qc_reasons FROM ld"),
     "panel_trace": (panel_trace, f"{_ALL}, {_MEMBERS} SELECT panel_id, CAST(count(*) AS DOUBLE) AS eigenvalue_sum, count(*) AS traits, CAST(1 AS DOUBLE) AS unit_length FROM members GROUP BY panel_id"),
     "all_pc_loadings": (all_pc_loadings, f"{_ALL}, {_TWO} SELECT panel_id, i, j, {q6('r')} AS value FROM two UNION ALL SELECT panel_id, j, i, {q6('r')} FROM two "
                         "UNION ALL SELECT panel_id, i, i, 1 FROM two UNION ALL SELECT panel_id, j, j, 1 FROM two"),
-    "pc1_reports": (pc1_reports, None),
-    "cti_assessment": (cti_assessment, None),
-    "matrix_assessment": (matrix_assessment, None),
-    "cti_explore_drop": (cti_explore_drop, None),
-    "selection_sensitivity": (selection_sensitivity, None),
+    "pc1_reports": (pc1_reports, f"{_PC1} SELECT panel_id, count(*) AS Trait_Count, CAST(max(s) AS DOUBLE) AS PC1_Sign_Multiplier, {q6('median(l * s)')} AS PC1_Loading_Median_Used, 'PASS' AS PC1_QC_Status, "
+                    f"{_PASS} AS PC1_QC_Reasons, {q6('max(ld.lambda)')} AS PC1_Eigenvalue, 0 AS Matrix_Negative_Eigenvalue_Count, 0 AS Matrix_Substantive_Negative_Eigenvalue_Count, "
+                    "true AS Matrix_Policy_Allows_Analysis FROM ld GROUP BY panel_id"),
+    "cti_assessment": (cti_assessment, f"{_REC}, {_MEMBERS}, {_PANELCELLS}, {_SPLIT}, {_CTI} SELECT panel_id, 'PASS' AS CTI_Status, {q6('low')} AS CTI_Minimum_Eigenvalue, {q6('high')} AS CTI_Maximum_Eigenvalue, "
+                       f"0 AS CTI_Negative_Eigenvalues, {q6('high / low')} AS CTI_Condition_Number, true AS CTI_Cholesky_Pass, CAST(0 AS DOUBLE) AS CTI_Eigenvalue_Threshold, CAST(1e8 AS DOUBLE) AS CTI_Condition_Limit FROM ct"),
+    "matrix_assessment": (matrix_assessment, f"{_PC1}, {_SECOND} SELECT e1.panel_id, 'PASS' AS PC1_QC_Status, 'PASS' AS CTI_Status, true AS Combination_Matrix_Eligible, "
+                          f"{q6('e1.lambda - e2.lambda')} AS PC1_PC2_Gap FROM e1 JOIN e2 ON e2.panel_id = e1.panel_id"),
+    "cti_explore_drop": (cti_explore_drop, f"{_ALL}, {_MEMBERS}, q AS (SELECT panel_id, count(*) AS k, count(*) FILTER (WHERE t IN (1, 2)) = 2 AS bad FROM members GROUP BY panel_id) "
+                         "SELECT panel_id, 0 AS step, k AS traits, 'PASS' AS PC1_Status, CASE WHEN bad THEN 'SINGULAR_OR_ILL_CONDITIONED' ELSE 'PASS' END AS CTI_Status, CASE WHEN bad THEN 2 END AS dropped, "
+                         "CASE WHEN bad THEN 'CONTINUE' ELSE 'PASS' END AS outcome FROM q UNION ALL SELECT panel_id, 1, k - 1, 'PASS', 'PASS', NULL, 'PASS' FROM q WHERE bad"),
+    "selection_sensitivity": (selection_sensitivity, f"{_PC1}, d0 AS (SELECT b.panel_id, a.l * a.s AS o, b.l * b.s AS r FROM ld a JOIN ld b ON b.i = a.i WHERE a.panel_id = 'all' AND b.panel_id <> 'all'), "
+                              "d1 AS (SELECT panel_id, r * CASE WHEN sum(o * r) OVER (PARTITION BY panel_id) < 0 THEN -1 ELSE 1 END - o AS d FROM d0) "
+                              f"SELECT panel_id, {q6('sqrt(avg(d * d))')} AS loading_rmse, {q6('max(abs(d))')} AS maximum_absolute_change FROM d1 GROUP BY panel_id"),
     "selected_traits": (selected_traits, None),
     "bundle_trait_reasons": (bundle_trait_reasons, f"{_ALL}, {_MEMBERS} SELECT panel_id, t AS i, CASE WHEN t = 6 THEN 'Non-finite or non-positive heritability' ELSE '' END AS reason, false AS diagonal_inconsistent FROM members"),
     "bundle_pair_reasons": (bundle_pair_reasons, f"{_ALL}, {_MEMBERS} SELECT a.panel_id, a.t AS pair_i, b.t AS pair_j, concat_ws('; ', CASE WHEN a.t = 2 AND b.t IN (4, 5) THEN 'Missing/non-finite I pair estimate' END, "
                             "CASE WHEN a.t + b.t = 13 THEN 'Non-finite or non-positive rg SE' END) AS reason FROM members a JOIN members b ON b.panel_id = a.panel_id AND a.t < b.t"),
     "bundle_consistency": (bundle_consistency, f"{_ALL}, {_MEMBERS} SELECT DISTINCT panel_id, true AS consistent, CAST(0 AS DOUBLE) AS maximum_error FROM members"),
-    "bundle_removals": (bundle_removals, None),
+    "bundle_removals": (bundle_removals, f"{_ALL}, {_MEMBERS}, h AS (SELECT panel_id, bool_or(t = 6) AS six, bool_or(t = 2) AS two, bool_or(t = 4) AS four, bool_or(t = 5) AS five FROM members GROUP BY panel_id) "
+                        "SELECT panel_id, 1 AS step, 'warning' AS Severity, 6 AS trait_order, 'Non-finite or non-positive heritability' AS Reason, 'removed' AS Action FROM h WHERE six UNION ALL "
+                        "SELECT panel_id, 1 + six::INT, 'warning', 2, 'Removed to resolve invalid pairs: ' || concat_ws('; ', CASE WHEN four THEN '2: 4: Missing/non-finite I pair estimate' END, "
+                        "CASE WHEN five THEN '2: 5: Missing/non-finite I pair estimate' END), 'removed' FROM h WHERE two AND (four OR five)"),
     "vech_subset": (vech_subset, f"WITH {pq._STATS}, {_VPOS} SELECT 'all' AS panel_id, {_newpos('al', 'ah')} AS pair_a, {_newpos('bl', 'bh')} AS pair_b, {q6('value')} AS value FROM vv "
                     "WHERE al IN (2, 5, 7) AND ah IN (2, 5, 7) AND bl IN (2, 5, 7) AND bh IN (2, 5, 7)"),
     "vech_errors": (vech_errors, f"WITH {pq._STATS}, {_VPOS} SELECT 'all' AS panel_id, al AS i, ah AS j, CASE WHEN value >= 0 THEN {q6('sqrt(value)')} END AS se FROM vv WHERE pa = pb "
