@@ -24,6 +24,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a scan over all cores if it has fewer partitions than cores, else leave it alone.
+
+    Few large unsplittable inputs (gzip files, single row groups) would otherwise run the row work of a
+    whole job in a few tasks. A scan that already fills the cluster is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_session(cores: int | str = 8, *, app: str = "assocspark", shuffle_partitions: int | None = None,
                   memory: str = "12g") -> SparkSession:
     """Session for tests and the benchmark; cluster jobs bring their own."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import evaluate_once
+from ..session import spread
 
 # FORMAT keys of the preparation and extraction scans, and the SNP spellings treated as missing.
 PREPARE_FIELDS = {"AF": "eaf_A1", "ES": "beta", "SE": "se", "LP": "LP", "NEF": "N"}
@@ -80,14 +81,15 @@ def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 def read_gwas_vcf(spark: SparkSession, paths: dict[str, str], fields: dict[str, str] | None = None, *, info: Sequence[str] = ()) -> DataFrame:
     """Long table of the records of one single-sample variant file per trait (plain or gzip); runs one header job.
 
-    A gzip file is read by one task: store the parsed table once and work from that.
+    A gzip file is read by one task, so few files are spread over the cores before they are parsed. Store the
+    parsed table once and work from that.
     """
     lines = read_lines(spark, paths)
     counts = {r["trait"]: r["samples"] for r in vcf_sample_counts(lines).collect()}  # one row per trait
     bad = {t: counts.get(t, 0) for t in paths if counts.get(t, 0) != 1}
     if bad:
         raise ValueError(f"expected exactly one sample per file; found {bad}")
-    return parse_vcf_lines(lines, fields or PREPARE_FIELDS, info=info)
+    return parse_vcf_lines(spread(lines, "trait", "file_row"), fields or PREPARE_FIELDS, info=info)
 
 
 def first_line(spark: SparkSession, path: str) -> str:

@@ -23,7 +23,7 @@ ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_
 
 
 def vcf_scan(spark, sf):
-    lines = v.table(spark, sf, "lineitem").selectExpr(*ROW, f"{LINE} AS value")
+    lines = v.lineitem(spark, sf).selectExpr(*ROW, f"{LINE} AS value")
     return text.parse_vcf_lines(lines, {"LP": "LP", "ES": "beta", "NEF": "N", "SI": "INFO"}, info=("AF", "EUR", "DP"))
 
 

@@ -65,7 +65,7 @@ def region_excluded(spark, sf):
 
 def extraction(spark, sf):
     """Frequencies as INFO text, some missing, some vectors with a missing element."""
-    return v.table(spark, sf, "lineitem").selectExpr(*v.exprs({**v.RAW, **AF}), *ORDER)
+    return v.lineitem(spark, sf).selectExpr(*v.exprs({**v.RAW, **AF}), *ORDER)
 
 
 AF = {
@@ -110,7 +110,7 @@ def maf_folded(spark, sf):
 
 def munged(spark, sf):
     """Text table with the missing spellings a munged file may hold, and some very large Z."""
-    return v.table(spark, sf, "lineitem").selectExpr(*v.exprs(MUNGED), *ORDER)
+    return v.lineitem(spark, sf).selectExpr(*v.exprs(MUNGED), *ORDER)
 
 
 MUNGED = {

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assocspark.operators import variant_qc as vq
+from assocspark.session import spread
 
 TRAITS = 8
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -57,8 +58,12 @@ def exprs(columns: dict[str, str]) -> list[str]:
     return [f"{e.replace('VARCHAR(10)', 'STRING').replace('VARCHAR(20)', 'STRING')} AS {n}" for n, e in columns.items()]
 
 
+def lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "lineitem").select(*ORDER), "l_orderkey", "l_linenumber", "l_partkey")
+
+
 def raw(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").selectExpr(*exprs(RAW), *ORDER)
+    return lineitem(spark, sf).selectExpr(*exprs(RAW), *ORDER)
 
 
 def hm3(spark: SparkSession, sf: str) -> DataFrame:
