@@ -1,6 +1,7 @@
 """Queries over scans and sinks: variant lines, layouts, completeness, fingerprints, incremental planning."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assocspark.operators import matrices, provenance
@@ -79,8 +80,7 @@ def bundle_sizes(spark, sf):
     parts = [matrices.subset_panels(cells(spark, sf, m).withColumn("matrix", F.lit(n)), members(spark, sf)) for m, n in (("S_Stand", "S"), ("I", "I"))]
     rows = parts[0].unionByName(parts[1]).filter("NOT (matrix = 'I' AND i = 3 AND j = 4)").select("panel_id", "matrix", "i", "j", "value")
     # Positions within the panel, as a stored bundle has them.
-    place = members(spark, sf).join(members(spark, sf).select("panel_id", F.col("trait_order").alias("other")), "panel_id").groupBy("panel_id", "trait_order").agg(
-        F.count_if(F.col("other") < F.col("trait_order")).alias("k"))
+    place = members(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("panel_id").orderBy("trait_order")) - 1)
     for c in ("i", "j"):
         rows = rows.join(place.select("panel_id", F.col("trait_order").alias(c), F.col("k").alias(f"n_{c}")), ["panel_id", c])
     rows = rows.select("panel_id", "matrix", F.col("n_i").alias("i"), F.col("n_j").alias("j"), "value")
