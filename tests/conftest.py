@@ -11,7 +11,7 @@ from assocspark.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, app="tests", memory="6g")
+    session = local_session(8, app="tests", shuffle_partitions=4, memory="6g")
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     yield session
