@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import packing, text, token_files
+from . import linededup, minhash, packing, text, token_files
 
 
 def _table(spark, sf, name):
@@ -14,17 +14,27 @@ def _bpe():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_minhash(spark, sf):
+    return minhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op4_token_files(spark, sf):
     path = text.work_folder(spark)
     token_files.write_token_files(_table(spark, sf, "documents"), path, _bpe(), end_id=2)
     return token_files.read_token_files(spark, path, ids=False)
 
 
+def op8_line_dedup(spark, sf):
+    return linededup.removed_runs(_table(spark, sf, "documents"))
+
+
 def op9_packing(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"), _bpe(), capacity=2048, end_id=0)
 
 
 QUERIES = {
+    "op3_minhash": (op3_minhash, None),
     "op4_token_files": (op4_token_files, None),
+    "op8_line_dedup": (op8_line_dedup, None),
     "op9_packing": (op9_packing, None),
 }
