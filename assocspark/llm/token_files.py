@@ -172,7 +172,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, end_id: int
                     made.append(close())
                 a = b
 
-        for _ in in_steps(work)(batches):
+        for _ in in_steps(work, chars=2_000_000)(batches):
             pass  # work only fills ``made``
         if doc_ids:
             made.append(close())

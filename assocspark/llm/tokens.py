@@ -16,7 +16,7 @@ import pyarrow as pa
 from .text import expand, words
 
 #: Entries in each of the two generations of a worker's chunk cache.
-CACHE = 400_000
+CACHE = 120_000
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile(f"[!-~{_LETTERS}]*")
 #: Fixed: the tokenizer file's split pattern, for the characters of _PLAIN.
