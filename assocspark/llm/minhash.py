@@ -65,7 +65,7 @@ def signatures(strip: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         best = np.full(len(todo) * K, none)
         rank, throw = np.zeros(len(live)), 0
         while len(live):
-            dart = mix(live + np.uint64(throw) * _GOLD)
+            dart = mix(live + np.uint64(throw * int(_GOLD) % (1 << 64)))
             rank = rank - np.log(((dart >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53)
             hit = rank < limit[doc]
             live, doc, rank, dart = live[hit], doc[hit], rank[hit], mix(dart[hit])

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import linededup, minhash, packing, text, token_files
+from . import decontam, langid, licenses, linededup, minhash, packing, text, token_files, toxicity, trie_tokens, vectors
 
 
 def _table(spark, sf, name):
@@ -14,6 +14,22 @@ def _bpe():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_trie_counts(spark, sf):
+    return trie_tokens.token_counts(_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_nearest(spark, sf):
+    return vectors.nearest(_table(spark, sf, "embeddings"), "vec_id % 20 = 0", 20)
+
+
+OP2_SQL = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     s AS (SELECT q.vec_id AS query_id, b.vec_id, list_inner_product(q.v, b.v) AS score FROM e q JOIN e b ON q.vec_id <> b.vec_id AND len(q.v) = len(b.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 def op3_minhash(spark, sf):
     return minhash.near_duplicates(_table(spark, sf, "documents"))
 
@@ -24,6 +40,18 @@ def op4_token_files(spark, sf):
     return token_files.read_token_files(spark, path, ids=False)
 
 
+def op5_licenses(spark, sf):
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
+def op6_toxicity(spark, sf):
+    return toxicity.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op7_language(spark, sf):
+    return langid.identify(_table(spark, sf, "documents"))
+
+
 def op8_line_dedup(spark, sf):
     return linededup.removed_runs(_table(spark, sf, "documents"))
 
@@ -32,9 +60,19 @@ def op9_packing(spark, sf):
     return packing.pack_documents(_table(spark, sf, "documents"), _bpe(), capacity=2048, end_id=0)
 
 
+def op10_decontaminate(spark, sf):
+    return decontam.find_items(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 QUERIES = {
+    "op1_trie_counts": (op1_trie_counts, None),
+    "op2_nearest": (op2_nearest, OP2_SQL),
     "op3_minhash": (op3_minhash, None),
     "op4_token_files": (op4_token_files, None),
+    "op5_licenses": (op5_licenses, None),
+    "op6_toxicity": (op6_toxicity, None),
+    "op7_language": (op7_language, None),
     "op8_line_dedup": (op8_line_dedup, None),
     "op9_packing": (op9_packing, None),
+    "op10_decontaminate": (op10_decontaminate, None),
 }
