@@ -19,7 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import expand, id_text, in_steps
+from .graph import only_ids
+from .text import expand, id_text, in_steps, stage
 
 Q = 8
 #: Items with fewer characters take no part: too little to tell them from chance.
@@ -201,3 +202,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
         found = rows.mapInArrow(in_steps(work, chars=2_000_000), FOUND)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], FOUND)
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that hold no benchmark item; rows without a doc_id stay."""
+    held = stage(find_items(docs, benchmark, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col).where("doc_id IS NOT NULL").select("doc_id").distinct())
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    keyed = docs.toDF(*names).withColumn("doc_id", F.col(names[docs.columns.index(id_col)]).cast("long"))
+    return only_ids(keyed, held, "left_anti").select(*names).toDF(*docs.columns)

@@ -151,9 +151,11 @@ def removed_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return cleaned.select("doc_id", F.crc32(F.encode("text", "UTF-8")).alias("kept_crc32"), F.explode("removed").alias("run")).select("doc_id", "run.*", "kept_crc32")
 
 
-def remove_later_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_later_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
     """``docs`` with every later run cut out of its text; all other columns and rows stay as they are.
 
+    With ``drop_emptied``, documents of which nothing but white space is left go; those that were blank before stay.
+
     Null and empty texts, texts under 40 words and rows without a doc_id are returned unchanged. Rows that share a doc_id and a text are one
     occurrence; a run that a shared doc_id has in one of its texts only is cut only there.
     """
@@ -166,5 +168,7 @@ def remove_later_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rest = [c for c in names if c != body]
     schema = ", ".join(f"{c} {plain.schema[c].dataType.simpleString()}" for c in rest)
     cut = hit.select(*rest, F.col("text").cast("string").alias("text"), "runs").mapInArrow(in_steps(_clean), f"{schema}, text string, removed {_REMOVED}")
+    if drop_emptied:
+        cut = cut.where("size(removed) = 0 OR text RLIKE '[^ \\t\\n\\r\\x0b\\f]'")
     same = only_ids(keyed, runs.select("doc_id"), "left_anti").select(*names)
     return same.unionByName(cut.withColumnRenamed("text", body).select(*names)).toDF(*docs.columns)

@@ -184,3 +184,18 @@ def _apart(bucket: DataFrame, centre: DataFrame, labels: DataFrame, content: Dat
     dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component")
     full = dealt.join(content.select(F.col("doc_id").alias("node"), "strips"), "node")
     return stage(full.groupBy("band", "i", "j").applyInPandas(_compare, "a long, b long"))
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose doc_id is that of their class, one row per doc_id; rows without a doc_id stay."""
+    classes = stage(near_duplicates(docs, id_col=id_col, text_col=text_col))
+    later = stage(classes.where("doc_id <> class_id").select("doc_id").distinct())
+    twice = stage(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    keyed = docs.toDF(*names).withColumn("doc_id", F.col(names[docs.columns.index(id_col)]).cast("long"))
+    kept = only_ids(keyed, later, "left_anti")
+    if not twice.isEmpty():
+        body = names[docs.columns.index(text_col)]
+        single = only_ids(kept.where("doc_id IS NOT NULL"), twice).groupBy("doc_id").agg(F.min_by(F.struct(*names), F.struct(body, F.xxhash64(*names))).alias("row"))
+        kept = only_ids(kept, twice, "left_anti").select(*names).unionByName(single.select("row.*"))
+    return kept.select(*names).toDF(*docs.columns)

@@ -201,3 +201,17 @@ def classify(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
     model = train(docs, labels, **names)
     return score(docs, model, **{k: v for k, v in names.items() if k in ("id_col", "text_col")}).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose score is under ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    body = names[docs.columns.index(text_col)]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        value, _, _ = tag(shared.value, batch.column(body))
+        return batch.filter(pa.array(value < least))
+
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(in_steps(work, body, chars=2_000_000), plain.schema).toDF(*docs.columns)
