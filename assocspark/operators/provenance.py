@@ -6,21 +6,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEX_DIGITS = 15  # 60 bits of each row's SHA-256
+WORDS = 4  # of 64 bits: a whole SHA-256
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """60-bit number from the SHA-256 of a row; NULL and '' differ, and column borders are kept."""
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """The SHA-256 of a row as four 64-bit numbers; NULL and '' differ, and column borders are kept."""
     text = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns])
-    return F.conv(F.substring(F.sha2(text, 256), 1, HEX_DIGITS), 16, 10).cast("decimal(20,0)")
+    return [F.conv(F.substring(F.sha2(text, 256), 16 * k + 1, 16), 16, 10).cast("decimal(20,0)") for k in range(WORDS)]
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str], *, group: Sequence[str] = ("trait",)) -> DataFrame:
-    """Rows and digest sum per group: equal for equal contents in any order, and computed by partial sums.
+    """Rows and sums of the digest's words per group: equal for equal contents in any order, and computed by partial sums.
 
     Include a rank column (see ``global_rank``) among ``columns`` to make the fingerprint order-aware.
     """
-    return df.groupBy(*group).agg(F.count("*").alias("rows"), F.sum(row_digest(columns)).cast("string").alias("fingerprint"))
+    sums = F.concat_ws("-", *[F.sum(word).cast("string") for word in row_digest(columns)])
+    return df.groupBy(*group).agg(F.count("*").alias("rows"), sums.alias("fingerprint"))
 
 
 def pairs_to_compute(plan: DataFrame, completed: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_finite, safe_div, two_sided_p
@@ -39,31 +39,40 @@ class TraitVectors:
     chunks: int
 
 
+def oriented_alleles(a1: str, a2: str) -> tuple[Column, Column]:
+    """Name of an allele pair that is equal on both strands and in both orders, and the sign that turns an effect of ``a1`` to it.
+
+    Alleles other than single bases have no strand here.
+    """
+    def ordered(x, y):
+        return F.concat(F.least(x, y), F.lit("/"), F.greatest(x, y)), F.when(x <= y, F.lit(1.0)).otherwise(F.lit(-1.0))
+
+    first, second = F.col(a1), F.col(a2)
+    here, sign = ordered(first, second)
+    there, other = ordered(F.translate(first, "ACGT", "TGCA"), F.translate(second, "ACGT", "TGCA"))
+    flipped = F.concat(first, second).rlike("^[ACGT]{2}$") & (there < here)
+    return F.when(flipped, there).otherwise(here), F.when(flipped, other).otherwise(sign)
+
+
 def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, traits: int, *, chunk_rows: int = 20_000) -> TraitVectors:
     """Join Z and N of all traits with LD scores and weights. (trait, SNP) must be unique.
 
-    ``sumstats``: ``trait_order, SNP, A1, A2, N, Z``; rows without finite Z and N are left out, as are alleles that
-    match neither orientation of the SNP's first trait; swapped alleles change the sign of Z. ``ldscores``:
-    ``SNP, CHR, BP, L2``; ``weights``: ``SNP, L2``.
+    ``sumstats``: ``trait_order, SNP, A1, A2, N, Z``; rows without finite Z and N are left out. Records of a SNP meet if their
+    alleles are the same on either strand; Z is turned to one orientation. Records with other alleles stand in a row of their own, so
+    they take nothing from the others. ``ldscores``: ``SNP, CHR, BP, L2``; ``weights``: ``SNP, L2``.
     """
     if not 0 < traits <= MAX_TRAITS:
         raise ValueError(f"between 1 and {MAX_TRAITS} traits can be regressed together")
-    usable = sumstats.filter(is_finite("Z") & is_finite("N") & (F.col("N") > 0))
-    record = F.struct("trait_order", "A1", "A2", F.col("N").cast("double").alias("N"), F.col("Z").cast("double").alias("Z"))
-    grouped = usable.groupBy("SNP").agg(F.array_sort(F.collect_list(record)).alias("r"))
-    first = F.get("r", F.lit(0))
-
-    def sign(x):
-        return (F.when((x.A1 == first.A1) & (x.A2 == first.A2), F.lit(1.0))
-                .when((x.A1 == first.A2) & (x.A2 == first.A1), F.lit(-1.0)))
+    alleles, sign = oriented_alleles("A1", "A2")
+    usable = sumstats.filter(is_finite("Z") & is_finite("N") & (F.col("N") > 0)).select(
+        "SNP", alleles.alias("alleles"), F.struct("trait_order", F.col("N").cast("double").alias("N"), (F.col("Z").cast("double") * sign).alias("Z")).alias("record"))
+    grouped = usable.groupBy("SNP", "alleles").agg(F.array_sort(F.collect_list("record")).alias("r"))
     panel = ldscores.select("SNP", "CHR", "BP", F.col("L2").cast("double").alias("l2")).join(
         weights.select("SNP", F.col("L2").cast("double").alias("wl")), "SNP")
     rows = grouped.join(panel, "SNP").select(
-        "SNP", "CHR", "BP", "l2", "wl", F.filter("r", lambda x: sign(x).isNotNull()).alias("r"),
-        F.transform(F.filter("r", lambda x: sign(x).isNotNull()), lambda x: x.Z * sign(x)).alias("z")).select(
-        "SNP", "CHR", "BP", "l2", "wl", F.transform("r", lambda x: x.trait_order).alias("t"),
-        F.transform("r", lambda x: x.N).alias("n"), "z")
-    ranked = global_rank(rows, ["CHR", "BP", "SNP"], rank="position")
+        "SNP", "alleles", "CHR", "BP", "l2", "wl", F.transform("r", lambda x: x.trait_order).alias("t"),
+        F.transform("r", lambda x: x.N).alias("n"), F.transform("r", lambda x: x.Z).alias("z"))
+    ranked = global_rank(rows, ["CHR", "BP", "SNP", "alleles"], rank="position")
     placed = durable(ranked.withColumn("chunk", F.expr(f"cast(position div {int(chunk_rows)} as int)")).select(
         "chunk", "position", "l2", "wl", "t", "n", "z").repartition("chunk").sortWithinPartitions("chunk", "position"))
     last = placed.agg(F.max("chunk")).first()[0]
@@ -210,7 +219,7 @@ def _block_moments(vectors: TraitVectors, models: dict[str, Model], fits: dict[s
     """Final weighted sums per model, pair and jackknife block.
 
     The block of a SNP follows from its rank among the pair's shared SNPs: the count before its chunk plus
-    its position within. Pairs with fewer SNPs than blocks get no sums.
+    its position within. A pair with fewer SNPs than blocks has a block for each SNP.
     """
     traits = vectors.traits
     total = counts[-1]
@@ -225,8 +234,9 @@ def _block_moments(vectors: TraitVectors, models: dict[str, Model], fits: dict[s
             both = s["both"]
             rank = seen + both.cumsum(0) - 1
             seen = seen + both.sum(0)
-            block = np.minimum(((rank + 1) * blocks - 1) // np.maximum(total, 1), blocks - 1)
-            row, pair = np.nonzero(both & (total >= blocks))
+            own = np.minimum(blocks, total)
+            block = np.minimum(((rank + 1) * own - 1) // np.maximum(total, 1), blocks - 1)
+            row, pair = np.nonzero(both)
             key = pair * blocks + block[row, pair]
             keys, member = np.unique(key, return_inverse=True)
             for name, model in models.items():
@@ -274,6 +284,8 @@ def jackknife_se(deleted: str, blocks: str = "blocks"):
 def pair_regressions(vectors: TraitVectors, m: float, *, n_blocks: int = N_BLOCKS) -> DataFrame:
     """One row per unordered pair with ``i <= j``: heritabilities, covariance, correlation, errors, intercepts.
 
+    Every pair has a row: ``snps`` counts its shared SNPs, and where they are fewer than the blocks ``reason`` says so; what cannot be
+    estimated from them is NULL.
     ``m`` is the number of reference SNPs behind the LD scores. Runs the coefficient passes and the block sums; the jackknife
     over those sums stays a lazy DataFrame.
     """
@@ -293,11 +305,15 @@ def pair_regressions(vectors: TraitVectors, m: float, *, n_blocks: int = N_BLOCK
     joint = {"gcov": _covariance_model(m, *own)}
     fits.update(_reweight(vectors, joint, {"gcov": start["gcov"]}, m))
     second = durable(_block_moments(vectors, joint, fits, counts, n_blocks))
-    return summarise_pairs(first.unionByName(second), vectors, {name: fit[2] for name, fit in fits.items()}, m)
+    found = summarise_pairs(first.unionByName(second), vectors, {name: fit[2] for name, fit in fits.items()}, m)
+    i, j = _pairs(vectors.traits)
+    asked = vectors.table.sparkSession.createDataFrame(list(zip(i.tolist(), j.tolist(), counts[-1].tolist(), strict=True)), "i int, j int, snps long")
+    reason = F.when(F.col("snps") == 0, "no shared SNPs").when(F.col("snps") < n_blocks, "fewer shared SNPs than blocks")
+    return asked.join(found, ["i", "j"], "left").withColumn("reason", reason)
 
 
 def summarise_pairs(moments: DataFrame, vectors: TraitVectors, scales: dict[str, np.ndarray], m: float) -> DataFrame:
-    """Jackknife of the block sums as column arithmetic: one row per pair."""
+    """Jackknife of the block sums as column arithmetic: one row per pair with sums. Estimates that are not numbers become NULL."""
     i, j = _pairs(vectors.traits)
     spark = moments.sparkSession
     factors = spark.createDataFrame(
@@ -322,7 +338,8 @@ def summarise_pairs(moments: DataFrame, vectors: TraitVectors, scales: dict[str,
         F.max("gcov_slope").alias("gcov_native_obs"), jackknife_se("gcov_d_slope").alias("gcov_se"),
         F.max("gcov_intercept").alias("gcov_int"), jackknife_se("gcov_d_intercept").alias("gcov_int_se"))
     z = F.when((F.col("se") == 0) & (F.col("rg") != 0), F.signum("rg") * float("inf")).otherwise(safe_div("rg", "se"))
-    return out.withColumn("z", z).withColumn("p", two_sided_p("z"))
+    numbers = {c: F.when(~F.isnan(c), F.col(c)) for c, t in out.dtypes if t == "double"}
+    return out.withColumns(numbers).withColumn("z", z).withColumn("p", two_sided_p("z"))
 
 
 def liability_factor(sample: str = "sample_prevalence", population: str = "population_prevalence"):

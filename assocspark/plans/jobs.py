@@ -125,7 +125,11 @@ def extract(records: DataFrame, manifest: DataFrame, *, settings: filters.Varian
     kept = filters.info_maf_filter(filters.af_difference_filter(rows, settings.max_af_difference), settings.info_min, settings.maf_min)
     if settings.remove_palindrome:
         kept = filters.palindrome_filter(kept, settings.pal_lower, settings.pal_upper, ref="A2", alt="A1")
-    metadata = filters.resolve_sample_metadata(manifest.withColumn("N", F.lit("1"))).select("trait", "sample_prevalence", "population_prevalence")
+    resolved = filters.resolve_sample_metadata(manifest.withColumn("N", F.lit("1")))
+    impossible = resolved.filter(F.col("reason").contains("strictly between 0 and 1")).take(1)  # a missing sample prevalence is inferred below
+    if impossible:
+        raise ValueError(f"{impossible[0]['trait']}: {impossible[0]['reason']}")
+    metadata = resolved.select("trait", "sample_prevalence", "population_prevalence")
     joined = kept.join(metadata, "trait")
     binary = F.col("population_prevalence").isNotNull()
     n = F.when(binary, F.col("NC") + F.col("NCO")).otherwise(F.col("NEF")) if "NC" in kept.columns else F.col("NEF")
@@ -145,13 +149,20 @@ def extract(records: DataFrame, manifest: DataFrame, *, settings: filters.Varian
 
 # --- regression ----------------------------------------------------------------------------------
 
-def chisq_filtered(munged: DataFrame, cutoff: float | str, *, reference: DataFrame | None = None, weights: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fixed or automatic chi-square filter, checked: (kept, excluded, summary)."""
+def chisq_filtered(munged: DataFrame, cutoff: float | str, *, reference: DataFrame | None = None, weights: DataFrame | None = None,
+                   keys: Sequence[str] = ("trait", "trait_order", "file_block", "file_row", "row_id")) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fixed or automatic chi-square filter, checked: (kept, excluded, summary).
+
+    A row sets its trait's automatic cutoff only if all its columns but ``keys`` are filled in. The summary names the mode and, in the
+    automatic one, the largest matched N and the number of complete matched rows.
+    """
+    mode, limits = "fixed", None
     if cutoff == "auto":
+        mode = "auto"
         if reference is None:
             raise ValueError("the automatic cutoff needs LD-score reference SNPs")
         matched = filters.matched_snps(reference, reference if weights is None else weights)
-        limits = durable(filters.auto_chisq_cutoff(munged, matched, [c for c in ("SNP", "A1", "A2", "N", "Z") if c in munged.columns]))
+        limits = durable(filters.auto_chisq_cutoff(munged, matched, [c for c in munged.columns if c not in keys]))
         bad = limits.filter("invalid_n > 0").take(1)
         if bad:
             raise ValueError(f"{bad[0]['trait']}: matched N must be finite and positive")
@@ -161,7 +172,10 @@ def chisq_filtered(munged: DataFrame, cutoff: float | str, *, reference: DataFra
         cutoff = limits
     kept, excluded, summary = filters.chisq_filter(munged, cutoff)
     filters.check_chisq_summary(summary)
-    return kept, excluded, summary
+    summary = summary.withColumn("threshold_mode", F.lit(mode))
+    if limits is not None:
+        return kept, excluded, summary.join(limits.select("trait", "maximum_matched_n", "complete_ld_matched_rows"), "trait", "left")
+    return kept, excluded, summary.withColumns({"maximum_matched_n": F.lit(None).cast("double"), "complete_ld_matched_rows": F.lit(None).cast("long")})
 
 
 def regress_pairs(munged: DataFrame, manifest: DataFrame, ldscores: DataFrame, weights: DataFrame, m: float, *, n_blocks: int = regression.N_BLOCKS) -> DataFrame:
@@ -344,7 +358,7 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
         traits = traits.join(excluded.select("trait_order"), "trait_order", "left_anti")
         own = own.join(traits.select("trait"), "trait", "left_semi")
         rows = durable(pairs.index_pairs(pairs.restrict(scaled, traits), traits))
-    positions = [r[0] for r in traits.select("trait_order").orderBy("trait_order").limit(MAX_PANEL_TRAITS + 1).collect()]
+    positions = [r[0] for r in traits.select("trait_order").orderBy("trait_order").collect()]
     if len(positions) < 2:
         raise EstimationFailure("fewer than two traits remain", **reports)
     collapsed = durable(pairs.collapse_pairs(rows))

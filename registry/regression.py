@@ -32,6 +32,29 @@ def ld_regression(spark, sf):
     return estimates(spark, sf).select("i", "j", *[F.round(c, 5).alias(c) for c in VALUES])
 
 
+#: Records put on the other strand, and records of the first trait given alleles that no other trait has.
+COMPLEMENTED = "trait_order % 2 = 1 AND pmod(CAST(substring(SNP, 3) AS BIGINT), 3) = 0"
+FOREIGN = "trait_order = 0 AND pmod(CAST(substring(SNP, 3) AS BIGINT), 5) = 0"
+
+
+def regression_strand(spark, sf):
+    """Half of the traits on the other strand at every third SNP, and a first trait with foreign alleles at every fifth."""
+    rows = sumstats(spark, sf)
+    turned = rows.withColumns({c: F.when(F.expr(COMPLEMENTED), F.translate(c, "ACGT", "TGCA")).otherwise(F.col(c)) for c in ("A1", "A2")})
+    foreign = turned.withColumns({c: F.when(F.expr(FOREIGN), F.concat(c, F.lit("A"))).otherwise(F.col(c)) for c in ("A1", "A2")})
+    ld = v.ldscore(spark, sf)
+    vectors = regression.snp_vectors(foreign, ld, v.ldweights(spark, sf), v.TRAITS, chunk_rows=500)
+    return regression.pair_regressions(vectors, ld.count(), n_blocks=BLOCKS).select("i", "j", "snps", *[F.round(c, 5).alias(c) for c in VALUES])
+
+
+def regression_small_pairs(spark, sf):
+    """Every pair has a row, with more blocks asked for than some pairs have SNPs, and one trait without any."""
+    rows = sumstats(spark, sf).where("trait_order <> 7 AND (trait_order <> 6 OR pmod(CAST(substring(SNP, 3) AS BIGINT), 50) = 1)")
+    ld = v.ldscore(spark, sf)
+    vectors = regression.snp_vectors(rows, ld, v.ldweights(spark, sf), v.TRAITS, chunk_rows=500)
+    return regression.pair_regressions(vectors, ld.count(), n_blocks=BLOCKS).select("i", "j", "snps", "reason", F.round("gcov_native_obs", 5).alias("gcov_native_obs"), F.round("gcov_se", 5).alias("gcov_se"))
+
+
 def regression_pair_table(spark, sf):
     manifest = v.manifest(spark, sf).selectExpr("trait", "trait_order", "CASE WHEN trait_order = 3 THEN 0.3D END AS sample_prevalence",
                                                 "CASE WHEN trait_order = 3 THEN 0.01D END AS population_prevalence")
@@ -104,6 +127,14 @@ jj AS (SELECT da.i, da.j, ta.s AS h1, tb.s AS h2, tg.s AS g, ta.c AS c1, tb.c AS
 fit AS (SELECT i, j, max(rg) AS rg, CASE WHEN count(drg) = count(*) THEN {_SE.format(c='drg')} END AS se, max(h1) AS h2_p1_pair_obs, max(h2) AS h2_p2_pair_obs, {_SE.format(c='d1')} AS h2_p1_se,
   {_SE.format(c='d2')} AS h2_p2_se, max(c1) AS h2_int_1, {_SE.format(c='e1')} AS h2_int_se_1, max(c2) AS h2_int_2, {_SE.format(c='e2')} AS h2_int_se_2, max(g) AS gcov_native_obs,
   {_SE.format(c='dg')} AS gcov_se, max(cg) AS gcov_int, {_SE.format(c='eg')} AS gcov_int_se FROM jj GROUP BY i, j)"""
+#: As _FIT, with records of foreign alleles meeting only their like.
+_STRAND = _FIT.replace("SELECT t, s.SNP, N,", "SELECT t, s.SNP, t = 0 AND CAST(substr(s.SNP, 3) AS BIGINT) % 5 = 0 AS f, N,").replace("ON a.SNP = b.SNP AND a.t <= b.t", "ON a.SNP = b.SNP AND a.f = b.f AND a.t <= b.t")
+_SMALL = _FIT.replace(f"(r * {BLOCKS} - 1) // n AS block", f"(r * least({BLOCKS}, n) - 1) // n AS block").replace(
+    "WHERE (A1 = r1 AND A2 = r2) OR (A1 = r2 AND A2 = r1))", "WHERE ((A1 = r1 AND A2 = r2) OR (A1 = r2 AND A2 = r1)) AND t <> 7 AND (t <> 6 OR CAST(substr(s.SNP, 3) AS BIGINT) % 50 = 1))")
+_SMALL_OUT = """, cnt AS (SELECT i, j, count(*) AS snps FROM pr0 GROUP BY i, j), grid AS (SELECT a.x AS i, b.x AS j FROM range(8) a(x), range(8) b(x) WHERE a.x <= b.x)
+SELECT CAST(g.i AS INT) AS i, CAST(g.j AS INT) AS j, coalesce(snps, 0) AS snps, CASE WHEN snps IS NULL THEN 'no shared SNPs' WHEN snps < 50 THEN 'fewer shared SNPs than blocks' END AS reason,
+ CASE WHEN isfinite(gcov_native_obs) THEN round(gcov_native_obs, 5) + 0 END AS gcov_native_obs, CASE WHEN isfinite(gcov_se) THEN round(gcov_se, 5) + 0 END AS gcov_se
+FROM grid g LEFT JOIN cnt ON cnt.i = g.i AND cnt.j = g.j LEFT JOIN fit ON fit.i = g.i AND fit.j = g.j"""
 _Q5 = ", ".join(f"round({c}, 5) + 0 AS {c}" for c in VALUES)
 _NQ = normal_quantile_sql("K")
 _FACTOR = f"pow(K * (1 - K), 2) / (P * (1 - P) * pow(exp(-({_NQ}) * ({_NQ}) / 2) / sqrt(2 * pi()), 2))"
@@ -115,6 +146,8 @@ SELECT concat('T', a) AS p1, concat('T', b) AS p2, round(rg, 5) + 0 AS rg, round
 
 QUERIES = {
     "ld_regression": (ld_regression, f"{_FIT} SELECT i, j, {_Q5} FROM fit"),
+    "regression_strand": (regression_strand, f"{_STRAND}, cnt AS (SELECT i, j, count(*) AS snps FROM pr0 GROUP BY i, j) SELECT fit.i, fit.j, snps, {_Q5} FROM fit JOIN cnt ON cnt.i = fit.i AND cnt.j = fit.j"),
+    "regression_small_pairs": (regression_small_pairs, _SMALL + _SMALL_OUT),
     "regression_pair_table": (regression_pair_table, f"{_FIT}, {_PT}"),
     "jackknife_blocks": (jackknife_blocks, f"WITH {v.LD_CTE} SELECT SNP, row_number() OVER (ORDER BY CHR, BP, SNP) - 1 AS rank, "
                          f"(row_number() OVER (ORDER BY CHR, BP, SNP) * {BLOCKS} - 1) // count(*) OVER () AS block FROM ldscore"),

@@ -88,6 +88,7 @@ def bundle_sizes(spark, sf):
 
 
 _SHA = "sha256(concat_ws('|', " + ", ".join(f"'=' || CAST({c} AS STRING)" for c in ("SNP", "CHR", "POS", "A1", "A2")) + "))"
+_WORDS = "concat_ws('-', " + ", ".join(f"CAST(sum(CAST(CAST('0x' || substr({_SHA}, {16 * k + 1}, 16) AS UBIGINT) AS HUGEINT)) AS STRING)" for k in range(4)) + ")"
 
 QUERIES = {
     "vcf_scan": (vcf_scan, f"""SELECT {', '.join(ROW)}, CASE WHEN l_quantity <> 7 THEN 'rs' || l_partkey END AS SNP, CASE WHEN l_linenumber = 1 THEN 'chr' ELSE '' END || (l_partkey % 22 + 1) AS CHR,
@@ -101,7 +102,7 @@ QUERIES = {
                             "SELECT c.trait, string_agg(CAST(c.c AS STRING), ',' ORDER BY c.c) AS missing FROM c WHERE (c.trait, c.c) NOT IN (SELECT trait, CHR FROM a) GROUP BY c.trait"),
     "munge_input_folded": (munge_input_folded, _v(f"SELECT trait, SNP, CHR, POS, A1, A2, {q6('least(eaf_A1, 1 - eaf_A1)')} AS MAF, beta, se, N, INFO FROM good", require_info=True)),
     "munge_input_legacy": (munge_input_legacy, _v(f"SELECT trait, coordinate_id AS SNP, CHR, POS, A1, A2, eaf_A1, beta, se, N, {q6('p')} AS p FROM good", vcf_id=False)),
-    "table_fingerprint": (table_fingerprint, _v(f"SELECT trait, count(*) AS rows, CAST(sum(CAST('0x' || substr({_SHA}, 1, 15) AS BIGINT)) AS STRING) AS fingerprint FROM raw0 GROUP BY trait")),
+    "table_fingerprint": (table_fingerprint, _v(f"SELECT trait, count(*) AS rows, {_WORDS} AS fingerprint FROM raw0 GROUP BY trait")),
     "incremental_pairs": (incremental_pairs, f"WITH {pq.DIRTY}, {pq.MANIFEST}, plan AS (SELECT a.trait AS p1, b.trait AS p2 FROM manifest a, manifest b), done AS (SELECT p1, p2 FROM dirty WHERE row_id % 10 = 0) "
                           "SELECT p.p1, p.p2, CASE WHEN d.p1 IS NULL THEN 'result_or_checkpoint_missing' WHEN p.p1 = 'T1' THEN 'completion_not_verified' WHEN p.p2 = 'T3' THEN 'inputs_or_parameters_changed' "
                           "WHEN p.p1 = 'T5' THEN 'result_changed' WHEN p.p2 = 'T6' THEN 'result_or_checkpoint_missing' END AS reason FROM plan p LEFT JOIN done d ON d.p1 = p.p1 AND d.p2 = p.p2"),
