@@ -157,6 +157,8 @@ def scan(index: Index, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     pair, band = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
     enough = count >= index.least[pair % len(index.ids)]
     pair, band = pair[enough], band[enough]
+    if not len(pair):
+        return None
     out = []
     start = np.ones(len(pair), bool)
     start[1:] = (np.diff(pair) != 0) | (np.diff(band) > 2)
