@@ -111,7 +111,7 @@ def test_removal_equals_brute_force(spark):
         words = prose(100 + d, 150).split()
         if d % 3 == 0:
             at = rng.randrange(150)
-            words[at:at] = passage[rng.randrange(20):]
+            words[at:at] = passage
         rows.append((d, " ".join(words)))
     rows += [(40, rows[1][1]), (41, " ".join(rows[2][1].split()[30:100])), (42, " ".join(rows[4][1].split()[:39])), (43, prose(9, 60) + "\n" + prose(9, 60))]
     got = {r["doc_id"]: r["text"].split() for r in linededup.remove_later_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -119,6 +119,14 @@ def test_removal_equals_brute_force(spark):
     assert got[40] == [] and got[41] == [] and len(got[42]) == 39 and len(got[43]) == 60
 
 
+def test_ends_follow_the_first_source(spark):
+    passage = prose(50, 90).split()
+    texts = [prose(100 + d, 50).split() + passage[a:b] + prose(200 + d, 50).split() for d, (a, b) in enumerate([(10, 80), (0, 90), (5, 85), (20, 60)])]
+    got = {r["doc_id"]: r["text"].split() for r in linededup.remove_later_runs(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")).collect()}
+    left = {d: len(got[d]) - 100 for d in got}
+    assert left[0] == 70 and left[1] == 20 and left[2] <= 2 * (linededup.WINDOW - 1) and left[3] == 0
+
+
 def test_every_run_of_forty_words_has_a_shared_fingerprint():
     rng = np.random.default_rng(1)
     for _ in range(50):

@@ -70,7 +70,7 @@ def test_chunks_of_the_benchmark_give_the_same(spark, monkeypatch):
 
 def test_items_in_odd_rows(odd, nothing, spark):
     items = spark.createDataFrame([(1, prose(9, 40_000)[5000:5300])], "item_id long, text string")
-    assert [r["doc_id"] for r in decontam.find_items(odd, items).collect()] == [9]
+    assert {r["doc_id"] for r in decontam.find_items(odd, items).collect()} == {9}
     kept = decontam.without_items(odd, items)
     assert kept.columns == odd.columns and kept.count() == 12
     assert decontam.find_items(nothing, items).collect() == []
@@ -127,7 +127,8 @@ def test_nearest_equal_sql(vector_rows, monkeypatch):
     con = duckdb.connect()
     con.register("embeddings", table)
     want = sorted(con.execute(OP2_SQL).fetchall())
-    assert sorted(map(tuple, vectors.nearest(df, "vec_id % 20 = 0", 20).collect())) == want
+    got = sorted(map(tuple, vectors.nearest(df, "vec_id % 20 = 0", 20).collect()))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], rel=1e-12)
     assert {r[0] for r in want} == {0, 20, 40, 60, 80} and [r for r in want if r[0] == 80] == [(80, 1, 81, 5.0)]
 
 
