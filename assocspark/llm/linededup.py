@@ -3,7 +3,8 @@
 Passages are pasted in the middle of physical lines and wrapped anew, so a line here is any ``LINE`` consecutive words: one starts at every
 word. Of every ``WINDOW`` neighbouring line hashes the smallest (the last of equals) is kept as a fingerprint, which guarantees that a
 shared run of ``LINE + WINDOW - 1`` = 40 words has one. A fingerprint's source is its first occurrence in (doc_id, word) order. Positions
-joined to their sources chain into runs along one diagonal; both ends are extended word by word against the words around the source.
+joined to their sources chain into runs where their lines overlap or touch; both ends are extended word by word against the words around
+the source of the run's first and last line.
 Runs of at least ``MIN_WORDS`` words are deleted where they occur later; their first occurrence stays.
 """
 from __future__ import annotations
@@ -11,9 +12,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import only_ids
@@ -56,20 +56,6 @@ def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"line": pa.array(lines.view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "at": pa.array((place - offsets[doc]).astype(np.int32))})
 
 
-def _chain(group: pd.DataFrame) -> pd.DataFrame:
-    """Runs of matches along one diagonal, in words."""
-    group = group.assign(diagonal=group["at"].astype("int64") - group["src_at"]).sort_values(["src_doc", "diagonal", "at"])
-    at = group["at"].to_numpy(np.int64)
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(group["src_doc"].to_numpy()) != 0) | (np.diff(group["diagonal"].to_numpy()) != 0) | (np.diff(at) > WINDOW)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    head = group.iloc[first]
-    begin, end = at[first], at[last] + LINE
-    return pd.DataFrame({"doc_id": head["doc_id"].to_numpy(), "begin": begin, "end": end, "src_doc": head["src_doc"].to_numpy(),
-                         "src_begin": begin - head["diagonal"].to_numpy(), "src_end": end - head["diagonal"].to_numpy()})
-
-
 def _around(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """Hashes of the words before and after the asked places of each text."""
     codes, offsets, distinct = words(batch.column("text"))
@@ -130,16 +116,20 @@ _REMOVED = "array<struct<begin: long, end: long, n_words: long, source_doc_id: l
 def later_runs(rows: DataFrame) -> DataFrame:
     """Per document with matches: doc_id and its runs, each with the words around its source. ``rows`` has doc_id and text."""
     prints = stage(rows.where("doc_id IS NOT NULL").mapInArrow(in_steps(_fingerprints), "line long, doc_id long, at int"))
-    first = prints.groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("src"), F.count("*").alias("n")).where("n > 1").select("line", F.col("src.doc_id").alias("src_doc"), F.col("src.at").alias("src_at"))
+    first = stage(prints.groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("src"), F.count("*").alias("n")).where("n > 1").select("line", F.col("src.doc_id").alias("src_doc"), F.col("src.at").alias("src_at")))
     matches = prints.join(first, "line").where("doc_id <> src_doc OR at <> src_at").select("doc_id", "at", "src_doc", "src_at")
-    runs = stage(matches.groupBy("doc_id").applyInPandas(_chain, "doc_id long, begin long, end long, src_doc long, src_begin long, src_end long"))
-    places = runs.select(F.col("src_doc").alias("doc_id"), F.explode(F.array("src_begin", "src_end")).alias("place")).distinct()
+    order = Window.partitionBy("doc_id").orderBy("at")
+    chained = matches.withColumn("first", F.coalesce(F.col("at") - F.lag("at").over(order) > LINE, F.lit(True)).cast("int")).withColumn("run", F.sum("first").over(order))
+    source = F.struct("src_doc", "src_at")
+    runs = stage(chained.groupBy("doc_id", "run").agg(F.min("at").cast("long").alias("begin"), (F.max("at") + LINE).cast("long").alias("end"), F.min("src_doc").alias("src_doc"), F.min_by(source, "at").alias("head"), F.max_by(source, "at").alias("tail"))
+                 .select("doc_id", "begin", "end", "src_doc", F.col("head.src_doc").alias("head_doc"), F.col("head.src_at").cast("long").alias("head_at"), F.col("tail.src_doc").alias("tail_doc"), (F.col("tail.src_at") + LINE).cast("long").alias("tail_at")))
+    places = runs.select("head_doc", "head_at").union(runs.select("tail_doc", "tail_at")).toDF("doc_id", "place").distinct()
     asked = stage(places.groupBy("doc_id").agg(F.collect_list("place").alias("places")))  # at most two per fingerprint of that text
     sources = only_ids(rows, asked.select("doc_id")).groupBy("doc_id").agg(F.min("text").alias("text")).join(asked, "doc_id")
     around = stage(sources.mapInArrow(in_steps(_around), "src_doc long, place long, before binary, after binary"))
-    left = around.select("src_doc", F.col("place").alias("src_begin"), "before")
-    right = around.select("src_doc", F.col("place").alias("src_end"), "after")
-    known = runs.join(left, ["src_doc", "src_begin"]).join(right, ["src_doc", "src_end"])
+    left = around.select(F.col("src_doc").alias("head_doc"), F.col("place").alias("head_at"), "before")
+    right = around.select(F.col("src_doc").alias("tail_doc"), F.col("place").alias("tail_at"), "after")
+    known = runs.join(left, ["head_doc", "head_at"]).join(right, ["tail_doc", "tail_at"])
     return stage(known.groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end", "src_doc", "before", "after")).alias("runs")))
 
 
