@@ -8,65 +8,67 @@ import pytest
 from assocspark.operators import alleles, combine, export, ordering
 
 SCHEMA = "trait string, trait_order int, SNPID string, CHR long, BP long, EA string, OA string, EAF double, N double, Z double"
-CTI = np.full((3, 3), .1) + .9 * np.eye(3)
-LOADINGS = [.8, -.6, .2]
+FREQUENCY = .35
+#: Trait: (N, Z by SNP); a SNP in ``TURNED`` is recorded with the other allele as effect.
+STUDY = {
+    "gait": (4100, {"v1": -1.4, "v2": .7, "v3": 2.6, "v4": 38.5}),
+    "mood": (900, {"v1": 2.2, "v3": -.4, "v4": 38.5}),
+    "pain": (2700, {"v1": .3, "v2": -3.3, "v4": 38.5, "v5": 1.9}),
+}
+TURNED = {("mood", "v3")}
+CTI = np.array([[1, .2, -.05], [.2, 1, .15], [-.05, .15, 1]])
+LOADINGS = [.5, -.75, .4]
 
 
-def records(trait, order, z, n, swap=()):
-    out = []
-    for k, (snp, value) in enumerate(z.items()):
-        ea, oa, eaf = ("G", "A", .8) if snp in swap else ("A", "G", .2)
-        out.append((trait, order, snp, 1, k + 1, ea, oa, eaf, float(n), value))
-    return out
+def records(trait, order, n, scores, turned=TURNED):
+    for position, (snp, z) in enumerate(scores.items(), 50):
+        alleles = ("T", "C", 1 - FREQUENCY) if (trait, snp) in turned else ("C", "T", FREQUENCY)
+        yield (trait, order, snp, 7, position, *alleles, float(n), z)
 
 
 @pytest.fixture
 def assoc(spark):
-    rows = records("A", 0, dict(shared=2.1, partial=2.1, swap=2.1, underflow=1000.1), 1000)
-    rows += records("B", 1, dict(shared=3.1, underflow=1000.1, swap=3.1), 2000, swap=("swap",))
-    rows += records("C", 2, dict(shared=-1.1, partial=-1.1, underflow=1000.1, C_only=2.1), 500)
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame([r for order, (trait, (n, scores)) in enumerate(STUDY.items()) for r in records(trait, order, n, scores)], SCHEMA)
 
 
-def expected(frame, snp, loadings=LOADINGS):
-    rows = frame[frame.SNPID == snp].sort_values("trait_order")
-    sign = np.where(rows.EA == "A", 1, -1)
-    n, z, i = rows.N.to_numpy(), rows.Z.to_numpy() * sign, rows.trait_order.to_numpy()
-    w = np.sqrt(n) * np.array(loadings)[i]
-    c = CTI[np.ix_(i, i)]
-    combined = (w @ z) / math.sqrt(w @ c @ w)
-    return combined, np.sqrt(n) @ np.linalg.inv(c) @ np.sqrt(n), 1 / math.sqrt(n.sum() * 2 * .2 * .8)
+def by_hand(snp):
+    """Z, effective N and standard error of one SNP from the definition, trait by trait."""
+    have = [i for i, (_, scores) in enumerate(STUDY.values()) if snp in scores]
+    names = list(STUDY)
+    weight = {i: math.sqrt(STUDY[names[i]][0]) * LOADINGS[i] for i in have}
+    score = {i: STUDY[names[i]][1][snp] * (-1 if (names[i], snp) in TURNED else 1) for i in have}
+    variance = sum(weight[i] * weight[j] * CTI[i, j] for i in have for j in have)
+    sizes = [math.sqrt(STUDY[names[i]][0]) for i in have]
+    error = (2 * sum(s * s for s in sizes) * FREQUENCY * (1 - FREQUENCY)) ** -.5
+    return sum(weight[i] * score[i] for i in have) / math.sqrt(variance), float(np.dot(sizes, np.linalg.solve(CTI[np.ix_(have, have)], sizes))), error
 
 
 def test_formula(assoc):
-    frame = assoc.toPandas()
     out = combine.combine_traits(assoc, CTI, LOADINGS).toPandas().set_index("SNPID")
-    assert len(out) == 5
-    for snp, row in out.iterrows():
-        z, n_eff, se = expected(frame, snp)
-        assert abs(row.Z - z) < 1e-10 and abs(row.N_eff - n_eff) < 1e-8
-        assert abs(row.SE - se) < 1e-12 and abs(row.BETA - z * se) < 1e-10
-        assert abs(row.PVAL - math.erfc(abs(z) / math.sqrt(2))) < 1e-12
-    assert out.loc["underflow", "PVAL"] == 0
-    assert out.loc["partial", "Direction"] == "+?-" and out.loc["swap", "Direction"] == "+-?"
+    assert sorted(out.index) == ["v1", "v2", "v3", "v4", "v5"]
+    for snp in out.index:
+        z, size, error = by_hand(snp)
+        assert out.loc[snp, ["Z", "N_eff", "SE", "BETA"]].tolist() == pytest.approx([z, size, error, z * error], rel=1e-9)
+        assert out.PVAL[snp] == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), abs=1e-12)
+    assert out.Direction.to_dict() == {"v1": "-++", "v2": "+?-", "v3": "++?", "v4": "+++", "v5": "??+"}
 
 
 def test_incompatible_allele_loses_only_its_trait(spark, assoc):
-    bad = spark.createDataFrame(records("B", 1, dict(partial=5.0), 2000), SCHEMA).replace("G", "C", subset=["OA"])
-    out = combine.combine_traits(assoc.unionByName(bad), CTI, LOADINGS).filter("SNPID = 'partial'").first()
-    assert out.Direction == "+?-"
-    aligned = alleles.align_traits(assoc.unionByName(bad)).filter("SNPID = 'partial'").toPandas().set_index("trait")
-    assert aligned.orientation.isna().to_dict() == {"A": False, "B": True, "C": False}
+    odd = [r[:5] + ("C", "G") + r[7:] for r in records("mood", 1, 900, {"v2": 4.0})]
+    both = assoc.unionByName(spark.createDataFrame(odd, SCHEMA))
+    assert combine.combine_traits(both, CTI, LOADINGS).filter("SNPID = 'v2'").first().Direction == "+?-"
+    aligned = {r.trait: r.orientation for r in alleles.align_traits(both).filter("SNPID = 'v2'").collect()}
+    assert aligned["mood"] is None and aligned["gait"] is not None and aligned["pain"] is not None
 
 
 def test_zero_weight_is_reported_and_cancelling_weights_are_not(assoc):
-    out = combine.combine_traits(assoc, CTI, [1, -1 / math.sqrt(2), 0])
-    issues, summary = combine.combined_qc(out, [1, -1 / math.sqrt(2), 0], assoc=assoc)
-    found = issues.toPandas()
-    assert set(found.SNPID) == {"C_only"}
-    assert set(found.Reason) == {"BETA_not_finite", "Z_not_finite", "PVAL_not_finite_or_outside_0_1", "zero_available_weight"}
-    row = out.filter("SNPID = 'C_only'").first()
-    assert row.Z is None and abs(row.N_eff - 500) < 1e-9
+    loadings = [1.0, -math.sqrt(4100 / 900), 0.0]  # the weights of gait and mood add up to nothing
+    out = combine.combine_traits(assoc, CTI, loadings)
+    issues, summary = combine.combined_qc(out, loadings, assoc=assoc)
+    assert {(r.SNPID, r.Reason) for r in issues.collect()} == {
+        ("v5", reason) for reason in ("BETA_not_finite", "Z_not_finite", "PVAL_not_finite_or_outside_0_1", "zero_available_weight")}
+    row = out.filter("SNPID = 'v5'").first()
+    assert row.Z is None and row.N_eff == pytest.approx(2700)
     assert summary.first().asDict() == {"Status": "failed", "Total_Rows": 5, "Invalid_Rows": 1, "Issue_Count": 4}
 
 
@@ -90,9 +92,9 @@ def test_metamorphic(spark, assoc):
     # A fourth trait with zero loading leaves Z alone.
     wide = np.eye(4)
     wide[:3, :3] = CTI
-    fourth = spark.createDataFrame(records("D", 3, dict(shared=9.0), 100), SCHEMA)
+    fourth = spark.createDataFrame(list(records("sleep", 3, 60, {"v1": 5.5})), SCHEMA)
     more = combine.combine_traits(assoc.unionByName(fourth), wide, [*LOADINGS, 0]).toPandas().set_index("SNPID").sort_index()
-    assert np.allclose(more.Z, base.Z) and more.loc["shared", "Direction"] == base.loc["shared", "Direction"] + "+"
+    assert np.allclose(more.Z, base.Z) and more.loc["v1", "Direction"] == base.loc["v1", "Direction"] + "+"
     # Swapping every allele of all traits flips all signs.
     flipped = combine.combine_traits(assoc.selectExpr("trait", "trait_order", "SNPID", "CHR", "BP", "OA AS EA", "EA AS OA", "1 - EAF AS EAF", "N", "-Z AS Z"), CTI, LOADINGS)
     assert np.allclose(flipped.toPandas().set_index("SNPID").sort_index().Z, -base.Z)

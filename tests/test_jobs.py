@@ -1,9 +1,11 @@
 """All stages on simulated variant files, and the policies of the pair and panel jobs."""
 import gzip
+import itertools
 from math import erfc, log10
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from assocspark.operators import filters, pairs
@@ -64,115 +66,125 @@ def test_pipeline(spark, simulated):
     assert {r.Direction[0] for r in out.combined.select("Direction").distinct().collect()} == {"+", "-"}
 
 
-def pair_rows(kind="valid", names="ABCD"):
-    out = []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            r = dict(p1=a, p2=b, rg=1.0 if a == b else .3, se=.05, z=20.0 if a == b else 6.0, p=1e-9, h2_int=1.0, h2_int_se=.01,
-                     gcov_int=.01, gcov_int_se=.01, h2_obs=.2, h2_obs_se=.02)
-            edge = {a, b}
-            failed = (kind in ("tie", "lower_z") and edge == {"B", "C"}) or (kind == "degree" and edge in ({"A", "B"}, {"A", "C"})) \
-                or (kind == "negative_self" and "B" in edge) or kind == "all_failed"
-            if failed:
-                r.update(rg=None, se=None, z=None, p=None)
-            if a == b and (kind == "all_failed" or (kind == "negative_self" and a == "B")):
-                r["h2_obs"] = -.03
-            if kind == "lower_z" and b == "B":
-                r["h2_obs"] = .001
-            if (kind == "missing_pair" and edge == {"B", "C"}) or (kind == "missing_reverse" and (a, b) == ("B", "C")) or (kind == "missing_self" and a == b == "B"):
-                continue
-            out.append(r)
-    return [dict(r, row_id=k) for k, r in enumerate(out)]
-
-
-def compiled(spark, rows, action="drop_traits", names="ABCD"):
+RIVERS = ("oder", "rhein", "saale", "trave", "unstrut")
+ALIKE, OWN_H2 = .25, .3  # every correlation and heritability of the sound grid
+
+
+def grid(*, failing=(), absent=(), h2=None):
+    """Both directions of every pair of rivers; ``failing`` and ``absent`` name directed rows, ``h2`` overrides a river's heritability."""
+    values = {name: OWN_H2 for name in RIVERS} | (h2 or {})
+    for number, (a, b) in enumerate(itertools.product(RIVERS, repeat=2)):
+        if (a, b) not in absent:
+            rg, error = (1.0, .04) if a == b else (ALIKE, .05)
+            estimate = dict.fromkeys(("rg", "se", "z", "p")) if (a, b) in failing else dict(rg=rg, se=error, z=rg / error, p=two_sided(rg / error))
+            yield dict(p1=a, p2=b, **estimate, h2_int=1.0, h2_int_se=.02, gcov_int=.03, gcov_int_se=.02, h2_obs=values[b], h2_obs_se=.05, row_id=number)
+
+
+def two_sided(z):
+    return erfc(abs(z) / 2 ** .5)
+
+
+def both(a, b):
+    return {(a, b), (b, a)}
+
+
+def compiled(spark, rows, action="drop_traits"):
     schema = "p1 string, p2 string, rg double, se double, z double, p double, h2_int double, h2_int_se double, gcov_int double, gcov_int_se double, h2_obs double, h2_obs_se double, row_id int"
-    table = spark.createDataFrame(rows, schema)
-    manifest = spark.createDataFrame([(n, i, "yes", None) for i, n in enumerate(names)], "trait string, trait_order int, ref string, population_prevalence double")
+    table = spark.createDataFrame([Row(**r) for r in rows], schema)
+    manifest = spark.createDataFrame([(n, i, "yes", None) for i, n in enumerate(RIVERS)], "trait string, trait_order int, ref string, population_prevalence double")
     return jobs.compile_pairs(table, manifest, action=action)
 
 
-@pytest.mark.parametrize("kind,dropped", [("valid", []), ("tie", ["C"]), ("lower_z", ["B"]), ("degree", ["A"]), ("missing_pair", ["C"]),
-                                          ("missing_reverse", []), ("missing_self", ["B"]), ("negative_self", ["B"])])
-def test_trait_selection(spark, kind, dropped):
-    out = compiled(spark, pair_rows(kind))
-    assert [r.trait for r in out.excluded.orderBy("exclusion_step").collect()] == dropped
-    kept = {r.trait for r in out.retained.collect()}
-    assert kept == set("ABCD") - set(dropped)
-    assert {r.p1 for r in out.pairs.collect()} == kept
+SELECTION = {
+    "a sound grid keeps all": ({}, []),
+    "equal cases lose the later trait": (dict(failing=both("rhein", "trave")), ["trave"]),
+    "the weaker heritability goes first": (dict(failing=both("rhein", "trave"), h2={"rhein": .002}), ["rhein"]),
+    "the trait of most failures goes first": (dict(failing=both("unstrut", "oder") | both("unstrut", "saale")), ["unstrut"]),
+    "a pair without rows counts as failed": (dict(absent=both("oder", "saale")), ["saale"]),
+    "one direction is enough": (dict(absent={("saale", "rhein")}), []),
+    "no self-pair": (dict(absent={("oder", "oder")}), ["oder"]),
+    "a negative heritability fails with its pairs": (dict(failing=set().union(*(both("rhein", n) for n in RIVERS)), h2={"rhein": -.01}), ["rhein"]),
+    "two separate failures": (dict(failing=both("oder", "rhein") | both("saale", "trave")), ["rhein", "trave"]),
+}
+
+
+@pytest.mark.parametrize("case", SELECTION)
+def test_trait_selection(spark, case):
+    change, dropped = SELECTION[case]
+    out = compiled(spark, grid(**change))
+    assert sorted(r.trait for r in out.excluded.collect()) == dropped
+    kept = [n for n in RIVERS if n not in dropped]
+    assert sorted(r.trait for r in out.retained.collect()) == kept
     order = [(r.p1, r.p2) for r in out.pairs.collect()]
-    assert order == sorted(order)
+    assert order == sorted(order) and {p for p, _ in order} == set(kept)
     assert out.status == ("compiled_with_trait_exclusions" if dropped else "compiled")
 
 
 def test_failure_policies(spark):
+    broken = list(grid(failing=both("rhein", "trave")))
     with pytest.raises(jobs.EstimationFailure, match="pair rows failed") as error:
-        compiled(spark, pair_rows("tie"), "error")
+        compiled(spark, broken, "error")
     assert error.value.audits["pair_status"].filter("Status <> 'valid'").count() == 2
-    assert compiled(spark, pair_rows("tie"), "report").status == "estimation_failures"
+    assert compiled(spark, broken, "report").status == "estimation_failures"
     with pytest.raises(jobs.EstimationFailure, match="at least two"):
-        compiled(spark, pair_rows("all_failed"))
+        compiled(spark, grid(failing=set(itertools.product(RIVERS, repeat=2)), h2=dict.fromkeys(RIVERS, -.01)))
     with pytest.raises(ValueError, match="mismatch"):
-        compiled(spark, pair_rows("missing_pair"), "report")
-    conflicting = pair_rows()
-    conflicting.append(dict(conflicting[1], rg=.31, row_id=99))
+        compiled(spark, grid(absent=both("oder", "saale")), "report")
+    rows = list(grid())
+    again = next(r for r in rows if (r["p1"], r["p2"]) == ("saale", "oder"))
     with pytest.raises(ValueError, match="conflicting"):
-        compiled(spark, conflicting)
-    repeated = pair_rows()
-    repeated.append(dict(repeated[1], row_id=99))
-    assert compiled(spark, repeated).pairs.count() == 16
+        compiled(spark, [*rows, {**again, "rg": ALIKE + .02, "row_id": 1000}])
+    assert compiled(spark, [*rows, {**again, "row_id": 1000}]).pairs.count() == len(RIVERS) ** 2
+
 
+def test_warnings_of_valid_rows(spark):
+    change = {("oder", "oder"): dict(se=0.0, z=float("inf"), p=0.0, rg=1 - 2e-7), ("rhein", "oder"): dict(rg=-1.1), ("oder", "rhein"): dict(rg=-1.1), ("trave", "trave"): dict(h2_obs=.06)}
+    status = {(r.p1, r.p2): r for r in compiled(spark, [{**r, **change.get((r["p1"], r["p2"]), {})} for r in grid()], "report").pair_status.collect()}
+    assert status["oder", "oder"].Status == "valid" and "exception" in status["oder", "oder"].Warning
+    assert status["oder", "rhein"].Warning == "Estimated rg outside [-1,1]"
+    assert status["trave", "trave"].Warning == "Low self h2_obs/SE (<2); diagnostic only"
 
-def test_status_of_the_zero_error_self_pair(spark):
-    rows = pair_rows()
-    rows[0].update(se=0.0, z=float("inf"), p=0.0, rg=.9999999)
-    rows[1].update(rg=1.2)
-    rows[4].update(rg=1.2)
-    rows[5].update(h2_obs=.03)
-    status = {(r.p1, r.p2): r for r in compiled(spark, rows, "report").pair_status.collect()}
-    assert status["A", "A"].Status == "valid" and "exception" in status["A", "A"].Warning
-    assert status["A", "B"].Warning == "Estimated rg outside [-1,1]"
-    assert status["B", "B"].Warning == "Low self h2_obs/SE (<2); diagnostic only"
+
+def rivers(spark, *more):
+    return spark.createDataFrame([(n, i) for i, n in enumerate((*RIVERS, *more))], "trait string, trait_order int")
 
 
 @pytest.mark.parametrize("matrix", ["correlation", "covariance"])
 def test_panel(spark, matrix):
-    out = compiled(spark, pair_rows())
-    manifest = spark.createDataFrame([(n, i) for i, n in enumerate("ABCD")], "trait string, trait_order int")
-    panel = jobs.panel_analysis(out.pairs, manifest, jobs.PanelSettings(pca_matrix=matrix, rg_normalization="trait_wide"))
-    expected = np.sqrt(1.9) / 2 * (np.sqrt(.2) if matrix == "covariance" else 1)
-    assert np.allclose(panel.weights, expected)
-    assert np.allclose(np.diag(panel.cti), 1) and panel.names == tuple("ABCD")
+    panel = jobs.panel_analysis(compiled(spark, grid()).pairs, rivers(spark), jobs.PanelSettings(pca_matrix=matrix, rg_normalization="trait_wide"))
+    first = 1 + (len(RIVERS) - 1) * ALIKE  # largest eigenvalue of equal correlations
+    assert np.allclose(panel.weights, np.sqrt(first / len(RIVERS) * (OWN_H2 if matrix == "covariance" else 1)))
+    assert np.allclose(np.diag(panel.cti), 1) and panel.names == RIVERS
     report = panel.reports["eigenvalues"].toPandas().sort_values("PC")
     assert np.isclose(report.cumulative_percent_raw.iloc[-1], 100)
 
 
 def test_panel_policies(spark):
-    table = compiled(spark, pair_rows("degree"), "report").pairs
-    manifest = spark.createDataFrame([(n, i) for i, n in enumerate("ABCDE")], "trait string, trait_order int")
+    table = compiled(spark, grid(failing=both("unstrut", "oder") | both("unstrut", "saale")), "report").pairs
+    manifest = rivers(spark, "warnow")
     with pytest.raises(jobs.EstimationFailure, match="absent"):
         jobs.panel_analysis(table, manifest)
     with pytest.raises(jobs.EstimationFailure, match="missing or invalid"):
         jobs.panel_analysis(table, manifest, jobs.PanelSettings(allow_missing_traits=True))
     panel = jobs.panel_analysis(table, manifest, jobs.PanelSettings(allow_missing_traits=True, failed_action="drop_traits"))
-    assert panel.names == tuple("BCD")
-    with pytest.raises(ValueError):
-        jobs.PanelSettings(cti_action="explore_drop").check()
-    with pytest.raises(ValueError):
-        jobs.PanelSettings(max_cti_drop_fraction=.5).check()
+    assert panel.names == RIVERS[:4]
+    for settings in (jobs.PanelSettings(cti_action="explore_drop"), jobs.PanelSettings(max_cti_drop_fraction=.5)):
+        with pytest.raises(ValueError):
+            settings.check()
 
 
-def test_panel_explores_a_singular_cti(spark):
-    rows = pair_rows()
-    for r in rows:
-        r["gcov_int"] = 1.0 if {r["p1"], r["p2"]} == {"B", "C"} else 0.0
+@pytest.mark.parametrize("limit", [jobs.MAX_PANEL_TRAITS, 4])
+def test_panel_explores_a_singular_cti(spark, limit, monkeypatch):
+    """A panel that fits after the exclusion loses no other trait, whatever the limit was before it."""
+    monkeypatch.setattr(jobs, "MAX_PANEL_TRAITS", limit)
+    same = both("rhein", "trave")
+    rows = [{**r, "gcov_int": 1.0 if (r["p1"], r["p2"]) in same else 0.0} for r in grid()]
     table = compiled(spark, rows).pairs
-    manifest = spark.createDataFrame([(n, i) for i, n in enumerate("ABCD")], "trait string, trait_order int")
     with pytest.raises(jobs.EstimationFailure, match="CTI"):
-        jobs.panel_analysis(table, manifest)
-    assert jobs.panel_analysis(table, manifest, jobs.PanelSettings(pc1_only=True)).cti is None
-    panel = jobs.panel_analysis(table, manifest, jobs.PanelSettings(cti_action="explore_drop", max_cti_drop_fraction=.3))
-    assert len(panel.names) == 3 and {"A", "D"} < set(panel.names)
+        jobs.panel_analysis(table, rivers(spark))
+    assert jobs.panel_analysis(table, rivers(spark), jobs.PanelSettings(pc1_only=True)).cti is None
+    panel = jobs.panel_analysis(table, rivers(spark), jobs.PanelSettings(cti_action="explore_drop", max_cti_drop_fraction=.3))
+    assert len(panel.names) == 4 and {"oder", "saale", "unstrut"} < set(panel.names) and panel.cti.shape == (4, 4)
 
 
 def test_reuse(spark):

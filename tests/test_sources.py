@@ -1,4 +1,5 @@
 import gzip
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,25 +36,34 @@ def test_vcf_needs_one_sample(spark, tmp_path):
         text.read_gwas_vcf(spark, {"T": two})
 
 
+FREQUENCIES = {None: None, ".": None, "0.2": .2, "0.2,.": None, "0.9": .9}
+
+
 def test_extraction_audit_and_filters(spark, tmp_path, rows):
-    cases = [("valid", "AF=.125;EUR=.125", {"af": .875}), ("boundary", "AF=.375;EUR=.125", {}), ("zero", "AF=0;EUR=0", {}),
-             ("difference", "AF=.875;EUR=.125", {}), ("absent_af", "EUR=.125", {}), ("dot_af", "AF=.;EUR=.125", {}),
-             ("absent_eur", "AF=.125", {}), ("dot_eur", "AF=.125;EUR=.", {}), ("both", ".", {}), ("other_tag", "EAF=.125;EUR=.125", {}),
-             ("vector_first", "AF=.,.125;EUR=.125,.125", {}), ("vector_last", "AF=.125,.;EUR=.125,.125", {}),
-             ("low_si", "AF=.125;EUR=.125", {"si": .1}), ("low_maf", "AF=.125;EUR=.125", {"af": .001}),
-             ("region", "EUR=.125", {"chrom": 6, "pos": 30_000_000})]
-    records = [(o.get("chrom", 1), o.get("pos", i), name, "A", "G", ".", "PASS", info, "SI:AF:EZ:LP:NEF:NC:NCO",
-                f"{o.get('si', .9)}:{o.get('af', .125)}:2:8:360:100:900") for i, (name, info, o) in enumerate(cases, 1)]
-    path = vcf(tmp_path / "x.vcf", records)
-    table = text.read_gwas_vcf(spark, {"Q": path}, text.EXTRACT_FIELDS, info=("AF", "EUR"))
-    table = table.unionByName(table.withColumn("trait", F.lit("B")))
-    manifest = spark.createDataFrame([("Q", 0, "", ""), ("B", 1, "", "0.01")], "trait string, trait_order int, sample_prevalence string, population_prevalence string")
-    settings = filters.VariantFilters(exclude_mhc=True, max_af_difference=.25)
-    out, audit, prevalence = jobs.extract(table, manifest, settings=settings)
-    assert [r[0] for r in rows(out.filter("trait = 'Q'"), "SNP")] == ["boundary", "valid", "zero"]
-    assert rows(audit, "records_after_mhc", "missing_info_af", "missing_info_eur", "excluded_missing_either") == [(14, 6, 3, 8)] * 2
-    assert {(r.trait, r.N) for r in out.collect()} == {("Q", 360.0), ("B", 1000.0)}
-    assert rows(prevalence, "trait", "sample_prevalence", "sample_prevalence_source") == [("B", .1, "median_case_fraction"), ("Q", None, None)]
+    """Every combination of the two frequency tags, against rules applied by hand, plus one record per other filter."""
+    made, kept, missing = [], set(), [0, 0, 0]
+    for number, (af, eur) in enumerate(itertools.product(FREQUENCIES, repeat=2)):
+        name = f"m{number}"
+        info = ";".join(f"{tag}={value}" for tag, value in (("AF", af), ("XAF", "0.2"), ("EUR", eur)) if value is not None)
+        made.append((2, 700 + number, name, "C", "T", ".", "PASS", info, "NC:LP:EZ:AF:NEF:SI:NCO", "50:3:-1.5:0.3:800:0.95:150"))
+        a, e = FREQUENCIES[af], FREQUENCIES[eur]
+        missing = [missing[0] + (a is None), missing[1] + (e is None), missing[2] + (a is None or e is None)]
+        if a is not None and e is not None and abs(a - e) <= .1:
+            kept.add(name)
+    extra = [("rare", 2, 5, "50:3:1:0.0004:800:0.95:150"), ("unsure", 2, 6, "50:3:1:0.3:800:0.2:150"), ("hla", 6, 31_500_000, "50:3:1:0.3:800:0.95:150")]
+    made += [(chrom, pos, name, "C", "T", ".", "PASS", "EUR=0.2;AF=0.2", "NC:LP:EZ:AF:NEF:SI:NCO", values) for name, chrom, pos, values in extra]
+    table = text.read_gwas_vcf(spark, {"cohort": vcf(tmp_path / "cohort.vcf", made)}, text.EXTRACT_FIELDS, info=("AF", "EUR"))
+    table = table.unionByName(table.withColumn("trait", F.lit("cases")))
+    manifest = spark.createDataFrame([("cohort", 0, None, None), ("cases", 1, None, "0.05")], "trait string, trait_order int, sample_prevalence string, population_prevalence string")
+    out, audit, prevalence = jobs.extract(table, manifest, settings=filters.VariantFilters(exclude_mhc=True, max_af_difference=.1))
+    for trait, size in (("cohort", 800.0), ("cases", 200.0)):
+        found = out.filter(F.col("trait") == trait).collect()
+        assert {r.SNP for r in found} == kept and {r.N for r in found} == {size}
+    assert rows(audit, "records_after_mhc", "missing_info_af", "missing_info_eur", "excluded_missing_either") == [(27, *missing)] * 2
+    assert rows(prevalence, "trait", "sample_prevalence", "sample_prevalence_source") == [("cases", .25, "median_case_fraction"), ("cohort", None, None)]
+    for value in ("1.5", "0", "x"):
+        with pytest.raises(ValueError, match="cases: population_prevalence"):
+            jobs.extract(table, manifest.withColumn("population_prevalence", F.when(F.col("trait") == "cases", value)))
 
 
 def test_manifest_keeps_names_and_order(spark, tmp_path):
