@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import durable, small
 
 # Chromosome codes of the exported tables.
 CHROMOSOME_CODES = {"X": "23", "Y": "24", "XY": "25", "M": "26", "MT": "26"}
@@ -33,7 +33,8 @@ def global_rank(df: DataFrame, order: Sequence[str], *, weight: Column | None =
         # Range partitions of a total order are of even size, so this running sum never meets a large group.
         within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         placed = placed.withColumn("_within", F.coalesce(F.sum("_w").over(within), F.lit(0)))
-    return (placed.join(offsets, "_part")
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # there is one offset for each at most
+    return (placed.join(small(offsets, parts), "_part")
             .withColumn(rank, F.col("_offset") + F.col("_within")).drop("_w", "_part", "_within", "_offset"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import is_finite
 from ..operators import alleles, combine, export, filters, matrices, ordering, pairs, panels, provenance, regression
 from ..operators import variant_qc as vq
-from ..session import durable
+from ..session import durable, small
 from ..sources import sinks
 
 MAX_PANEL_TRAITS = 4096
@@ -169,7 +169,7 @@ def chisq_filtered(munged: DataFrame, cutoff: float | str, *, reference: DataFra
         absent = munged.select("trait").distinct().join(limits, "trait", "left_anti").take(1)
         if absent:
             raise ValueError(f"{absent[0]['trait']}: no complete rows match both LD-score tables")
-        cutoff = limits
+        cutoff = small(limits, limits.count())
     kept, excluded, summary = filters.chisq_filter(munged, cutoff)
     filters.check_chisq_summary(summary)
     summary = summary.withColumn("threshold_mode", F.lit(mode))
@@ -419,7 +419,7 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
 def combine_snps(assoc: DataFrame, panel: PanelResult, *, kernel=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Combined associations of a panel's traits, with their QC (issues, summary). Raises if any SNP fails."""
     order = assoc.sparkSession.createDataFrame(list(enumerate(panel.names)), "trait_order int, trait string")
-    rows = assoc.drop("trait_order").join(order, "trait")
+    rows = assoc.drop("trait_order").join(small(order, len(panel.names)), "trait")
     vq.assert_ids(rows, "SNPID")
     absent = order.join(rows.select("trait").distinct(), "trait", "left_anti").take(1)
     if absent:

@@ -4,6 +4,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -24,14 +25,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a scan over all cores if it has fewer partitions than cores, else leave it alone.
+#: Rows up to which a lookup of known size is sent to every task.
+BROADCAST_ROWS = 100_000
 
-    Few large unsplittable inputs (gzip files, single row groups) would otherwise run the row work of a
-    whole job in a few tasks. A scan that already fills the cluster is never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+def small(lookup: DataFrame, rows: int) -> DataFrame:
+    """``lookup``, to be broadcast if its ``rows`` are few. Spark's own estimate is useless for local lists and aggregates."""
+    return F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup
 
 
 def local_session(cores: int | str = 8, *, app: str = "assocspark", shuffle_partitions: int | None = None,

@@ -21,9 +21,14 @@ def detect_delimiter(header: str) -> str:
 
 
 def delimited(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """All-text read that keeps NA, padding and empty strings as they are."""
-    return spark.read.csv(path, header=True, sep=separator, inferSchema=False, nullValue=None, emptyValue="",
-                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    """All-text read that keeps NA, padding and empty strings as they are. A row with too few or too many fields stops the job."""
+    return _strict(spark).csv(path, header=True, sep=separator, inferSchema=False, nullValue=None, emptyValue="", mode="FAILFAST",
+                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def _strict(spark: SparkSession):
+    """Every field of a row is parsed, so that its width is checked even where few columns are wanted."""
+    return spark.read.option("columnPruning", "false")
 
 
 def read_pairs(spark: SparkSession, paths: Sequence[str], traits: DataFrame | None = None) -> DataFrame:
@@ -86,11 +91,12 @@ def read_assoc(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Long association table from one file (or folder of chromosome files) per trait, in manifest order."""
     tables = []
     for order, (trait, path) in enumerate(paths.items()):
-        rows = delimited(spark, path, "\t")
-        # Spark resolves names without case, so P and p would clash: address columns by position.
-        source = canonical_assoc_columns(rows.columns)
-        renamed = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
-        where = {name: f"c{rows.columns.index(column)}" for name, column in source.items()}
+        # Spark resolves names without case, so P and p would clash: names come from the header line, columns are read by position.
+        header = [name.strip('"') for name in first_line(spark, path).split("\t")]
+        source = canonical_assoc_columns(header)
+        where = {name: f"c{header.index(column)}" for name, column in source.items()}
+        renamed = _strict(spark).csv(path, schema=", ".join(f"c{i} string" for i in range(len(header))), header=True, enforceSchema=True, sep="\t", nullValue=None, emptyValue="", mode="FAILFAST",
+                                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         types = {"BP": "bigint", "CHR": "bigint", "EAF": "double", "N": "double", "Z": "double", "P": "double"}
         tables.append(renamed.select(F.lit(trait).alias("trait"), F.lit(order).alias("trait_order"), *[
             (F.col(where[c]).try_cast(types[c]) if c in types else F.col(where[c])).alias(c) for c in ASSOC_COLUMNS]))

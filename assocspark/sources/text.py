@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import evaluate_once
-from ..session import spread
+from ..session import small
 
 # FORMAT keys of the preparation and extraction scans, and the SNP spellings treated as missing.
 PREPARE_FIELDS = {"AF": "eaf_A1", "ES": "beta", "SE": "se", "LP": "LP", "NEF": "N"}
@@ -75,13 +75,14 @@ def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     lines = spark.read.text(list(paths.values())).select(
         "value", F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("file_block"),
         F.monotonically_increasing_id().alias("file_row"))
-    return lines.join(lookup, "file").select("trait", *ROW_ORDER, "value")
+    return lines.join(small(lookup, len(owner)), "file").select("trait", *ROW_ORDER, "value")
 
 
-def read_gwas_vcf(spark: SparkSession, paths: dict[str, str], fields: dict[str, str] | None = None, *, info: Sequence[str] = ()) -> DataFrame:
+def read_gwas_vcf(spark: SparkSession, paths: dict[str, str], fields: dict[str, str] | None = None, *, info: Sequence[str] = (),
+                  partitions: int | None = None) -> DataFrame:
     """Long table of the records of one single-sample variant file per trait (plain or gzip); runs one header job.
 
-    A gzip file is read by one task, so few files are spread over the cores before they are parsed. Store the
+    A gzip file is read by one task; ``partitions`` spreads the lines of a few such files before they are parsed. Store the
     parsed table once and work from that.
     """
     lines = read_lines(spark, paths)
@@ -89,7 +90,9 @@ def read_gwas_vcf(spark: SparkSession, paths: dict[str, str], fields: dict[str,
     bad = {t: counts.get(t, 0) for t in paths if counts.get(t, 0) != 1}
     if bad:
         raise ValueError(f"expected exactly one sample per file; found {bad}")
-    return parse_vcf_lines(spread(lines, "trait", "file_row"), fields or PREPARE_FIELDS, info=info)
+    if partitions:
+        lines = lines.repartition(partitions, "trait", "file_row")
+    return parse_vcf_lines(lines, fields or PREPARE_FIELDS, info=info)
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -109,8 +112,8 @@ def read_manifest(spark: SparkSession, path: str, required: Sequence[str] = ("tr
 
     A manifest lists traits, so it is small; its header and names are validated on the driver.
     """
-    rows = spark.read.csv(path, header=True, inferSchema=False, nullValue=None, emptyValue="", enforceSchema=False,
-                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = spark.read.option("columnPruning", "false").csv(path, header=True, inferSchema=False, nullValue=None, emptyValue="", enforceSchema=False, mode="FAILFAST",
+                                                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     header = [h.strip('"') for h in first_line(spark, path).split(",")]
     if any(not h.strip() for h in header) or len(set(header)) != len(header):
         raise ValueError("manifest headers must be unique and non-empty")

@@ -141,3 +141,20 @@ def test_split_sink_needs_every_chromosome(spark, tmp_path):
         sinks.write_assoc(data.filter("CHR <> 4"), str(tmp_path / "bad"))
     sinks.write_table(spark.sql("select 0.1D + 0.2D AS a, cast(null as string) AS b, 1.0E-310D AS c"), str(tmp_path / "t"), separator="\t", compression="none")
     assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == ["a\tb\tc", "0.30000000000000004\t\t1.0E-310"]
+
+
+def test_association_columns_go_by_case_and_position(spark, tmp_path):
+    path = tmp_path / "a.tsv"
+    path.write_text("SNPID\tCHR\tBP\tEA\tOA\tEAF\tN\tZ\tp\tP\nv\t1\t2\tA\tC\t.5\t10\t1\t0.9\t0.3\n")
+    assert tables.read_assoc(spark, {"T": str(path)}).first().P == 0.3
+    for extra in ("w\t1\t2\tA\tC\t.5\t10\t1\t0.9\n", "w\t1\t2\tA\tC\t.5\t10\t1\t0.9\t0.3\t7\n"):
+        path.write_text("SNPID\tCHR\tBP\tEA\tOA\tEAF\tN\tZ\tp\tP\n" + extra)
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            tables.read_assoc(spark, {"T": str(path)}).select("SNPID").collect()
+
+
+def test_ragged_manifest_is_an_error(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text("traitname,N\na,1\nb,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        text.read_manifest(spark, str(path)).collect()
