@@ -176,13 +176,22 @@ def _apart(bucket: DataFrame, centre: DataFrame, labels: DataFrame, content: Dat
     small = bucket.where("size > 2 AND node <> centre").join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     split = small.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
     split = split.join(centre, "band").groupBy("set", "size").agg(F.min("band").alias("band"))  # the same texts often share several bands
-    mixed = stage(small.join(split.select("band", "size"), "band"))
+    mixed = stage(small.join(split.select("band"), "band"))
     if mixed.isEmpty():
         return None
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = mixed.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component")
-    full = dealt.join(content.select(F.col("doc_id").alias("node"), "strips"), "node")
+    parts = mixed.groupBy("band", "component").count()
+    major = stage(parts.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.max("count").alias("n_major"), F.sum("count").alias("n")))
+    cuts = major.select("band", "major", F.ceil(F.col("n_major") / BLOCK).cast("int").alias("tall"), F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("int").alias("wide"))
+    dealt = mixed.join(cuts, "band").withColumn("hash", F.xxhash64("node"))
+    minor, wide, tall = F.col("component") != F.col("major"), F.pmod("hash", "wide").cast("int"), F.pmod("hash", "tall").cast("int")
+    # texts of the largest component are not compared with each other: tiles of it (i < 0) against the rest, and of the rest against itself
+    tiles = [
+        dealt.where(~minor).select("band", (-1 - tall).alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(-1).alias("block"), "node", "component"),
+        dealt.where(minor).select("band", F.explode(F.sequence(-F.col("tall"), F.lit(-1))).alias("i"), wide.alias("j"), wide.alias("block"), "node", "component"),
+        dealt.where(minor).withColumn("block", wide).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)))
+        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component"),
+    ]
+    full = tiles[0].union(tiles[1]).union(tiles[2]).join(content.select(F.col("doc_id").alias("node"), "strips"), "node")
     return stage(full.groupBy("band", "i", "j").applyInPandas(_compare, "a long, b long"))
 
 
