@@ -13,6 +13,7 @@ most ``MAX_TRAITS`` traits) go through the driver, as in any iteratively reweigh
 """
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from .ordering import global_rank
 N_BLOCKS = 200
 MAX_TRAITS = 1024
 CELLS_PER_STEP = 2_000_000  # SNPs x pairs held at once by a task
+HELD_CELLS = 500_000  # pairs x blocks whose sums a task keeps to its end; more are sent on step by step
 
 
 @dataclass(frozen=True)
@@ -109,12 +111,15 @@ def _steps(batches: Iterator[pa.RecordBatch], traits: int) -> Iterator[dict[str,
 
 
 def _pass(vectors: TraitVectors, summarise: Callable[[dict], np.ndarray]) -> np.ndarray:
-    """Sum ``summarise`` (statistics x pairs) over all SNPs: one row per chunk and statistic, added up by Spark."""
+    """Sum ``summarise`` (statistics x pairs) over all SNPs: one row per task, statistic and pair, added up by Spark."""
     traits = vectors.traits
 
     def run(batches):
+        sums = None
         for step in _steps(batches, traits):
-            sums = summarise(step)
+            part = summarise(step)
+            sums = part if sums is None else sums + part
+        if sums is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.arange(sums.shape[0], dtype="int32"), sums.shape[1])),
                  pa.array(np.tile(np.arange(sums.shape[1], dtype="int32"), sums.shape[0])), pa.array(sums.ravel())], names=["stat", "pair", "value"])
@@ -130,10 +135,10 @@ def _chunk_counts(vectors: TraitVectors) -> np.ndarray:
     traits = vectors.traits
 
     def run(batches):
-        for step in _steps(batches, traits):
-            counts = step["both"].sum(0)
+        for chunk, steps in itertools.groupby(_steps(batches, traits), key=lambda step: step["chunk"]):
+            counts = sum(step["both"].sum(0) for step in steps)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(counts), step["chunk"], "int32")), pa.array(np.arange(len(counts), dtype="int32")),
+                [pa.array(np.full(len(counts), chunk, "int32")), pa.array(np.arange(len(counts), dtype="int32")),
                  pa.array(counts.astype("int64"))], names=["chunk", "pair", "n"])
     rows = (vectors.table.mapInArrow(run, "chunk int, pair int, n long")
             .groupBy("chunk", "pair").agg(F.sum("n").alias("n")).toPandas())
@@ -226,8 +231,15 @@ def _block_moments(vectors: TraitVectors, models: dict[str, Model], fits: dict[s
     before = vectors.table.sparkSession.sparkContext.broadcast(counts[:-1])
     names = ["model", "pair", "block", "snps", "w", "wx", "wxx", "wy", "wxy"]
 
+    cells = len(total) * blocks
+
+    def rows(name, keys, sums):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(keys)), pa.array((keys // blocks).astype("int32")), pa.array((keys % blocks).astype("int32")), *[pa.array(v) for v in sums]], names=names)
+
     def run(batches):
         at, seen = None, None
+        held = {name: np.zeros((6, cells)) for name in models} if cells <= HELD_CELLS else {}
         for s in _steps(batches, traits):
             if s["chunk"] != at:
                 at, seen = s["chunk"], before.value[s["chunk"]].copy()
@@ -238,16 +250,20 @@ def _block_moments(vectors: TraitVectors, models: dict[str, Model], fits: dict[s
             block = np.minimum(((rank + 1) * own - 1) // np.maximum(total, 1), blocks - 1)
             row, pair = np.nonzero(both)
             key = pair * blocks + block[row, pair]
-            keys, member = np.unique(key, return_inverse=True)
+            keys, member = (None, key) if held else np.unique(key, return_inverse=True)
             for name, model in models.items():
                 slope, intercept, scale = fits[name]
                 w = model.weight(s, slope, intercept)[row, pair]
                 x = (model.size(s) * s["l2"] / scale)[row, pair]
                 y = model.outcome(s)[row, pair]
-                sums = [np.bincount(member, v, len(keys)) for v in (np.ones_like(w), w, w * x, w * x * x, w * y, w * x * y)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(keys)), pa.array((keys // blocks).astype("int32")), pa.array((keys % blocks).astype("int32")),
-                     *[pa.array(v) for v in sums]], names=names)
+                sums = [np.bincount(member, v, cells if held else len(keys)) for v in (np.ones_like(w), w, w * x, w * x * x, w * y, w * x * y)]
+                if held:
+                    held[name] += sums
+                else:
+                    yield rows(name, keys, sums)
+        for name, sums in held.items():
+            keys = np.flatnonzero(sums[0])
+            yield rows(name, keys, sums[:, keys])
     schema = "model string, pair int, block int, snps double, w double, wx double, wxx double, wy double, wxy double"
     return (vectors.table.mapInArrow(run, schema).groupBy("model", "pair", "block")
             .agg(*[F.sum(c).alias(c) for c in names[3:]]))

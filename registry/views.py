@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assocspark.operators import variant_qc as vq
-from assocspark.session import spread
 
 TRAITS = 8
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -59,7 +58,9 @@ def exprs(columns: dict[str, str]) -> list[str]:
 
 
 def lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "lineitem").select(*ORDER), "l_orderkey", "l_linenumber", "l_partkey")
+    rows, cores = table(spark, sf, "lineitem").select(*ORDER), spark.sparkContext.defaultParallelism
+    # One file of one row group is one task; a table of many files fills the cores as it is.
+    return rows.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey") if len(rows.inputFiles()) < cores else rows
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
