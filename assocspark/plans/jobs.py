@@ -223,7 +223,9 @@ class CompiledPairs:
     retained: DataFrame | None = None
 
 
-def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error", row: str = "row_id") -> CompiledPairs:
+def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error", row: str = "row_id", duplicate_tolerance: float = pairs.DUPLICATE_TOLERANCE,
+                  duplicate_z_tolerance: float = pairs.DUPLICATE_Z_TOLERANCE, self_rg_tolerance: float = pairs.SELF_RG_TOLERANCE,
+                  h2_z_warn_threshold: float = pairs.H2_Z_WARNING) -> CompiledPairs:
     """Validated, ordered and normalised pair table under one failure policy.
 
     ``error`` raises on any failed estimate, ``report`` keeps it, ``drop_traits`` selects a complete subset
@@ -236,12 +238,12 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
     if dropping and manifest.filter(F.coalesce(F.col("ref"), F.lit("")) != "yes").take(1):
         raise ValueError("drop_traits requires ref=yes for every trait")
     table = durable(table)
-    pairs.raise_on_conflicts(pairs.duplicate_conflicts(pairs.index_pairs(table, manifest)))
+    pairs.raise_on_conflicts(pairs.duplicate_conflicts(pairs.index_pairs(table, manifest), tolerance=duplicate_tolerance, z_tolerance=duplicate_z_tolerance))
     coverage = durable(pairs.pair_coverage(table, pairs.plan_pairs(manifest)))
     bad = coverage.filter((F.col("coverage") == "unexpected") | F.lit(not dropping)).take(1)
     if bad:
         raise ValueError(f"pair comparison mismatch: {bad[0]['coverage']} {bad[0]['p1']}, {bad[0]['p2']}")
-    status = pairs.pair_status(table).select(row, "p1", "p2", "Status", "Reason", "Warning")
+    status = pairs.pair_status(table, self_rg_tolerance=self_rg_tolerance, h2_z_warning=h2_z_warn_threshold).select(row, "p1", "p2", "Status", "Reason", "Warning")
     missing = coverage.select(F.lit(None).cast(table.schema[row].dataType).alias(row), "p1", "p2", F.lit("missing_result").alias("Status"),
                               F.lit("Missing requested comparison").alias("Reason"), F.lit("").alias("Warning"))
     status = durable(pairs.sort_by_manifest(status.unionByName(missing), manifest, row))
@@ -282,6 +284,14 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
 
 @dataclass(frozen=True)
 class PanelSettings:
+    """Policies and tolerances of a panel. Tolerances are absolute, but those of Z (relative) and of eigenvalues (see ``panels``)."""
+
+    duplicate_tolerance: float = pairs.DUPLICATE_TOLERANCE
+    duplicate_z_tolerance: float = pairs.DUPLICATE_Z_TOLERANCE
+    self_rg_tolerance: float = pairs.SELF_RG_TOLERANCE
+    h2_z_warn_threshold: float = pairs.H2_Z_WARNING
+    z_consistency_tolerance: float = pairs.Z_CONSISTENCY_TOLERANCE
+    matrix_eigen_tolerance: float = panels.MATRIX_EIGEN_TOLERANCE
     allow_missing_traits: bool = False
     failed_action: str = "error"
     heritability_scale: str = "auto"
@@ -297,6 +307,9 @@ class PanelSettings:
     validate_only: bool = False
 
     def check(self) -> None:
+        limits = {name: value for name, value in vars(self).items() if name.endswith(("_tolerance", "_threshold"))}
+        if bad := [name for name, value in limits.items() if not (np.isfinite(value) and value >= 0)]:
+            raise ValueError(f"{', '.join(bad)} must be finite and not negative")
         if self.pc1_only and self.validate_only:
             raise ValueError("choose pc1_only or validate_only, not both")
         if not 0 <= self.max_cti_drop_fraction < 1:
@@ -344,9 +357,9 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
     if bad:
         raise EstimationFailure(f"{bad[0]['trait']}: {bad[0]['error']}", **reports)
     rows = durable(pairs.index_pairs(scaled, traits))
-    pairs.raise_on_conflicts(pairs.duplicate_conflicts(rows))
-    own = durable(pairs.self_pair_qc(rows, traits))
-    validity = durable(pairs.pair_validity(rows, traits))
+    pairs.raise_on_conflicts(pairs.duplicate_conflicts(rows, tolerance=settings.duplicate_tolerance, z_tolerance=settings.duplicate_z_tolerance))
+    own = durable(pairs.self_pair_qc(rows, traits, tolerance=settings.self_rg_tolerance, h2_z_warning=settings.h2_z_warn_threshold))
+    validity = durable(pairs.pair_validity(rows, traits, settings.self_rg_tolerance))
     reports.update(self_pair_qc=own, failed_pairs=validity.filter(~F.col("Pair_Valid")))
     if validity.filter(~F.col("Pair_Valid")).take(1) or own.filter(~F.col("Self_QC_Pass")).take(1):
         if not dropping:
@@ -362,12 +375,12 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
     if len(positions) < 2:
         raise EstimationFailure("fewer than two traits remain", **reports)
     collapsed = durable(pairs.collapse_pairs(rows))
-    report = pairs.rg_report(collapsed, traits)
+    report = pairs.rg_report(collapsed, traits, z_tolerance=settings.z_consistency_tolerance)
     for flag, policy, what in (("RG_Outside_Unit_Interval", settings.rg_out_of_range_action, "correlation outside [-1,1]"),
                                ("Z_Inconsistent_With_RG_SE", settings.z_consistency_action, "Z differs from rg / SE")):
         if policy == "error" and report.filter(flag).take(1):
             raise EstimationFailure(what, **reports)
-    rg = pairs.select_rg(collapsed, rows, settings.rg_normalization, out_of_range_action=settings.rg_out_of_range_action)
+    rg = pairs.select_rg(collapsed, rows, settings.rg_normalization, tolerance=settings.duplicate_tolerance, out_of_range_action=settings.rg_out_of_range_action)
     cells = durable(matrices.assemble_matrices(collapsed, own, rg=rg))
     correlation = cells.filter("matrix = 'S_Stand'").select(F.lit("all").alias("panel_id"), "i", "j", "value")
     cti = cells.filter("matrix = 'I'").select(F.lit("all").alias("panel_id"), "i", "j", "value")
@@ -398,7 +411,7 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
         reports.update(matrices=cells, heritability=pairs.heritability_report(own), correlations=report,
                        validation=pairs.validation_summary(own, collapsed, report))
     loadings = durable(panels.panel_loadings(pca, settings.pc1_orientation))
-    values = durable(panels.panel_eigenvalues(pca))
+    values = durable(panels.panel_eigenvalues(pca, settings.matrix_eigen_tolerance))
     pc1 = panels.pc1_report(loadings, values, negative_action=settings.negative_eigen_action)
     assessed = panels.assess_cti(cti)
     reports.update(eigenvalues=panels.variance_explained(values), pc1=pc1, contributions=panels.contributions(loadings),

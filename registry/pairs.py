@@ -126,6 +126,18 @@ def pair_status(spark, sf):
     return pairs.pair_status(dirty(spark, sf)).select("row_id", "p1", "p2", "Status", "Reason", "Warning")
 
 
+#: A stricter self-pair and a higher warning line than the defaults; both change the outcome.
+STRICT = {"self_rg_tolerance": 1e-4, "h2_z_warning": 12.0}
+
+
+def pair_status_strict(spark, sf):
+    return pairs.pair_status(dirty(spark, sf), **STRICT).select("row_id", "p1", "p2", "Status", "Reason", "Warning")
+
+
+def duplicate_conflicts_strict(spark, sf):
+    return pairs.duplicate_conflicts(indexed(spark, sf), tolerance=1e-6, z_tolerance=1e-6)
+
+
 def duplicate_conflicts(spark, sf):
     return pairs.duplicate_conflicts(indexed(spark, sf))
 
@@ -280,6 +292,14 @@ def _status_sql():
     return (f"st AS (SELECT *, CASE WHEN Reason = '' THEN 'valid' ELSE 'failed_estimate' END AS Status FROM (SELECT *, {v.marks_sql(marks)} AS Reason, {v.marks_sql(warns)} AS Warning FROM dirty) x)")
 
 
+def _strict(sql: str) -> str:
+    """The comparison under the limits of STRICT."""
+    for old, new in (("CAST('0.01' AS DOUBLE)", "CAST('0.0001' AS DOUBLE)"), ("tolerance 0.01", "tolerance 0.0001"), ("_se < 2", "_se < 12"), ("(<2)", "(<12)")):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
 def _conflict_sql(cols, own=False):
     tests = []
     for c in cols:
@@ -381,6 +401,9 @@ QUERIES = {
     "h2_mapped": (h2_mapped, f"{_D} SELECT row_id, CASE WHEN j IN (4, 5) THEN 'liability' ELSE 'NEF_unconverted' END AS h2_scale, CASE WHEN j IN (4, 5) THEN h2_obs ELSE coalesce(h2_obs, h2_liab) END AS h2_obs, "
                   "CASE WHEN j IN (4, 5) THEN h2_obs_se ELSE coalesce(h2_obs_se, h2_liab_se) END AS h2_obs_se, CASE WHEN j IN (4, 5) THEN h2_liab END AS h2_liab, CASE WHEN j IN (4, 5) THEN h2_liab_se END AS h2_liab_se FROM dirty"),
     "pair_status": (pair_status, f"WITH {DIRTY}, {_status_sql()} SELECT row_id, p1, p2, Status, Reason, Warning FROM st"),
+    "pair_status_strict": (pair_status_strict, _strict(f"WITH {DIRTY}, {_status_sql()} SELECT row_id, p1, p2, Status, Reason, Warning FROM st")),
+    "duplicate_conflicts_strict": (duplicate_conflicts_strict, f"WITH {DIRTY}, {_IDX.format(t='dirty')} SELECT pair_i, pair_j, count(*) AS source_rows, CASE WHEN count(*) > 1 THEN "
+                                   + _CONFLICTS.replace("CAST('0.01' AS DOUBLE)", "1e-6").replace("CAST('0.001' AS DOUBLE)", "1e-6") + " ELSE '' END AS conflicts FROM ix GROUP BY 1, 2"),
     "duplicate_conflicts": (duplicate_conflicts, f"WITH {DIRTY}, {_IDX.format(t='dirty')} SELECT pair_i, pair_j, count(*) AS source_rows, CASE WHEN count(*) > 1 THEN {_CONFLICTS} ELSE '' END AS conflicts FROM ix GROUP BY 1, 2"),
     "collapsed_pairs": (collapsed_pairs, f"{_CLEAN_ALL} SELECT pair_i, pair_j, source_row_count, " + ", ".join(f"{q6(c)} AS {c}" for c in pairs.DUPLICATE_COLUMNS) + " FROM coll"),
     "pair_validity": (pair_validity, f"{_D}, {_IDX.format(t='dirty')}, {_OK}, {_GRID} SELECT g.pair_i, g.pair_j, count(o.p1) AS Source_Rows, count(*) FILTER (WHERE NOT o.valid) AS Invalid_Source_Rows, "
