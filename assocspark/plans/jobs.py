@@ -22,7 +22,17 @@ MAX_PANEL_TRAITS = 4096
 
 
 class EstimationFailure(RuntimeError):
-    """A reportable numerical failure; ``audits`` holds the tables that explain it."""
+    """A reportable numerical failure; ``status`` names it and ``audits`` holds the tables that explain it."""
+
+    def __init__(self, message: str, status: str = "estimation_failures", **audits: DataFrame):
+        super().__init__(message)
+        self.status, self.audits = status, audits
+
+
+class StructuralFailure(ValueError):
+    """A table that does not hold the requested pairs; ``audits`` holds its coverage."""
+
+    status = "structural_failure"
 
     def __init__(self, message: str, **audits: DataFrame):
         super().__init__(message)
@@ -242,7 +252,7 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
     coverage = durable(pairs.pair_coverage(table, pairs.plan_pairs(manifest)))
     bad = coverage.filter((F.col("coverage") == "unexpected") | F.lit(not dropping)).take(1)
     if bad:
-        raise ValueError(f"pair comparison mismatch: {bad[0]['coverage']} {bad[0]['p1']}, {bad[0]['p2']}")
+        raise StructuralFailure(f"pair comparison mismatch: {bad[0]['coverage']} {bad[0]['p1']}, {bad[0]['p2']}", coverage=coverage)
     status = pairs.pair_status(table, self_rg_tolerance=self_rg_tolerance, h2_z_warning=h2_z_warn_threshold).select(row, "p1", "p2", "Status", "Reason", "Warning")
     missing = coverage.select(F.lit(None).cast(table.schema[row].dataType).alias(row), "p1", "p2", F.lit("missing_result").alias("Status"),
                               F.lit("Missing requested comparison").alias("Reason"), F.lit("").alias("Warning"))
@@ -264,9 +274,11 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
         pairs.plan_pairs(manifest, unordered=True).select(F.col("o1").alias("pair_i"), F.col("o2").alias("pair_j")).join(
             index.filter("Status <> 'missing_result'").select("pair_i", "pair_j"), ["pair_i", "pair_j"], "left_anti")).distinct()
     own = broken.filter("pair_i = pair_j").select(F.col("pair_i").alias("trait_order"), F.lit(True).alias("_bad"))
-    h2 = F.coalesce("h2_liab", "h2_obs")
-    z = F.when((h2 > 0) & (F.coalesce("h2_liab_se", "h2_obs_se") > 0), h2 / F.coalesce("h2_liab_se", "h2_obs_se"))
-    nodes = traits.join(own, "trait_order", "left").select(
+    # The mean of a trait's self-pairs, which agree or would have been fatal; a negative heritability gives a negative ratio.
+    means = ordered.filter("p1 = p2").groupBy(F.col("p1").alias("trait")).agg(
+        F.avg(F.coalesce("h2_liab", "h2_obs")).alias("_h2"), F.avg(F.coalesce("h2_liab_se", "h2_obs_se")).alias("_h2_se"))
+    z = F.when(F.col("_h2_se") > 0, F.col("_h2") / F.col("_h2_se"))
+    nodes = traits.join(own, "trait_order", "left").join(means, "trait", "left").select(
         F.lit("all").alias("panel_id"), "trait_order", F.coalesce("_bad", F.lit(False)).alias("self_failed"),
         F.when(F.col("Self_Reason") != "", F.col("Self_Reason")).otherwise("Missing self-pair").alias("self_reason"), z.alias("H2_Z"))
     excluded = durable(panels.select_complete_traits(broken.withColumn("panel_id", F.lit("all")), nodes).join(manifest.select("trait", "trait_order"), "trait_order"))
@@ -275,7 +287,7 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
         "Retained", F.col("Exclusion_Reason").isNull())
     left = retained.count()
     if left < 2:
-        raise EstimationFailure(f"trait removal leaves {left} trait(s); at least two are required", excluded=excluded, pair_status=status, trait_status=traits)
+        raise EstimationFailure(f"trait removal leaves {left} trait(s); at least two are required", "insufficient_traits", excluded=excluded, pair_status=status, trait_status=traits)
     kept = pairs.sort_by_manifest(pairs.restrict(ordered, retained), manifest, row)
     return CompiledPairs("compiled_with_trait_exclusions" if excluded.take(1) else "compiled", kept, status, traits, excluded, retained)
 

@@ -126,10 +126,12 @@ def test_failure_policies(spark):
         compiled(spark, broken, "error")
     assert error.value.audits["pair_status"].filter("Status <> 'valid'").count() == 2
     assert compiled(spark, broken, "report").status == "estimation_failures"
-    with pytest.raises(jobs.EstimationFailure, match="at least two"):
+    with pytest.raises(jobs.EstimationFailure, match="at least two") as error:
         compiled(spark, grid(failing=set(itertools.product(RIVERS, repeat=2)), h2=dict.fromkeys(RIVERS, -.01)))
-    with pytest.raises(ValueError, match="mismatch"):
+    assert error.value.status == "insufficient_traits"
+    with pytest.raises(ValueError, match="mismatch") as error:
         compiled(spark, grid(absent=both("oder", "saale")), "report")
+    assert error.value.status == "structural_failure" and error.value.audits["coverage"].filter("coverage <> 'present'").count() >= 2
     rows = list(grid())
     again = next(r for r in rows if (r["p1"], r["p2"]) == ("saale", "oder"))
     with pytest.raises(ValueError, match="conflicting"):
