@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from assocspark.functions.tails import normal_quantile_sql
 from assocspark.operators import alleles, filters, ordering
 from assocspark.operators import variant_qc as vq
+from assocspark.plans import jobs
 
 from . import views as v
 from .views import ORDER, q6, r6
@@ -155,6 +156,11 @@ def chisq_auto(spark, sf):
     return filters.chisq_filter(munged(spark, sf), auto_cutoff(spark, sf))[2]
 
 
+def job_chisq_auto(spark, sf):
+    """The checked job: its summary with mode, matched N and matched rows."""
+    return jobs.chisq_filtered(munged(spark, sf), "auto", reference=v.ldscore(spark, sf), weights=v.ldweights(spark, sf), keys=("trait", *ORDER))[2]
+
+
 def hm3_selected(spark, sf):
     kept, _ = filters.hm3_select(v.variants(spark, sf, require_info=True).good, v.hm3(spark, sf), keys=ORDER)
     return kept.select("trait", "SNP", "CHR", "POS", "A1", "A2", "N", "INFO")
@@ -263,6 +269,8 @@ QUERIES = {
                              "FROM m WHERE zn * zn > 64 GROUP BY 1, 2"),
     "chisq_fixed_kept": (chisq_fixed_kept, f"WITH {_MUNGED} SELECT {_K}, SNP, N, zn AS Z FROM m WHERE zn IS NULL OR zn * zn <= 64"),
     "chisq_auto": (chisq_auto, f"WITH {_AUTO} " + _CHISQ.format(cut="cut.chisq_max", join="JOIN cut ON cut.trait = m.trait")),
+    "job_chisq_auto": (job_chisq_auto, f"WITH {_AUTO}, s AS (" + _CHISQ.format(cut="cut.chisq_max", join="JOIN cut ON cut.trait = m.trait")
+                       + ") SELECT s.*, 'auto' AS threshold_mode, maximum_matched_n, complete_ld_matched_rows FROM s JOIN cut ON cut.trait = s.trait"),
     "hm3_selected": (hm3_selected, f"WITH {v.variant_ctes(require_info=True)}, {v.HM3_CTE} "
                      "SELECT trait, SNP, CHR, POS, A1, A2, N, INFO FROM good WHERE SNP IN (SELECT SNP FROM hm3)"),
     "hm3_issues": (hm3_issues, f"WITH {v.variant_ctes(require_info=True)}, {v.HM3_CTE} {_HM3_ISSUES}"),
