@@ -3,6 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,12 +91,36 @@ def sort_by_position(df: DataFrame, tie: Sequence[str] = (), *, chrom="CHR", pos
     return position_keys(df, chrom=chrom, pos=pos).orderBy("_chr", "_bp", *tie).drop("_chr", "_bp")
 
 
+_EDGES = "part int, order_breaks long, first_chr decimal(38,0), first_bp decimal(38,0), last_chr decimal(38,0), last_bp decimal(38,0)"
+
+
+def _edges(batches):
+    """Breaks inside one range partition, and its first and last position."""
+    breaks, first, last = 0, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chrom, bp = batch.column("_chr"), batch.column("_bp")
+        ahead = [c.slice(0, batch.num_rows - 1) for c in (chrom, bp)]
+        behind = [c.slice(1) for c in (chrom, bp)]
+        falls = pc.or_(pc.greater(ahead[0], behind[0]), pc.and_(pc.equal(ahead[0], behind[0]), pc.greater(ahead[1], behind[1])))
+        here = (chrom[0].as_py(), bp[0].as_py())
+        breaks += (pc.sum(falls).as_py() or 0) + (last is not None and last > here)
+        first, last = first or here, (chrom[-1].as_py(), bp[-1].as_py())
+    if first is not None:
+        values = zip(_EDGES.replace("decimal(38,0)", "decimal").split(", "), (TaskContext.get().partitionId(), breaks, *first, *last), strict=True)
+        types = {"int": pa.int32(), "long": pa.int64(), "decimal": pa.decimal128(38, 0)}
+        yield pa.RecordBatch.from_pydict({field.split()[0]: pa.array([value], types[field.split()[1]]) for field, value in values})
+
+
 def is_position_sorted(df: DataFrame, order: Sequence[str], *, chrom="CHR", pos="BP") -> DataFrame:
-    """One row: are rows, read in ``order``, already in genomic order (ties allowed)?
+    """One row: are rows, read in ``order``, already in genomic order (ties allowed)? Unreadable positions count as the lowest.
 
-    Neighbours are compared by joining each row's rank to the next one's.
+    Neighbours are compared inside range partitions; only the partitions' first and last positions meet.
     """
-    ranked = global_rank(position_keys(df, chrom=chrom, pos=pos).select("_chr", "_bp", *order), list(order))
-    following = ranked.select((F.col("rank") - 1).alias("rank"), F.struct("_chr", "_bp").alias("_next"))
-    breaks = ranked.join(following, "rank").filter(F.struct("_chr", "_bp") > F.col("_next"))
-    return breaks.agg((F.count("*") == 0).alias("is_sorted"), F.count("*").alias("order_breaks"))
+    keys = position_keys(df, chrom=chrom, pos=pos).withColumns({c: F.coalesce(c, F.lit(0).cast("decimal(38,0)")) for c in ("_chr", "_bp")})
+    edges = keys.select("_chr", "_bp", *order).repartitionByRange(*order).sortWithinPartitions(*order).select("_chr", "_bp").mapInArrow(_edges, _EDGES)
+    before = Window.orderBy("part")
+    falls = (F.lag(F.struct("last_chr", "last_bp")).over(before) > F.struct("first_chr", "first_bp")).cast("long")
+    total = F.sum(F.col("order_breaks") + F.coalesce("falls", F.lit(0)))
+    return edges.withColumn("falls", falls).agg((F.coalesce(total, F.lit(0)) == 0).alias("is_sorted"), F.coalesce(total, F.lit(0)).alias("order_breaks"))
