@@ -181,18 +181,29 @@ def _apart(bucket: DataFrame, centre: DataFrame, labels: DataFrame, content: Dat
         return None
     parts = mixed.groupBy("band", "component").count()
     major = stage(parts.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.max("count").alias("n_major"), F.sum("count").alias("n")))
-    cuts = major.select("band", "major", F.ceil(F.col("n_major") / BLOCK).cast("int").alias("tall"), F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("int").alias("wide"))
-    dealt = mixed.join(cuts, "band").withColumn("hash", F.xxhash64("node"))
-    minor, wide, tall = F.col("component") != F.col("major"), F.pmod("hash", "wide").cast("int"), F.pmod("hash", "tall").cast("int")
-    # texts of the largest component are not compared with each other: tiles of it (i < 0) against the rest, and of the rest against itself
+    dealt = mixed.join(major, "band")
+    minor = F.col("component") != F.col("major")
+    # The rest of all buckets in which a component is the largest meets its texts once, whichever bands they share.
+    own = stage(dealt.where(~minor).select(F.col("major").alias("bucket"), "node", "component").distinct())
+    rest = stage(dealt.where(minor).select(F.col("major").alias("bucket"), "node", "component").distinct())
+    blocks = own.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("tall")).join(rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("wide")), "bucket")
+    among = dealt.where(minor).withColumn("wide", F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("int"))
+    split = among.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+
+    def block(cuts):
+        return F.pmod(F.xxhash64("node"), cuts).cast("int")
+
+    def each(cuts):
+        return F.explode(F.sequence(F.lit(0), F.col(cuts) - 1))
+
     tiles = [
-        dealt.where(~minor).select("band", (-1 - tall).alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(-1).alias("block"), "node", "component"),
-        dealt.where(minor).select("band", F.explode(F.sequence(-F.col("tall"), F.lit(-1))).alias("i"), wide.alias("j"), wide.alias("block"), "node", "component"),
-        dealt.where(minor).withColumn("block", wide).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)))
-        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component"),
+        own.join(blocks, "bucket").select("bucket", (-1 - block("tall")).alias("i"), each("wide").alias("j"), F.lit(-1).alias("block"), "node", "component"),
+        rest.join(blocks, "bucket").withColumn("j", block("wide")).select("bucket", F.explode(F.sequence(-F.col("tall"), F.lit(-1))).alias("i"), "j", F.col("j").alias("block"), "node", "component"),
+        among.join(split, "band").withColumn("block", block("wide")).withColumn("other", each("wide")).select(
+            F.col("band").alias("bucket"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component"),
     ]
     full = tiles[0].union(tiles[1]).union(tiles[2]).join(content.select(F.col("doc_id").alias("node"), "strips"), "node")
-    return stage(full.groupBy("band", "i", "j").applyInPandas(_compare, "a long, b long"))
+    return stage(full.groupBy("bucket", "i", "j").applyInPandas(_compare, "a long, b long"))
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
