@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import held_out, sample_ids, trimmed
-from .text import expand, id_text, in_steps, string_hashes, words
+from .text import expand, id_text, in_steps, polynomial, span, string_hashes, words
 
 #: Training documents taken per label at most, and the length up to which one may be taken; scoring has no such limit.
 PER_LABEL = 1500
@@ -26,9 +26,10 @@ TRAIN_CHARS = 20_000
 CHAIN = 64
 #: Hash slots of emission features.
 SLOTS = 1 << 18
-#: Least evidence that a feature marks toxic documents (besides 2 log of how many features are looked at), and the share of its documents that
+#: Least evidence that a feature marks toxic documents (besides 1.4 log of how many features are looked at), and the share of its documents that
 #: must be toxic (at equal class sizes).
-EVIDENCE, PURITY = 14.0, 0.9
+EVIDENCE, PURITY = 9.0, 0.9
+SKETCH = 8
 SPAN = "array<struct<begin: int, end: int>>"
 
 
@@ -123,6 +124,31 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarra
     return beta
 
 
+def copy_groups(codes: np.ndarray, offsets: np.ndarray, distinct: pa.StringArray) -> np.ndarray:
+    """A group per text of the sample; a text joins an earlier one that shares half of its ``SKETCH`` smallest five-word hashes.
+
+    Copies of one document are one witness: whatever odd words it holds would otherwise look like evidence.
+    """
+    sums = polynomial(string_hashes(distinct)[codes])
+    index: dict[int, list[int]] = {}
+    group = np.zeros(len(offsets) - 1, np.int64)
+    for d, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+        at = np.arange(a, max(a + 1, b - 4)) if b > a else np.zeros(0, np.int64)
+        sketch = np.unique(span(sums, at, np.minimum(at + 5, b)))[:SKETCH].tolist()
+        votes: dict[int, int] = {}
+        for value in sketch:
+            for leader in index.get(value, ()):
+                votes[leader] = votes.get(leader, 0) + 1
+        best = max(votes, key=votes.get, default=None)
+        if best is not None and 2 * votes[best] >= len(sketch):
+            group[d] = best
+        else:
+            group[d] = d
+            for value in sketch:
+                index.setdefault(value, []).append(d)
+    return group
+
+
 def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
     """Model from labelled texts; ``sizes`` are the numbers of labelled documents of each class that the sample stands for."""
     y = np.array(toxic, np.int64)
@@ -132,17 +158,19 @@ def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
     codes, offsets, distinct = words(pa.array(texts, pa.string()))
     by_word = features(distinct)
     doc = np.repeat(np.arange(len(y)), np.diff(offsets))
-    n1, n0 = int(y.sum()), int((1 - y).sum())
+    group = copy_groups(codes, offsets, distinct)
+    leads = group == np.arange(len(y))
+    n1, n0 = max(1, int((y * leads).sum())), max(1, int(((1 - y) * leads).sum()))
     marked = np.zeros(len(distinct), bool)
     for f in range(3):  # the word and its beginnings
-        key = np.unique(doc * SLOTS + by_word[codes, f])
+        key = np.unique(group[doc] * SLOTS + by_word[codes, f])
         slot, label = key % SLOTS, y[key // SLOTS]
         k1, k0 = np.bincount(slot, label, SLOTS), np.bincount(slot, 1 - label, SLOTS)
         with np.errstate(divide="ignore", invalid="ignore"):
             expected = (k1 + k0) * n1 / (n1 + n0)
             ratio = 2 * (np.where(k1 > 0, k1 * np.log(k1 / expected), 0) + np.where(k0 > 0, k0 * np.log(k0 / np.maximum(k1 + k0 - expected, 1e-9)), 0))
             pure = (k1 / n1) / np.maximum(k1 / n1 + k0 / n0, 1e-12)
-        least = max(EVIDENCE, 2 * np.log(max(1, int((k1 + k0 >= 3).sum()))))
+        least = max(EVIDENCE, 1.4 * np.log(max(1, int((k1 + k0 >= 3).sum()))))
         marked |= ((ratio > least) & (pure > PURITY) & (k1 >= 3))[by_word[:, f]]
     tags = (marked[codes] & (y[doc] == 1)).astype(np.int64)
     first, length = chains(offsets)
@@ -153,7 +181,7 @@ def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
     weights, moves, begin = _fit_chain(by_word[codes[where]], tags[where], ends - length[keep], length[keep])
     score = (weights[by_word].sum(axis=1) + weights[SLOTS])[codes]
     p, _ = marginals(score, first, length, moves, begin)
-    share = np.where(y == 1, sizes.get(1, n1) / n1, sizes.get(0, n0) / n0)
+    share = np.where(y == 1, sizes.get(1, 1) / y.sum(), sizes.get(0, 1) / (1 - y).sum())
     return Model(weights, moves, begin, _fit_logistic(summaries(p, offsets), y.astype(float), share / share.mean()), prior)
 
 
