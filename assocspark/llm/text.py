@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that one step of a task works on (a single longer text is one step).
-STEP_CHARS = 8_000_000
+STEP_CHARS = 3_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -54,6 +54,7 @@ def in_steps(work: Callable[[pa.Table], pa.Table | pa.RecordBatch | None], colum
                 out = work(batch.slice(a, b - a))
                 if out is not None and out.num_rows:
                     yield from (out.to_batches() if isinstance(out, pa.Table) else [out])
+            pa.default_memory_pool().release_unused()  # workers live long; what they keep adds up beside the executor's heap
     return run
 
 

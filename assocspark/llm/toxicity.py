@@ -26,10 +26,12 @@ TRAIN_CHARS = 20_000
 CHAIN = 64
 #: Hash slots of emission features.
 SLOTS = 1 << 18
-#: Least evidence that a feature marks toxic documents (besides 1.4 log of how many features are looked at), and the share of its documents that
+#: Least evidence that a feature marks toxic documents (besides 1.6 log of how many features are looked at), and the share of its documents that
 #: must be toxic (at equal class sizes).
-EVIDENCE, PURITY = 9.0, 0.9
+EVIDENCE, PURITY = 10.0, 0.9
 SKETCH = 8
+#: Training documents summed up at a time, and chains of one step of the fit.
+PART, TOGETHER = 200, 3000
 SPAN = "array<struct<begin: int, end: int>>"
 
 
@@ -87,17 +89,23 @@ def _fit_chain(slots: np.ndarray, tags: np.ndarray, first: np.ndarray, length: n
     seen = np.bincount(pairs[~head[1:]], minlength=4)
     for step in range(1, steps + 1):
         moves = theta[SLOTS + 1:SLOTS + 5].reshape(2, 2)
-        score = theta[slots].sum(axis=1) + theta[SLOTS]
-        p, (at, inside, odds, ahead, back) = marginals(score, first, length, moves, theta[-1])
-        slope = tags - p
-        grad = np.zeros_like(theta)
-        grad[:SLOTS] = np.bincount(slots.reshape(-1), np.repeat(slope, slots.shape[1]), SLOTS)
-        grad[SLOTS] = slope.sum()
-        grad[-1] = slope[first].sum()
         oo, ot, to, tt = np.exp(moves).reshape(-1)
-        near, nxt = ahead[:-1], odds[1:] * back[1:]
-        each = np.stack([oo + 0 * near, ot * nxt, to * near, tt * near * nxt])
-        grad[SLOTS + 1:SLOTS + 5] = seen - ((each / each.sum(axis=0)) * inside.T[1:]).sum(axis=(1, 2))
+        grad = np.zeros_like(theta)
+        grad[SLOTS + 1:SLOTS + 5] = seen
+        for i in range(0, len(first), TOGETHER):
+            start, size = first[i:i + TOGETHER], length[i:i + TOGETHER]
+            rows = slots[start[0]:start[-1] + size[-1]]
+            own = start - start[0]
+            p, (_, inside, odds, ahead, back) = marginals(theta[rows].sum(axis=1) + theta[SLOTS], own, size, moves, theta[-1])
+            slope = tags[start[0]:start[-1] + size[-1]] - p
+            grad[:SLOTS] += np.bincount(rows.reshape(-1), np.repeat(slope, rows.shape[1]), SLOTS)
+            grad[SLOTS] += slope.sum()
+            grad[-1] += slope[own].sum()
+            near, nxt = ahead[:-1], odds[1:] * back[1:]
+            each = np.stack([oo + 0 * near, ot * nxt, to * near, tt * near * nxt])
+            each /= each.sum(axis=0)
+            each *= inside.T[1:]
+            grad[SLOTS + 1:SLOTS + 5] -= each.sum(axis=(1, 2))
         grad = grad / n - 1e-6 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta + 0.2 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
@@ -115,6 +123,11 @@ def summaries(p: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), np.log1p(np.maximum(total, 0)), np.log(top / (1 - top))], axis=1)
 
 
+def _summaries_of(score: np.ndarray, offsets: np.ndarray, moves: np.ndarray, begin: float) -> np.ndarray:
+    own = offsets - offsets[0]
+    return summaries(marginals(score[offsets[0]:offsets[-1]], *chains(own), moves, begin)[0], own)
+
+
 def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Newton steps with a small ridge."""
     beta, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1]) * 0.1
@@ -157,6 +170,7 @@ def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
         return Model(np.zeros(SLOTS + 1), np.zeros((2, 2)), 0.0, np.array([np.log((prior + 1e-3) / (1 - prior + 1e-3)), 0.0, 0.0]), prior)
     codes, offsets, distinct = words(pa.array(texts, pa.string()))
     by_word = features(distinct)
+    pa.default_memory_pool().release_unused()
     doc = np.repeat(np.arange(len(y)), np.diff(offsets))
     group = copy_groups(codes, offsets, distinct)
     leads = group == np.arange(len(y))
@@ -170,7 +184,7 @@ def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
             expected = (k1 + k0) * n1 / (n1 + n0)
             ratio = 2 * (np.where(k1 > 0, k1 * np.log(k1 / expected), 0) + np.where(k0 > 0, k0 * np.log(k0 / np.maximum(k1 + k0 - expected, 1e-9)), 0))
             pure = (k1 / n1) / np.maximum(k1 / n1 + k0 / n0, 1e-12)
-        least = max(EVIDENCE, 1.4 * np.log(max(1, int((k1 + k0 >= 3).sum()))))
+        least = max(EVIDENCE, 1.6 * np.log(max(1, int((k1 + k0 >= 3).sum()))))
         marked |= ((ratio > least) & (pure > PURITY) & (k1 >= 3))[by_word[:, f]]
     tags = (marked[codes] & (y[doc] == 1)).astype(np.int64)
     first, length = chains(offsets)
@@ -178,11 +192,11 @@ def fit(texts: list[str], toxic: list[int], sizes: dict[int, int]) -> Model:
     keep = hot | (np.arange(len(first)) % max(1, int((~hot).sum() / max(1, 2 * hot.sum()))) == 0)
     where = expand(first[keep], length[keep])
     ends = np.cumsum(length[keep])
-    weights, moves, begin = _fit_chain(by_word[codes[where]], tags[where], ends - length[keep], length[keep])
+    weights, moves, begin = _fit_chain(by_word.astype(np.int32)[codes[where]], tags[where], ends - length[keep], length[keep])
     score = (weights[by_word].sum(axis=1) + weights[SLOTS])[codes]
-    p, _ = marginals(score, first, length, moves, begin)
+    x = np.concatenate([_summaries_of(score, offsets[a:a + PART + 1], moves, begin) for a in range(0, len(y), PART)])
     share = np.where(y == 1, sizes.get(1, 1) / y.sum(), sizes.get(0, 1) / (1 - y).sum())
-    return Model(weights, moves, begin, _fit_logistic(summaries(p, offsets), y.astype(float), share / share.mean()), prior)
+    return Model(weights, moves, begin, _fit_logistic(x, y.astype(float), share / share.mean()), prior)
 
 
 def tag(model: Model, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,7 +235,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             out["spans"] = pa.ListArray.from_arrays(pa.array(bounds), end)
         return pa.RecordBatch.from_pydict(out)
 
-    return id_text(docs, id_col, text_col).mapInArrow(in_steps(work, chars=2_000_000), "doc_id long, score double" + (f", spans {SPAN}" if spans else ""))
+    return id_text(docs, id_col, text_col).mapInArrow(in_steps(work, chars=1_500_000), "doc_id long, score double" + (f", spans {SPAN}" if spans else ""))
 
 
 def classify(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
@@ -242,4 +256,4 @@ def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", leas
         return batch.filter(pa.array(value < least))
 
     plain = docs.toDF(*names)
-    return plain.mapInArrow(in_steps(work, body, chars=2_000_000), plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(in_steps(work, body, chars=1_500_000), plain.schema).toDF(*docs.columns)
