@@ -21,7 +21,8 @@ OFFSET = 2.7
 UNKNOWN = 10.0
 #: Fixed: the word mark of the piece file.
 MARK = "▁"
-NODES = 300_000
+#: Nodes of a trie, and words in each of the two generations of terminals, that a worker keeps.
+NODES, TERMINALS = 500_000, 150_000
 _tries: dict = {}
 
 
@@ -39,42 +40,56 @@ class Trie:
     """Nodes with the best score and the number of tokens of the characters from the root."""
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
         self.lost = min(pieces.values(), default=0.0) - UNKNOWN
+        self.endings: dict = {}  # pieces by their characters from the last to the first, the log probability under ""
+        for piece, p in pieces.items():
+            at = self.endings
+            for c in reversed(piece):
+                at = at.setdefault(c, {})
+            at[""] = p
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[tuple[int, str], int] = {}
         self.score, self.tokens = [0.0], [0]
-        self.terminal: dict[str, int] = {}
 
     def count(self, word: str) -> int:
-        found = self.terminal.get(word)
+        found = self.young.get(word)
         if found is None:
-            if len(self.score) > NODES or len(self.terminal) > NODES:
-                self.clear()
-            found = self.tokens[self._insert(word)]
+            found = self.old.get(word)
+            if found is None:
+                if len(self.score) > NODES:
+                    self.clear()
+                found = self.tokens[self._insert(word)]
             if len(word) <= 64:
-                self.terminal[word] = found
+                if len(self.young) >= TERMINALS:
+                    self.young, self.old = {}, self.young
+                self.young[word] = found
         return found
 
     def _insert(self, word: str) -> int:
-        child, score, tokens, get = self.child, self.score, self.tokens, self.pieces.get
+        child, score, tokens = self.child, self.score, self.tokens
         if len(word) > 256:  # such words share no prefix worth keeping
             child, score, tokens = {}, [0.0], [0]
         path, node = [0], 0
-        for end, c in enumerate(word, 1):
+        for end, c in enumerate(word):
             key = (node, c)
             nxt = child.get(key)
             if nxt is None:
-                before = path[-1]
-                best, least = score[before] + self.lost, tokens[before] + len(c.encode("utf-8", "surrogatepass"))
-                for start in range(max(0, end - self.longest), end):
-                    p = get(word[start:end])
+                best, least = score[node] + self.lost, tokens[node] + (1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass")))
+                at = self.endings
+                for start in range(end, -1, -1):
+                    at = at.get(word[start])
+                    if at is None:
+                        break
+                    p = at.get("")
                     if p is not None:
-                        s = score[path[start]] + p
-                        if s > best or s == best and tokens[path[start]] < least:
-                            best, least = s, tokens[path[start]] + 1
+                        before = path[start]
+                        s = score[before] + p
+                        if s > best or s == best and tokens[before] < least:
+                            best, least = s, tokens[before] + 1
                 nxt = len(score)
                 score.append(best)
                 tokens.append(least)
@@ -82,8 +97,8 @@ class Trie:
             node = nxt
             path.append(node)
         if child is not self.child:
-            self.tokens.append(tokens[node])
             self.score.append(score[node])
+            self.tokens.append(tokens[node])
             return len(self.tokens) - 1
         return node
 
