@@ -1,11 +1,10 @@
 """Removal of runs of words that an earlier document, or an earlier place of the same document, already has: winnowed line hashes.
 
 Passages are pasted in the middle of physical lines and wrapped anew, so a line here is any ``LINE`` consecutive words: one starts at every
-word. Of every ``WINDOW`` neighbouring line hashes the smallest (the last of equals) is kept as a fingerprint, which guarantees that a
-shared run of ``LINE + WINDOW - 1`` = 40 words has one. A fingerprint's source is its first occurrence in (doc_id, word) order. Positions
-joined to their sources chain into runs where their lines overlap or touch; both ends are extended word by word against the words around
-the source of the run's first and last line.
-Runs of at least ``MIN_WORDS`` words are deleted where they occur later; their first occurrence stays.
+word. Of every ``WINDOW`` neighbouring line hashes, which span ``LINE + WINDOW - 1`` = 40 words, the smallest (the last of equals) is kept as
+a fingerprint; equal stretches of 40 words keep the same one. So only stretches whose fingerprint occurs again can: their hashes are compared
+one by one, whatever documents they are in. The first occurrence of a stretch in (doc_id, word) order stays; the words of every later one are
+marked, and marks that overlap or touch are one deleted run, of ``MIN_WORDS`` words at least.
 """
 from __future__ import annotations
 
@@ -26,23 +25,28 @@ _LOW = np.uint64((1 << 20) - 1)
 _WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
 
 
-def winnow(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions (in the whole batch) of the chosen lines, and their hashes."""
+def _chosen(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all lines of a batch, and for every 40 words inside one text the position of the first word and of the line they keep."""
     n = len(hashes)
     if n < MIN_WORDS:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    sums = polynomial(hashes)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.arange(n - LINE + 1)
-    lines = span(sums, at, at + LINE)
-    key = (lines & ~_LOW) | (_LOW - (at.astype(np.uint64) & _LOW))
+    lines = span(polynomial(hashes), at, at + LINE)
+    inside = at - np.repeat(offsets[:-1], np.diff(offsets))[:len(at)]  # within its text, so that a text's choice never depends on its batch
+    key = (lines & ~_LOW) | (_LOW - (inside.astype(np.uint64) & _LOW))
     low, width = key, 1
     while width < WINDOW:
         step = min(width, WINDOW - width)
         low = np.minimum(low[:-step], low[step:])
         width += step
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    first = np.flatnonzero(np.arange(len(low)) + MIN_WORDS <= ends[:len(low)])  # windows that stay in their text
-    place = first + ((_LOW - (low[first] & _LOW)).astype(np.int64) - first) % (1 << 20)
+    first = np.flatnonzero(np.arange(len(low)) + MIN_WORDS <= ends[:len(low)])
+    return lines, first, first + ((_LOW - (low[first] & _LOW)).astype(np.int64) - inside[first]) % (1 << 20)
+
+
+def winnow(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions (in the whole batch) of the chosen lines, and their hashes."""
+    lines, _, place = _chosen(hashes, offsets)
     chosen = np.zeros(len(lines), bool)
     chosen[place] = True
     place = np.flatnonzero(chosen)
@@ -56,54 +60,56 @@ def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"line": pa.array(lines.view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "at": pa.array((place - offsets[doc]).astype(np.int32))})
 
 
-def _around(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-    """Hashes of the words before and after the asked places of each text."""
+def _stretches(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Every 40 words of each text that keep one of the asked places, as a hash and the position of the first word."""
     codes, offsets, distinct = words(batch.column("text"))
     hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
-    out = {"src_doc": [], "place": [], "before": [], "after": []}
-    for d, (doc, asked) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("places").to_pylist(), strict=True)):
-        a, b = offsets[d], offsets[d + 1]
-        for p in asked:
-            out["src_doc"].append(doc)
-            out["place"].append(p)
-            out["before"].append(hashes[max(a, a + p - WINDOW):max(a, min(a + p, b))].tobytes())
-            out["after"].append(hashes[min(a + p, b):min(a + p + WINDOW, b)].tobytes())
-    return pa.RecordBatch.from_pydict(out, schema=pa.schema([("src_doc", pa.int64()), ("place", pa.int64()), ("before", pa.binary()), ("after", pa.binary())]))
+    _, first, place = _chosen(hashes, offsets)
+    doc, at = _flat(batch.column("places"))
+    asked = np.zeros(len(hashes), bool)
+    asked[(offsets[doc] + at)[at < np.diff(offsets)[doc]]] = True  # the others are places of another text of the same doc_id
+    first = first[asked[place]]
+    doc = np.searchsorted(offsets, first, side="right") - 1
+    return pa.RecordBatch.from_pydict({"stretch": pa.array(span(polynomial(hashes), first, first + MIN_WORDS).view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "at": pa.array((first - offsets[doc]).astype(np.int32))})
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    return int(differ[0]) if len(differ) else n
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray | pa.StructArray]:
+    """Row of every element of the lists, and the elements."""
+    values = lists.flatten()
+    return np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets))), values if pa.types.is_struct(values.type) else np.asarray(values)
 
 
 def _clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Extended and merged runs of each text, and the text without them."""
+    """Merged runs of each text, and the text without them."""
     codes, offsets, distinct = words(batch.column("text"))
     hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
+    doc, marks = _flat(batch.column("runs"))
+    at, stretch, src = (np.asarray(marks.field(name)) for name in ("at", "stretch", "src_doc"))
+    begin = offsets[doc] + at
+    fits = begin + MIN_WORDS <= offsets[doc + 1]
+    doc, begin, stretch, src = doc[fits], begin[fits], stretch[fits], src[fits]
+    same = span(polynomial(hashes), begin, begin + MIN_WORDS) == stretch.view(np.uint64)  # the others are in another text of the same doc_id
+    order = np.flatnonzero(same)[np.argsort(begin[same], kind="stable")]
+    doc, begin, src = doc[order], begin[order], src[order]
+    new = np.ones(len(begin), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] > begin[:-1] + MIN_WORDS)
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(begin))[:len(head)] - 1
+    source = np.minimum.reduceat(src, head) if len(head) else src
+    owner = doc[head]
+    merged = np.stack([begin[head] - offsets[owner], begin[last] + MIN_WORDS - offsets[owner], source], axis=1).tolist()
+    bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
     texts, found = [], []
-    for d, (text, runs) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True)):
-        own, spans = hashes[offsets[d]:offsets[d + 1]], []
-        for r in runs:
-            if r["end"] > len(own):
-                continue  # found in another text of the same doc_id
-            begin = r["begin"] - _common(own[:r["begin"]][::-1], np.frombuffer(r["before"], np.uint64)[::-1])
-            spans.append((begin, r["end"] + _common(own[r["end"]:], np.frombuffer(r["after"], np.uint64)), r["src_doc"]))
-        merged: list[list[int]] = []
-        for a, b, src in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1] = [merged[-1][0], max(b, merged[-1][1]), min(src, merged[-1][2])]
-            else:
-                merged.append([a, b, src])
-        merged = [m for m in merged if m[1] - m[0] >= MIN_WORDS]
-        places = [m.span() for m in _WORD.finditer(text or "")] if merged else []
+    for d, text in enumerate(batch.column("text").to_pylist()):
+        runs = merged[bounds[d]:bounds[d + 1]]
+        places = [m.span() for m in _WORD.finditer(text or "")] if runs else []
         kept, at, out = [], 0, []
-        for a, b, src in merged:
+        for a, b, src in runs:
             start, stop = places[a][0], places[b][0] if b < len(places) else len(text)
             kept.append(text[at:start])
             at = stop
             out.append({"begin": start, "end": stop, "n_words": b - a, "source_doc_id": src})
-        texts.append("".join(kept) + text[at:] if merged else text)
+        texts.append("".join(kept) + text[at:] if runs else text)
         found.append(out)
     runs = pa.array(found, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()), ("source_doc_id", pa.int64())])))
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c not in ("text", "runs")), pa.array(texts, pa.string()), runs],
@@ -114,23 +120,15 @@ _REMOVED = "array<struct<begin: long, end: long, n_words: long, source_doc_id: l
 
 
 def later_runs(rows: DataFrame) -> DataFrame:
-    """Per document with matches: doc_id and its runs, each with the words around its source. ``rows`` has doc_id and text."""
-    prints = stage(rows.where("doc_id IS NOT NULL").mapInArrow(in_steps(_fingerprints), "line long, doc_id long, at int"))
-    first = stage(prints.groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("src"), F.count("*").alias("n")).where("n > 1").select("line", F.col("src.doc_id").alias("src_doc"), F.col("src.at").alias("src_at")))
-    matches = prints.join(first, "line").where("doc_id <> src_doc OR at <> src_at").select("doc_id", "at", "src_doc", "src_at")
-    order = Window.partitionBy("doc_id").orderBy("at")
-    chained = matches.withColumn("first", F.coalesce(F.col("at") - F.lag("at").over(order) > LINE, F.lit(True)).cast("int")).withColumn("run", F.sum("first").over(order))
-    source = F.struct("src_doc", "src_at")
-    runs = stage(chained.groupBy("doc_id", "run").agg(F.min("at").cast("long").alias("begin"), (F.max("at") + LINE).cast("long").alias("end"), F.min("src_doc").alias("src_doc"), F.min_by(source, "at").alias("head"), F.max_by(source, "at").alias("tail"))
-                 .select("doc_id", "begin", "end", "src_doc", F.col("head.src_doc").alias("head_doc"), F.col("head.src_at").cast("long").alias("head_at"), F.col("tail.src_doc").alias("tail_doc"), (F.col("tail.src_at") + LINE).cast("long").alias("tail_at")))
-    places = runs.select("head_doc", "head_at").union(runs.select("tail_doc", "tail_at")).toDF("doc_id", "place").distinct()
-    asked = stage(places.groupBy("doc_id").agg(F.collect_list("place").alias("places")))  # at most two per fingerprint of that text
-    sources = only_ids(rows, asked.select("doc_id")).groupBy("doc_id").agg(F.min("text").alias("text")).join(asked, "doc_id")
-    around = stage(sources.mapInArrow(in_steps(_around), "src_doc long, place long, before binary, after binary"))
-    left = around.select(F.col("src_doc").alias("head_doc"), F.col("place").alias("head_at"), "before")
-    right = around.select(F.col("src_doc").alias("tail_doc"), F.col("place").alias("tail_at"), "after")
-    known = runs.join(left, ["head_doc", "head_at"]).join(right, ["tail_doc", "tail_at"])
-    return stage(known.groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end", "src_doc", "before", "after")).alias("runs")))
+    """Per document with matches: doc_id and the 40 words that an earlier place has, each with the first document that has them. ``rows`` has doc_id and text."""
+    rows = rows.where("doc_id IS NOT NULL")
+    prints = stage(rows.mapInArrow(in_steps(_fingerprints), "line long, doc_id long, at int"))
+    again = stage(prints.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line"))
+    asked = stage(prints.join(again, "line").groupBy("doc_id").agg(F.collect_list("at").alias("places")))
+    stretches = stage(only_ids(rows, asked.select("doc_id")).join(asked, "doc_id").mapInArrow(in_steps(_stretches), "stretch long, doc_id long, at int"))
+    first = stretches.groupBy("stretch").agg(F.min(F.struct("doc_id", "at")).alias("src"), F.count("*").alias("n")).where("n > 1").select("stretch", F.col("src.doc_id").alias("src_doc"), F.col("src.at").alias("src_at"))
+    later = stretches.join(stage(first), "stretch").where("doc_id <> src_doc OR at <> src_at")
+    return stage(later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "stretch", "src_doc")).alias("runs")))
 
 
 def removed_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -127,6 +127,27 @@ def test_ends_follow_the_first_source(spark):
     assert left[0] == 70 and left[1] == 20 and left[2] <= 2 * (linededup.WINDOW - 1) and left[3] == 0
 
 
+def test_excerpt_in_the_first_document_hides_no_later_copy(spark):
+    texts = []
+    for size, excerpt in [(40, 39), (45, 39), (52, 38), (56, 30), (77, 39), (60, 21)]:
+        for seed in range(6):
+            base = 1000 * size + 10 * seed
+            passage, at = [f"p{base}_{i}" for i in range(size)], seed * (size - excerpt) // 5
+            for part in (passage[at:at + excerpt], passage, passage[:size // 2] + ["other"] + passage[size // 2:], passage):
+                d = len(texts)
+                texts.append((d, " ".join([*(f"b{d}_{i}" for i in range(30 + seed)), *part, *(f"e{d}_{i}" for i in range(30))])))
+    got = {r["doc_id"]: r["text"].split() for r in linededup.remove_later_runs(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == brute_removal(texts)
+    assert all(len(got[d]) == 60 + d // 4 % 6 for d in got if d % 4 == 3)
+
+
+def test_shared_doc_id_is_cut_where_the_run_is(spark):
+    passage = prose(60, 50).split()
+    texts = [(1, prose(61, 20).split() + passage), (2, prose(62, 30).split() + passage + prose(63, 40).split()), (2, prose(64, 150).split())]
+    got = sorted(len(r["text"].split()) for r in linededup.remove_later_runs(spark.createDataFrame([(d, " ".join(w)) for d, w in texts], "doc_id long, text string")).collect())
+    assert got == [70, 70, 150]
+
+
 def test_every_run_of_forty_words_has_a_shared_fingerprint():
     rng = np.random.default_rng(1)
     for _ in range(50):
