@@ -1,6 +1,8 @@
 """Licence scan: lines of documents against licence templates by the Dice coefficient over word bigrams.
 
-Text is normalised (lower case, letters, digits and inner dots kept, everything else a blank). A unit is one line, or the whole text where it has several. Dice of
+Text is normalised (lower case, letters, digits and inner dots kept, everything else a blank). A unit is one line, the whole text where it has several, or a
+notice: words in a row, across lines or within one, that no line or whole text above them covers. Notices are searched from bigram to bigram shared with a
+template, up to the size at which the template can still reach the coefficient; of overlapping ones the best stays. Dice of
 two bigram sets cannot exceed 2 min / (min + max) of their sizes, so only templates of a fitting size are looked at, and of those
 only the ones that share a bigram with the unit. Templates travel with the task; they are a short list, not data.
 """
@@ -110,25 +112,93 @@ def best_templates(lib: Library, texts, dice: float) -> tuple[np.ndarray, np.nda
     return text[top], template[top], value[top]
 
 
+def notices(lib: Library, lengths: np.ndarray, w, docs: np.ndarray, units: list, dice: float) -> list[tuple[int, int, float]]:
+    """First word, template and coefficient of every notice in texts whose words are ``w``, text d from word docs[d] to docs[d + 1].
+
+    ``units`` are (first word, end, template) of the units found. What they share with their template, from its first to its last bigram, takes no part.
+    A window begins and ends with a bigram of its template and has at most (2 - dice) / dice times the template's words. The best coefficient goes
+    first, then the longer window, the earlier template and the earlier place; windows that share a word with one taken go.
+    """
+    if not len(lib.grams) or len(w.codes) < 2:
+        return []
+    h = string_hashes(w.distinct)[w.codes]
+    pairs = mix(h[:-1] * _STEP + h[1:])
+    place = np.minimum(np.searchsorted(lib.grams, pairs), len(lib.grams) - 1)
+    hit = lib.grams[place] == pairs
+    starts = docs[(docs > 0) & (docs < len(h))]
+    hit[starts - 1] = False
+    at = np.flatnonzero(hit)
+    times = lib.first[place[at] + 1] - lib.first[place[at]]
+    template, at = lib.template[expand(lib.first[place[at]], times)], np.repeat(at, times)
+    order = np.lexsort((at, template))
+    template, at = template[order], at[order]
+    group = np.searchsorted(template, np.arange(len(lib.names) + 1))
+    taken = np.zeros(len(h), bool)
+    for a, b, t in units:
+        own = at[group[t]:group[t + 1]]
+        own = own[np.searchsorted(own, a):np.searchsorted(own, b - 1)]
+        if len(own):
+            taken[own[0]:own[-1] + 2] = True
+    blocked = np.concatenate([[0], np.cumsum(taken)])
+    found = []
+    for t, m in enumerate(lib.sizes):
+        own = at[group[t]:group[t + 1]]
+        need, most = max(1, int(np.ceil(m * dice / (2 - dice) - 1e-9))), int(lengths[t] * (2 - dice) / dice + 1e-9)
+        if len(own) < need:
+            continue
+        doc = np.searchsorted(docs, own, side="right")
+        far = np.arange(need - 1, len(own))
+        seeds = np.flatnonzero((own[far] - own[:len(far)] < most) & (doc[far] == doc[:len(far)]) & (blocked[own[far] + 2] == blocked[own[:len(far)]]))
+        for k in seeds.tolist():
+            a, grams, shared, end = int(own[k]), set(), set(), int(own[k])
+            for j in range(k, len(own)):
+                b = int(own[j])
+                if b - a >= most or doc[j] != doc[k] or blocked[b + 2] != blocked[a]:
+                    break
+                grams.update(pairs[end:b + 1].tolist())
+                end = b + 1
+                shared.add(int(pairs[b]))
+                value = 2 * len(shared) / (len(grams) + int(m))
+                if value >= dice:
+                    found.append((-value, a - b, t, a, b + 2))
+    out = []
+    for value, _, t, a, b in sorted(found):
+        if not taken[a:b].any():
+            taken[a:b] = True
+            out.append((a, t, -value))
+    return sorted(out)
+
+
 def scan(docs: DataFrame, *, dice: float = DICE, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit that carries a licence: doc_id, line (from 0; -1 for the whole text), license, template (its place in the list), dice.
+    """One row per unit that carries a licence: doc_id, line (from 0, of a notice the one it begins on; -1 for the whole text), license, template (its place in the list), dice.
 
     Null and empty texts carry none; repeated rows are scanned one by one.
     """
     lib = library(templates)
+    lengths = np.maximum(np.diff(words(normal(pa.array([t for _, t in templates], pa.string()))).offsets) - 1, 0)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = pc.fill_null(batch.column("text"), "")
         parts = pc.split_pattern(texts, "\n")
         offsets = np.asarray(parts.offsets).astype(np.int64)
         offsets = offsets - offsets[0]
-        line, template, value = best_templates(lib, normal(parts.flatten()), dice)
+        lines = normal(parts.flatten())
+        line, template, value = best_templates(lib, lines, dice)
         doc = np.searchsorted(offsets, line, side="right") - 1
         number = line - offsets[doc]
         many = np.flatnonzero(np.diff(offsets) > 1)
         whole, template2, value2 = best_templates(lib, normal(texts.take(pa.array(many))), dice)
-        doc, number = np.concatenate([doc, many[whole]]), np.concatenate([number, np.full(len(whole), -1)])
-        template = np.concatenate([template, template2])
+        w = words(lines)
+        starts = w.offsets[offsets]
+        units = [*zip(w.offsets[line].tolist(), w.offsets[line + 1].tolist(), template.tolist(), strict=True),
+                 *zip(starts[many[whole]].tolist(), starts[many[whole] + 1].tolist(), template2.tolist(), strict=True)]
+        more = notices(lib, lengths, w, starts, units, dice)
+        first = np.array([a for a, _, _ in more], np.int64)
+        within = np.searchsorted(w.offsets, first, side="right") - 1
+        inside = np.searchsorted(offsets, within, side="right") - 1
+        doc, number = np.concatenate([doc, many[whole], inside]), np.concatenate([number, np.full(len(whole), -1), within - offsets[inside]])
+        template = np.concatenate([template, template2, np.array([t for _, t, _ in more], np.int64)])
+        value2 = np.concatenate([value2, [v for _, _, v in more]])
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").take(pa.array(doc, pa.int64())), "line": pa.array(number.astype(np.int32)), "license": pa.array([lib.names[t] for t in template], pa.string()),
                                            "template": pa.array(template.astype(np.int32)), "dice": pa.array(np.concatenate([value, value2]))})
 

@@ -103,6 +103,28 @@ def test_licences_equal_brute_force(spark):
     assert {d: sorted(v) for d, v in got.items()} == {d: sorted(b) for d, t in enumerate(texts) if (b := brute_licenses(t))}
 
 
+def test_notices_wrapped_or_inside_lines_of_long_texts(spark):
+    rng, texts, want = random.Random(8), [], set()
+    for k, (_, t) in enumerate(licenses.TEMPLATES):
+        for way in range(3):  # on a line between words; wrapped anew every few words; wrapped with two words changed
+            words = t.split()
+            if way == 2 and len(words) > 20:
+                words[7] = words[15] = "other"
+            gap = rng.randint(3, 8)
+            notice = " ".join(words) if way == 0 else "".join(w + ("\n" if i % gap == gap - 1 else " ") for i, w in enumerate(words))
+            want.add((len(texts), k))
+            texts.append(prose(3 * k + way, 200) + " Copyright (c) 2020 X. " + notice + " " + prose(k, 150))
+    texts += [prose(1, 400), "Redistribution and use\n" + prose(5, 60) + "\nin source and binary forms",
+              licenses.TEMPLATES[5][1].replace("without fee", "without fee\n") + "\n" + prose(7, 80) + " All rights\nreserved. " + prose(8, 50)]
+    want |= {(len(texts) - 1, 5), (len(texts) - 1, len(licenses.TEMPLATES) - 1)}
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"]) for r in rows} == {(d, licenses.TEMPLATES[k][0]) for d, k in want} and len(rows) == len(want)
+    assert {(r["doc_id"], r["template"]) for r in rows} ^ want == {(5, 0), (5, 1)}  # the short Apache notice begins the long one and is unchanged
+    assert all(r["dice"] == 1 for r in rows if r["doc_id"] % 3 != 2 and r["doc_id"] < 3 * len(licenses.TEMPLATES))
+    lines = {r["doc_id"]: r["line"] for r in rows if r["doc_id"] % 3 == 0 and r["doc_id"] < 3 * len(licenses.TEMPLATES)}
+    assert all(texts[d].split("\n")[n].find(licenses.TEMPLATES[d // 3][1]) >= 0 for d, n in lines.items())
+
+
 def test_licences_in_odd_rows(odd, nothing):
     assert licenses.scan(odd).collect() == [] and licenses.scan(nothing).collect() == []
     assert licenses.scan(odd, templates=()).collect() == []
