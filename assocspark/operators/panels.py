@@ -1,6 +1,6 @@
 """Linear algebra and trait selection per panel, many panels in parallel.
 
-A panel is one set of traits: a matrix of at most ``MAX_TRAITS`` rows, never the data behind it. Panels
+A panel is one set of traits: a small matrix, never the data behind it. Panels
 are independent groups of a long matrix, so one task solves one small matrix and Spark spreads the panels.
 """
 from __future__ import annotations
@@ -393,8 +393,9 @@ def bundle_drop_traits(trait_reasons: DataFrame, pair_reasons: DataFrame) -> Dat
                 f"{int(a)}: {int(b)}: {r}" for a, b, r in zip(why["a"], why["b"], why["reason"])))
             dropped.append(traits[worst])
             failing[worst] = failing[:, worst] = False
-        return pd.DataFrame({"panel_id": frame["panel_id"].iloc[0], "step": np.arange(1, len(dropped) + 1), "Severity": "warning",
-                             "trait_order": dropped, "Reason": texts, "Action": "removed"})
+        found = pd.DataFrame({"panel_id": frame["panel_id"].iloc[0], "step": np.arange(1, len(dropped) + 1), "Severity": "warning",
+                              "trait_order": dropped, "Reason": texts, "Action": "removed"})
+        return found.astype({c: object for c in ("panel_id", "Severity", "Reason", "Action")})  # a table without removals has no strings to tell a type from
     nodes = trait_reasons.select("panel_id", F.col("i").cast("int").alias("a"), F.lit(None).cast("int").alias("b"), "reason")
     edges = pair_reasons.select("panel_id", F.col("pair_i").cast("int").alias("a"), F.col("pair_j").cast("int").alias("b"), "reason")
     return nodes.unionByName(edges).groupBy("panel_id").applyInPandas(solve, BUNDLE_SCHEMA)

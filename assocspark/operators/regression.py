@@ -5,40 +5,42 @@ The published estimator (Bulik-Sullivan et al. 2015, single-trait and cross-trai
 of SNPs in genomic order. A pair uses the SNPs its two traits share, also for the heritabilities that enter
 its correlation.
 
-Layout. One row per SNP holds the Z and N of all traits as arrays, so pairs are formed inside a task by
-array arithmetic and never as rows: only per-block sums leave a task. The SNP table is range-partitioned once
-in genomic order and checkpointed. Each of the eight passes then scans it without a shuffle of SNPs and
-shuffles ``pairs x blocks`` partial sums at most. Between passes the coefficients (a few numbers per pair, at
-most ``MAX_TRAITS`` traits) go through the driver, as in any iteratively reweighted fit.
+Layout. Work is tiled in two dimensions: SNPs by ``chunk`` of genomic order, trait pairs by tile (a, b) of two groups of
+``tile`` traits. A row holds the records of one SNP in the traits of one tile; pairs are formed inside a task by array
+arithmetic and never as rows, and only sums leave a task. The table is stored by (chunk, a, b) once (``layout``), so no
+pass over it moves a SNP. Coefficients, and the number of shared SNPs before each chunk, are tables of pairs: they are
+joined to their chunk and tile by a cogroup, solved as columns, and never pass through the driver. Nothing bounds the
+number of traits, SNPs or chunks.
 """
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_finite, safe_div, two_sided_p
 from ..session import durable
+from ..sources.layout import store_by
 from .ordering import global_rank
 
 N_BLOCKS = 200
-MAX_TRAITS = 1024
+TILE = 32  # traits on each side of a tile
 CELLS_PER_STEP = 2_000_000  # SNPs x pairs held at once by a task
-HELD_CELLS = 500_000  # pairs x blocks whose sums a task keeps to its end; more are sent on step by step
+_KEY = ["chunk", "a", "b"]
+_PAIR = ["i", "j"]
 
 
 @dataclass(frozen=True)
 class TraitVectors:
-    """Checkpointed SNP table in genomic order: ``chunk, position, l2, wl, z, n`` (arrays by trait)."""
+    """SNPs in genomic order, stored by chunk and tile: ``chunk, a, b, position, l2, wl, r`` (records of the tile's traits)."""
 
     table: DataFrame
     traits: int
-    chunks: int
+    tile: int
 
 
 def oriented_alleles(a1: str, a2: str) -> tuple[Column, Column]:
@@ -56,95 +58,55 @@ def oriented_alleles(a1: str, a2: str) -> tuple[Column, Column]:
     return F.when(flipped, there).otherwise(here), F.when(flipped, other).otherwise(sign)
 
 
-def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, traits: int, *, chunk_rows: int = 20_000) -> TraitVectors:
+def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, traits: int, *, chunk_rows: int = 20_000, tile: int = TILE) -> TraitVectors:
     """Join Z and N of all traits with LD scores and weights. (trait, SNP) must be unique.
 
     ``sumstats``: ``trait_order, SNP, A1, A2, N, Z``; rows without finite Z and N are left out. Records of a SNP meet if their
     alleles are the same on either strand; Z is turned to one orientation. Records with other alleles stand in a row of their own, so
     they take nothing from the others. ``ldscores``: ``SNP, CHR, BP, L2``; ``weights``: ``SNP, L2``.
     """
-    if not 0 < traits <= MAX_TRAITS:
-        raise ValueError(f"between 1 and {MAX_TRAITS} traits can be regressed together")
+    if traits < 1:
+        raise ValueError("no traits to regress")
     alleles, sign = oriented_alleles("A1", "A2")
     usable = sumstats.filter(is_finite("Z") & is_finite("N") & (F.col("N") > 0)).select(
-        "SNP", alleles.alias("alleles"), F.struct("trait_order", F.col("N").cast("double").alias("N"), (F.col("Z").cast("double") * sign).alias("Z")).alias("record"))
+        "SNP", alleles.alias("alleles"), F.struct(F.col("trait_order").cast("int").alias("t"), F.col("N").cast("double").alias("n"), (F.col("Z").cast("double") * sign).alias("z")).alias("record"))
     grouped = usable.groupBy("SNP", "alleles").agg(F.array_sort(F.collect_list("record")).alias("r"))
     panel = ldscores.select("SNP", "CHR", "BP", F.col("L2").cast("double").alias("l2")).join(
         weights.select("SNP", F.col("L2").cast("double").alias("wl")), "SNP")
-    rows = grouped.join(panel, "SNP").select(
-        "SNP", "alleles", "CHR", "BP", "l2", "wl", F.transform("r", lambda x: x.trait_order).alias("t"),
-        F.transform("r", lambda x: x.N).alias("n"), F.transform("r", lambda x: x.Z).alias("z"))
-    ranked = global_rank(rows, ["CHR", "BP", "SNP", "alleles"], rank="position")
-    placed = durable(ranked.withColumn("chunk", F.expr(f"cast(position div {int(chunk_rows)} as int)")).select(
-        "chunk", "position", "l2", "wl", "t", "n", "z").repartition("chunk").sortWithinPartitions("chunk", "position"))
-    last = placed.agg(F.max("chunk")).first()[0]
-    if last is None:
+    ranked = global_rank(grouped.join(panel, "SNP"), ["CHR", "BP", "SNP", "alleles"], rank="position")
+    placed = ranked.select(F.expr(f"cast(position div {int(chunk_rows)} as int)").alias("chunk"), "position", "l2", "wl", "r")
+    if traits <= tile:
+        tiled = placed.select("chunk", F.lit(0).alias("a"), F.lit(0).alias("b"), "position", "l2", "wl", "r")
+    else:
+        group = F.expr(f"array_distinct(transform(r, x -> x.t div {tile}))")
+        corners = F.expr("flatten(transform(g, a -> transform(filter(g, b -> b >= a), b -> struct(cast(a as int) as a, cast(b as int) as b))))")
+        tiled = placed.withColumn("g", group).withColumn("corner", F.explode(corners)).select(
+            "chunk", "corner.a", "corner.b", "position", "l2", "wl", F.expr(f"filter(r, x -> x.t div {tile} in (corner.a, corner.b))").alias("r"))
+    stored = store_by(tiled, _KEY, order=["position"])
+    if stored.isEmpty():
         raise ValueError("no SNP has both summary statistics and LD scores")
-    return TraitVectors(placed, traits, last + 1)
-
-
-def _pairs(traits: int) -> tuple[np.ndarray, np.ndarray]:
-    """All unordered pairs, self-pairs included."""
-    return np.triu_indices(traits)
-
-
-def _steps(batches: Iterator[pa.RecordBatch], traits: int) -> Iterator[dict[str, np.ndarray]]:
-    """Dense pieces of one chunk each, in position order, small enough for all pairs at once."""
-    i, j = _pairs(traits)
-    limit = max(1, CELLS_PER_STEP // len(i))
-    for batch in batches:
-        chunk = np.asarray(batch.column("chunk"))
-        edges = np.flatnonzero(np.diff(chunk)) + 1
-        for start, stop in zip(np.r_[0, edges], np.r_[edges, len(chunk)]):
-            for low in range(start, stop, limit):
-                part = batch.slice(low, min(limit, stop - low))
-                row = np.repeat(np.arange(part.num_rows), np.asarray(part.column("t").value_lengths()))
-                trait = np.asarray(part.column("t").flatten())
-                z = np.full((part.num_rows, traits), np.nan)
-                n = np.full((part.num_rows, traits), np.nan)
-                z[row, trait] = np.asarray(part.column("z").flatten())
-                n[row, trait] = np.asarray(part.column("n").flatten())
-                both = np.isfinite(z[:, i]) & np.isfinite(z[:, j])
-                yield dict(chunk=int(chunk[start]), both=both, z1=np.where(both, z[:, i], 0), z2=np.where(both, z[:, j], 0),
-                           n1=np.where(both, n[:, i], 1), n2=np.where(both, n[:, j], 1),
-                           l2=np.asarray(part.column("l2"))[:, None], wl=np.asarray(part.column("wl"))[:, None])
-
-
-def _pass(vectors: TraitVectors, summarise: Callable[[dict], np.ndarray]) -> np.ndarray:
-    """Sum ``summarise`` (statistics x pairs) over all SNPs: one row per task, statistic and pair, added up by Spark."""
-    traits = vectors.traits
-
-    def run(batches):
-        sums = None
-        for step in _steps(batches, traits):
-            part = summarise(step)
-            sums = part if sums is None else sums + part
-        if sums is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.arange(sums.shape[0], dtype="int32"), sums.shape[1])),
-                 pa.array(np.tile(np.arange(sums.shape[1], dtype="int32"), sums.shape[0])), pa.array(sums.ravel())], names=["stat", "pair", "value"])
-    rows = (vectors.table.mapInArrow(run, "stat int, pair int, value double")
-            .groupBy("stat", "pair").agg(F.sum("value").alias("value")).toPandas())
-    out = np.zeros((int(rows["stat"].max()) + 1, len(_pairs(traits)[0])))
-    out[rows["stat"], rows["pair"]] = rows["value"]
-    return out
-
-
-def _chunk_counts(vectors: TraitVectors) -> np.ndarray:
-    """Shared SNPs of every pair before each chunk (chunks + 1 rows): where a chunk starts in the pair's order."""
-    traits = vectors.traits
-
-    def run(batches):
-        for chunk, steps in itertools.groupby(_steps(batches, traits), key=lambda step: step["chunk"]):
-            counts = sum(step["both"].sum(0) for step in steps)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(counts), chunk, "int32")), pa.array(np.arange(len(counts), dtype="int32")),
-                 pa.array(counts.astype("int64"))], names=["chunk", "pair", "n"])
-    rows = (vectors.table.mapInArrow(run, "chunk int, pair int, n long")
-            .groupBy("chunk", "pair").agg(F.sum("n").alias("n")).toPandas())
-    counts = np.zeros((vectors.chunks + 1, len(_pairs(traits)[0])), "int64")
-    counts[rows["chunk"] + 1, rows["pair"]] = rows["n"]
-    return counts.cumsum(0)
+    return TraitVectors(stored, traits, tile)
+
+
+def _steps(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    """The SNPs of one chunk and tile in genomic order, a few at a time, as SNPs x pairs."""
+    rows = rows.sort_by("position").combine_chunks()
+    limit = max(1, CELLS_PER_STEP // max(len(i), 1))
+    traits, column = np.unique(np.concatenate([i, j]), return_inverse=True)
+    left, right = column[:len(i)], column[len(i):]
+    for low in range(0, rows.num_rows, limit):
+        part = rows.slice(low, limit).combine_chunks()
+        lists = part.column("r").chunk(0)
+        row, records = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths())), lists.flatten()
+        t = np.asarray(records.field("t"))
+        at = np.minimum(np.searchsorted(traits, t), len(traits) - 1)
+        known = traits[at] == t
+        z, n = np.full((part.num_rows, len(traits)), np.nan), np.full((part.num_rows, len(traits)), np.nan)
+        z[row[known], at[known]] = np.asarray(records.field("z"))[known]
+        n[row[known], at[known]] = np.asarray(records.field("n"))[known]
+        both = np.isfinite(z[:, left]) & np.isfinite(z[:, right])
+        yield dict(both=both, z1=np.where(both, z[:, left], 0), z2=np.where(both, z[:, right], 0), n1=np.where(both, n[:, left], 1), n2=np.where(both, n[:, right], 1),
+                   l2=np.asarray(part.column("l2"))[:, None], wl=np.asarray(part.column("wl"))[:, None])
 
 
 @dataclass(frozen=True)
@@ -179,100 +141,11 @@ def _covariance_model(m: float, h1, int1, h2, int2) -> Model:
     return Model(lambda s: s["z1"] * s["z2"], lambda s: np.sqrt(s["n1"] * s["n2"]), weight, 0.0)
 
 
-def _moments(model: Model, slope, intercept, scale: np.ndarray) -> Callable[[dict], np.ndarray]:
-    """Weighted sums ``w, wx, wxx, wy, wxy`` with ``x = N l / scale`` (scale keeps the normal equations tame)."""
-    def summarise(s):
-        w = np.where(s["both"], model.weight(s, slope, intercept), 0)
-        x, y = model.size(s) * s["l2"] / scale, model.outcome(s)
-        wx, wy = w * x, w * y
-        return np.stack([w.sum(0), wx.sum(0), (wx * x).sum(0), wy.sum(0), (wx * y).sum(0)])
-    return summarise
-
-
-def _solve(sums, scale, m):
-    """(total heritability or covariance, intercept) from weighted sums along the first axis."""
-    w, wx, wxx, wy, wxy = sums
-    with np.errstate(divide="ignore", invalid="ignore"):
-        det = w * wxx - wx * wx
-        return m * (w * wxy - wx * wy) / det / scale, (wxx * wy - wx * wxy) / det
-
-
-def _start(vectors: TraitVectors, models: dict[str, Model], m: float, counts: np.ndarray) -> dict[str, tuple]:
-    """Starting slope, null intercept and mean sample size of every model, from one pass."""
-    sums = _pass(vectors, lambda s: np.stack([np.where(s["both"], value, 0).sum(0) for model in models.values() for value in (
-        model.outcome(s), s["l2"] * model.size(s), model.size(s) + 0 * s["l2"])]))
-    fits = {}
-    for k, (name, model) in enumerate(models.items()):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            outcome, load, size = sums[3 * k:3 * k + 3] / counts[-1]
-            slope = m * (outcome - model.null_intercept) / load
-        fits[name] = (slope, np.full_like(slope, model.null_intercept), size)
-    return fits
-
-
-def _reweight(vectors: TraitVectors, models: dict[str, Model], fits: dict[str, tuple], m: float, rounds: int = 2) -> dict[str, tuple]:
-    """Weighted fits with the weights of the previous one; all models share each pass."""
-    for _ in range(rounds):
-        parts = {name: _moments(model, *fits[name]) for name, model in models.items()}
-        sums = _pass(vectors, lambda s: np.concatenate([part(s) for part in parts.values()]))
-        fits = {name: (*_solve(sums[5 * k:5 * k + 5], fits[name][2], m), fits[name][2]) for k, name in enumerate(models)}
-    return fits
-
-
-def _block_moments(vectors: TraitVectors, models: dict[str, Model], fits: dict[str, tuple],
-                   counts: np.ndarray, blocks: int) -> DataFrame:
-    """Final weighted sums per model, pair and jackknife block.
-
-    The block of a SNP follows from its rank among the pair's shared SNPs: the count before its chunk plus
-    its position within. A pair with fewer SNPs than blocks has a block for each SNP.
-    """
-    traits = vectors.traits
-    total = counts[-1]
-    before = vectors.table.sparkSession.sparkContext.broadcast(counts[:-1])
-    names = ["model", "pair", "block", "snps", "w", "wx", "wxx", "wy", "wxy"]
-
-    cells = len(total) * blocks
-
-    def rows(name, keys, sums):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(keys)), pa.array((keys // blocks).astype("int32")), pa.array((keys % blocks).astype("int32")), *[pa.array(v) for v in sums]], names=names)
-
-    def run(batches):
-        at, seen = None, None
-        held = {name: np.zeros((6, cells)) for name in models} if cells <= HELD_CELLS else {}
-        for s in _steps(batches, traits):
-            if s["chunk"] != at:
-                at, seen = s["chunk"], before.value[s["chunk"]].copy()
-            both = s["both"]
-            rank = seen + both.cumsum(0) - 1
-            seen = seen + both.sum(0)
-            own = np.minimum(blocks, total)
-            block = np.minimum(((rank + 1) * own - 1) // np.maximum(total, 1), blocks - 1)
-            row, pair = np.nonzero(both)
-            key = pair * blocks + block[row, pair]
-            keys, member = (None, key) if held else np.unique(key, return_inverse=True)
-            for name, model in models.items():
-                slope, intercept, scale = fits[name]
-                w = model.weight(s, slope, intercept)[row, pair]
-                x = (model.size(s) * s["l2"] / scale)[row, pair]
-                y = model.outcome(s)[row, pair]
-                sums = [np.bincount(member, v, cells if held else len(keys)) for v in (np.ones_like(w), w, w * x, w * x * x, w * y, w * x * y)]
-                if held:
-                    held[name] += sums
-                else:
-                    yield rows(name, keys, sums)
-        for name, sums in held.items():
-            keys = np.flatnonzero(sums[0])
-            yield rows(name, keys, sums[:, keys])
-    schema = "model string, pair int, block int, snps double, w double, wx double, wxx double, wy double, wxy double"
-    return (vectors.table.mapInArrow(run, schema).groupBy("model", "pair", "block")
-            .agg(*[F.sum(c).alias(c) for c in names[3:]]))
-
-
 _SUMS = ("w", "wx", "wxx", "wy", "wxy")
 
 
 def _estimates(prefix: str):
+    """Slope per unit of x, and intercept, from weighted sums."""
     w, wx, wxx, wy, wxy = [F.col(f"{prefix}{c}") for c in _SUMS]
     det = w * wxx - wx * wx
     return safe_div(w * wxy - wx * wy, det), safe_div(wxx * wy - wx * wxy, det)
@@ -281,7 +154,7 @@ def _estimates(prefix: str):
 def delete_one(moments: DataFrame, keys: list[str]) -> DataFrame:
     """Total and delete-one slope and intercept per block: the group's sums minus the block's.
 
-    ``moments`` has ``keys, block, w, wx, wxx, wy, wxy``; at most ``N_BLOCKS`` rows per group by then.
+    ``moments`` has ``keys, block, w, wx, wxx, wy, wxy``, a row per block.
     """
     totals = moments.groupBy(*keys).agg(F.count("*").alias("blocks"), *[F.sum(c).alias(f"t_{c}") for c in _SUMS])
     rows = moments.join(totals, keys).withColumns({f"d_{c}": F.col(f"t_{c}") - F.col(c) for c in _SUMS})
@@ -297,49 +170,177 @@ def jackknife_se(deleted: str, blocks: str = "blocks"):
     return F.sqrt((b - 1) * F.var_pop(deleted))
 
 
+def _moments(model: Model, slope, intercept, scale: np.ndarray, s: dict) -> list[np.ndarray]:
+    """Weighted sums ``w, wx, wxx, wy, wxy`` with ``x = N l / scale`` (scale keeps the normal equations tame)."""
+    w = np.where(s["both"], model.weight(s, slope, intercept), 0)
+    x, y = model.size(s) * s["l2"] / scale, model.outcome(s)
+    wx, wy = w * x, w * y
+    return [w, wx, wx * x, wy, wx * y]
+
+
+def _models(names: list[str], m: float, pairs: dict[str, np.ndarray]) -> dict[str, Model]:
+    """The regressions of a tile's pairs; the covariance is weighted by the heritabilities and intercepts found for the two traits."""
+    every = {"h2_1": lambda: _heritability_model(1, m), "h2_2": lambda: _heritability_model(2, m),
+             "gcov": lambda: _covariance_model(m, *(pairs[c] for c in ("own_h2_1", "own_int_1", "own_h2_2", "own_int_2")))}
+    return {name: every[name]() for name in names}
+
+
+def _tile_pairs(a: int, b: int, tile: int, traits: int) -> tuple[np.ndarray, np.ndarray]:
+    """All unordered pairs of a tile, self-pairs included."""
+    i, j = np.meshgrid(np.arange(a * tile, min((a + 1) * tile, traits)), np.arange(b * tile, min((b + 1) * tile, traits)), indexing="ij")
+    return i[i <= j], j[i <= j]
+
+
+def _start(vectors: TraitVectors, m: float) -> DataFrame:
+    """chunk, a, b, i, j: shared SNPs and sums of outcome, load and size of every model, for pairs that share a SNP there."""
+    tile, traits = vectors.tile, vectors.traits
+    none = np.zeros(1)
+    models = {"h2_1": _heritability_model(1, m), "h2_2": _heritability_model(2, m), "gcov": _covariance_model(m, none, 1, none, 1)}
+    names = [f"{c}_{name}" for name in models for c in ("y", "x", "k")]
+
+    def run(key, rows):
+        chunk, a, b = (k.as_py() for k in key)
+        i, j = _tile_pairs(a, b, tile, traits)
+        sums, n = np.zeros((len(names), len(i))), np.zeros(len(i), np.int64)
+        for s in _steps(rows, i, j):
+            n += s["both"].sum(0)
+            values = [v for model in models.values() for v in (model.outcome(s), s["l2"] * model.size(s), model.size(s) + 0 * s["l2"])]
+            sums += np.stack([np.where(s["both"], v, 0).sum(0) for v in values])
+        met = n > 0
+        return pa.table({"chunk": pa.array(np.full(met.sum(), chunk, np.int32)), "a": pa.array(np.full(met.sum(), a, np.int32)), "b": pa.array(np.full(met.sum(), b, np.int32)),
+                         "i": pa.array(i[met].astype(np.int32)), "j": pa.array(j[met].astype(np.int32)), "n": pa.array(n[met]), **{c: pa.array(v[met]) for c, v in zip(names, sums, strict=True)}})
+    schema = "chunk int, a int, b int, i int, j int, n long, " + ", ".join(f"{c} double" for c in names)
+    return durable(vectors.table.groupBy(*_KEY).applyInArrow(run, schema))
+
+
+def _pass(vectors: TraitVectors, places: DataFrame, fits: DataFrame, names: list[str], m: float, *, blocks: int = 0) -> DataFrame:
+    """Weighted sums of the named models with the weights that ``fits`` (one row per pair) gives: per pair, and per jackknife block if ``blocks``.
+
+    ``places`` has, per chunk and pair, the shared SNPs before the chunk. The block of a SNP follows from its rank among the pair's shared SNPs;
+    a pair with fewer SNPs than blocks has a block for each SNP.
+    """
+    stats = ("w", "wx", "wxx", "wy", "wxy")
+    keys = ["model", *_PAIR, *(["block"] if blocks else [])]
+
+    def run(key, rows, asked):
+        pairs = {c: np.asarray(asked.column(c)) for c in asked.column_names}
+        i, j = pairs["i"], pairs["j"]
+        models = _models(names, m, pairs)
+        seen, total = pairs["before"].copy(), np.maximum(pairs["total"], 1)
+        own = np.minimum(blocks, total)
+        found: dict[str, list] = {name: [] for name in names}
+        for s in _steps(rows, i, j) if len(i) else ():
+            both = s["both"]
+            if blocks:
+                rank = seen + both.cumsum(0) - 1
+                seen = seen + both.sum(0)
+                row, pair = np.nonzero(both)
+                member = pair * blocks + (((rank + 1) * own - 1) // total)[row, pair]
+                cells, member = np.unique(member, return_inverse=True)
+            for name, model in models.items():
+                parts = _moments(model, pairs[f"slope_{name}"], pairs[f"intercept_{name}"], pairs[f"scale_{name}"], s)
+                if blocks:
+                    found[name].append((cells, np.stack([np.bincount(member, v, len(cells)) for v in (np.ones(len(row)), *(p[row, pair] for p in parts))])))
+                else:
+                    found[name].append((np.arange(len(i)), np.stack([both.sum(0).astype(float), *(p.sum(0) for p in parts)])))
+        out = []
+        for name, steps in found.items():
+            if not steps:
+                continue
+            cells, member = np.unique(np.concatenate([c for c, _ in steps]), return_inverse=True)
+            sums = np.stack([np.bincount(member, v, len(cells)) for v in np.concatenate([v for _, v in steps], axis=1)])
+            pair, block = (cells // blocks, cells % blocks) if blocks else (cells, cells * 0)
+            out.append(pa.table({"model": pa.array([name] * len(cells)), "i": pa.array(i[pair]), "j": pa.array(j[pair]), "block": pa.array(block.astype(np.int32)), "snps": pa.array(sums[0]),
+                                 **{c: pa.array(v) for c, v in zip(stats, sums[1:], strict=True)}}))
+        return pa.concat_tables(out) if out else pa.table({c: pa.array([], t) for c, t in zip(names_out, types, strict=True)})
+
+    names_out = ["model", "i", "j", "block", "snps", *stats]
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 6]
+    schema = "model string, i int, j int, block int, snps double, " + ", ".join(f"{c} double" for c in stats)
+    asked = places.join(fits, _PAIR)
+    rows = vectors.table.groupBy(*_KEY).cogroup(asked.groupBy(*_KEY)).applyInArrow(run, schema)
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("snps", *stats)])
+
+
+def _by_model(sums: DataFrame, names: list[str], fits: DataFrame, m: float) -> DataFrame:
+    """New slopes and intercepts of the named models, one row per pair; the other columns of ``fits`` stay."""
+    slope, intercept = _estimates("")
+    solved = sums.select("model", *_PAIR, slope.alias("slope"), intercept.alias("intercept"))
+    wide = solved.groupBy(*_PAIR).agg(*[F.max(F.when(F.col("model") == name, F.col(c))).alias(f"_{c}_{name}") for name in names for c in ("slope", "intercept")])
+    joined = fits.join(wide, _PAIR)
+    new = {f"slope_{n}": F.col(f"_slope_{n}") * F.lit(float(m)) / F.col(f"scale_{n}") for n in names} | {f"intercept_{n}": F.col(f"_intercept_{n}") for n in names}
+    return joined.withColumns(new).drop(*[f"_{c}_{n}" for n in names for c in ("slope", "intercept")])
+
+
+@dataclass(frozen=True)
+class PairFit:
+    """Block sums of every pair (``model, i, j, block, snps`` and sums) and its final weights; ``snps`` of all pairs that share any."""
+
+    moments: DataFrame
+    fits: DataFrame
+    shared: DataFrame
+    traits: int
+    m: float
+    blocks: int
+
+
+def fit_pairs(vectors: TraitVectors, m: float, *, n_blocks: int = N_BLOCKS) -> PairFit:
+    """The coefficient passes and the block sums of all pairs. ``m`` is the number of reference SNPs behind the LD scores."""
+    single, joint = ["h2_1", "h2_2"], ["gcov"]
+    start = _start(vectors, m)
+    before = Window.partitionBy(*_PAIR).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    places = durable(start.select(*_KEY, *_PAIR, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    columns = [c for c in start.columns if c[:2] in ("y_", "x_", "k_")]
+    totals = start.groupBy(*_PAIR).agg(F.sum("n").alias("total"), *[F.sum(c).alias(c) for c in columns])
+    null = {"h2_1": 1.0, "h2_2": 1.0, "gcov": 0.0}
+    begin = [c for n in single + joint for c in (safe_div(float(m) * (F.col(f"y_{n}") / F.col("total") - null[n]), F.col(f"x_{n}") / F.col("total")).alias(f"slope_{n}"),
+                                                 F.lit(null[n]).alias(f"intercept_{n}"), (F.col(f"k_{n}") / F.col("total")).alias(f"scale_{n}"))]
+    fits = durable(totals.select(*_PAIR, "total", *begin))
+    for _ in range(2):
+        fits = durable(_by_model(_pass(vectors, places, fits, single, m), single, fits, m))
+    first = durable(_pass(vectors, places, fits, single, m, blocks=n_blocks))
+    own = _by_model(first.groupBy("model", *_PAIR).agg(*[F.sum(c).alias(c) for c in _SUMS]), single, fits, m)
+    own = own.select(*_PAIR, *[F.col(f"{c}_{n}").alias(f"own_{short}_{n[-1]}") for n in single for c, short in (("slope", "h2"), ("intercept", "int"))])
+    fits = durable(fits.join(own, _PAIR).fillna(float("nan"), [c for c in own.columns if c not in _PAIR]))
+    for _ in range(2):
+        fits = durable(_by_model(_pass(vectors, places, fits, joint, m), joint, fits, m))
+    second = durable(_pass(vectors, places, fits, joint, m, blocks=n_blocks))
+    return PairFit(first.unionByName(second), fits, totals.select(*_PAIR, F.col("total").alias("snps")), vectors.traits, m, n_blocks)
+
+
+def deleted_estimates(fit: PairFit) -> DataFrame:
+    """Per pair and block, whole and delete-one slopes (on the scale of estimates) and intercepts of every model: ``<model>_slope`` and so on."""
+    scale = F.coalesce(*[F.when(F.col("model") == n, F.col(f"scale_{n}")) for n in ("h2_1", "h2_2", "gcov")])
+    factors = fit.fits.select(*_PAIR, *[f"scale_{n}" for n in ("h2_1", "h2_2", "gcov")])
+    d = delete_one(fit.moments, ["model", *_PAIR]).join(factors, _PAIR).withColumn("factor", F.lit(float(fit.m)) / scale).where(is_finite("factor"))
+    return d.groupBy(*_PAIR, "block").agg(
+        F.max("blocks").alias("blocks"),
+        *[F.max(F.when(F.col("model") == name, F.col(c) * F.col("factor") if "slope" in c else F.col(c))).alias(f"{name}_{c}")
+          for name in ("h2_1", "h2_2", "gcov") for c in ("slope", "intercept", "d_slope", "d_intercept")])
+
+
+def all_pairs(spark, traits: int) -> DataFrame:
+    """Every unordered pair ``i <= j`` of trait numbers, made where it is used."""
+    return spark.range(traits).select(F.col("id").cast("int").alias("i"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(traits - 1))).alias("j"))
+
+
 def pair_regressions(vectors: TraitVectors, m: float, *, n_blocks: int = N_BLOCKS) -> DataFrame:
     """One row per unordered pair with ``i <= j``: heritabilities, covariance, correlation, errors, intercepts.
 
     Every pair has a row: ``snps`` counts its shared SNPs, and where they are fewer than the blocks ``reason`` says so; what cannot be
-    estimated from them is NULL.
-    ``m`` is the number of reference SNPs behind the LD scores. Runs the coefficient passes and the block sums; the jackknife
-    over those sums stays a lazy DataFrame.
+    estimated from them is NULL. Runs the passes; the jackknife over the block sums stays a lazy DataFrame.
     """
-    counts = _chunk_counts(vectors)
-    single = {"h2_1": _heritability_model(1, m), "h2_2": _heritability_model(2, m)}
-    nothing = np.zeros(counts.shape[1])
-    start = _start(vectors, {**single, "gcov": _covariance_model(m, nothing, 1, nothing, 1)}, m, counts)
-    fits = _reweight(vectors, single, {name: start[name] for name in single}, m)
-    first = durable(_block_moments(vectors, single, fits, counts, n_blocks))
-    sums = first.groupBy("model", "pair").agg(*[F.sum(c).alias(c) for c in _SUMS]).toPandas()
-    own = []
-    for name in single:
-        values = np.full((len(_SUMS), counts.shape[1]), np.nan)
-        part = sums[sums["model"] == name]
-        values[:, part["pair"]] = part[list(_SUMS)].to_numpy().T
-        own += _solve(values, fits[name][2], m)
-    joint = {"gcov": _covariance_model(m, *own)}
-    fits.update(_reweight(vectors, joint, {"gcov": start["gcov"]}, m))
-    second = durable(_block_moments(vectors, joint, fits, counts, n_blocks))
-    found = summarise_pairs(first.unionByName(second), vectors, {name: fit[2] for name, fit in fits.items()}, m)
-    i, j = _pairs(vectors.traits)
-    asked = vectors.table.sparkSession.createDataFrame(list(zip(i.tolist(), j.tolist(), counts[-1].tolist(), strict=True)), "i int, j int, snps long")
-    reason = F.when(F.col("snps") == 0, "no shared SNPs").when(F.col("snps") < n_blocks, "fewer shared SNPs than blocks")
-    return asked.join(found, ["i", "j"], "left").withColumn("reason", reason)
-
-
-def summarise_pairs(moments: DataFrame, vectors: TraitVectors, scales: dict[str, np.ndarray], m: float) -> DataFrame:
-    """Jackknife of the block sums as column arithmetic: one row per pair with sums. Estimates that are not numbers become NULL."""
-    i, j = _pairs(vectors.traits)
-    spark = moments.sparkSession
-    factors = spark.createDataFrame(
-        [(name, int(p), int(i[p]), int(j[p]), float(m / s)) for name, scale in scales.items() for p, s in enumerate(scale) if np.isfinite(s) and s > 0],
-        "model string, pair int, i int, j int, factor double")
-    d = delete_one(moments, ["model", "pair"]).join(factors, ["model", "pair"])
-    per_block = d.groupBy("pair", "i", "j", "block").agg(
-        F.max("blocks").alias("blocks"),
-        *[F.max(F.when(F.col("model") == name, F.col(c) * F.col("factor") if "slope" in c else F.col(c))).alias(f"{name}_{c}")
-          for name in scales for c in ("slope", "intercept", "d_slope", "d_intercept")])
+    return summarise_pairs(fit_pairs(vectors, m, n_blocks=n_blocks))
+
+
+def summarise_pairs(fit: PairFit) -> DataFrame:
+    """Jackknife of the block sums as column arithmetic: one row per pair. Estimates that are not numbers become NULL."""
+    asked = all_pairs(fit.moments.sparkSession, fit.traits).join(fit.shared, _PAIR, "left").fillna(0, ["snps"])
+    reason = F.when(F.col("snps") == 0, "no shared SNPs").when(F.col("snps") < fit.blocks, "fewer shared SNPs than blocks")
+    return asked.join(_jackknife(deleted_estimates(fit)), _PAIR, "left").withColumn("reason", reason)
+
+
+def _jackknife(per_block: DataFrame) -> DataFrame:
     positive = (F.col("h2_1_slope") > 0) & (F.col("h2_2_slope") > 0)
     rg = F.when(positive, safe_div("gcov_slope", F.sqrt(F.col("h2_1_slope") * F.col("h2_2_slope"))))
     d_product = F.col("h2_1_d_slope") * F.col("h2_2_d_slope")

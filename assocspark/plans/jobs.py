@@ -9,11 +9,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_finite
-from ..operators import alleles, combine, export, filters, matrices, ordering, pairs, panels, provenance, regression
+from ..operators import alleles, bundles, combine, export, filters, matrices, ordering, pairs, panels, provenance, regression
 from ..operators import variant_qc as vq
 from ..session import durable, small
 from ..sources import sinks
@@ -196,29 +196,50 @@ def regress_pairs(munged: DataFrame, manifest: DataFrame, ldscores: DataFrame, w
     return regression.pair_table(regression.pair_regressions(vectors, m, n_blocks=n_blocks), manifest)
 
 
+@dataclass(frozen=True)
+class TwoPass:
+    """Estimates of the pairs of retained traits, QC of all traits, and what a bundle is built from."""
+
+    estimates: DataFrame
+    trait_qc: DataFrame
+    fit: regression.PairFit
+    retained: DataFrame          # trait, trait_order, position (in the bundle), factor (to the liability scale)
+
+    def bundle(self, *, delta: bool = False) -> DataFrame:
+        """S, I, V, S_Stand and V_Stand of the retained traits in long form."""
+        return bundles.sampling_bundle(self.fit, self.retained, delta=delta)
+
+
 def two_pass_regression(munged: DataFrame, manifest: DataFrame, ldscores: DataFrame, weights: DataFrame, m: float, *, n_blocks: int = regression.N_BLOCKS,
-                        invalid_h2_action: str = "drop") -> tuple[DataFrame, DataFrame]:
-    """Estimate all traits, drop (or reject) those without positive heritability, and estimate the rest again.
+                        invalid_h2_action: str = "drop") -> TwoPass:
+    """Estimate all traits, drop (or reject) those without positive heritability, and keep the estimates of the rest.
 
-    Returns (estimates of the second pass by manifest order, per-trait QC of the first).
+    A pair's estimate does not depend on other traits, so the second pass is a selection from the first and no further scan. Where ``manifest`` has
+    ``sample_prevalence`` and ``population_prevalence``, the bundle is on the liability scale.
     """
     if invalid_h2_action not in ("drop", "error"):
         raise ValueError("invalid_h2_action must be drop or error")
     rows = munged.join(manifest.select("trait", "trait_order"), "trait") if "trait_order" not in munged.columns else munged
     traits = manifest.count()
-    first = durable(regression.pair_regressions(regression.snp_vectors(rows, ldscores, weights, traits), m, n_blocks=n_blocks))
+    fit = regression.fit_pairs(regression.snp_vectors(rows, ldscores, weights, traits), m, n_blocks=n_blocks)
+    first = durable(regression.summarise_pairs(fit))
     own = manifest.select("trait", "trait_order").join(first.filter("i = j").select(F.col("i").alias("trait_order"), F.col("h2_p1_pair_obs").alias("h2_estimate")), "trait_order", "left")
     reason = F.when(~is_finite("h2_estimate"), "Non-finite h2").when(F.col("h2_estimate") <= 0, "Non-positive h2").otherwise("")
-    qc = own.withColumn("QC_reason", reason).withColumn(
-        "QC_action", F.when(F.col("QC_reason") == "", "retained").otherwise("removed" if invalid_h2_action == "drop" else "error"))
-    kept = [r["trait_order"] for r in qc.filter("QC_reason = ''").select("trait_order").collect()]  # at most MAX_TRAITS numbers
-    if len(kept) < traits and invalid_h2_action == "error":
+    qc = durable(own.withColumn("QC_reason", reason).withColumn(
+        "QC_action", F.when(F.col("QC_reason") == "", "retained").otherwise("removed" if invalid_h2_action == "drop" else "error")))
+    known = {"sample_prevalence", "population_prevalence"} <= set(manifest.columns)
+    factor = regression.liability_factor() if known else F.lit(1.0)
+    kept = manifest.withColumn("factor", factor).join(qc.filter("QC_reason = ''").select("trait"), "trait", "left_semi")
+    position = F.row_number().over(Window.orderBy("trait_order")) - 1  # one row a trait
+    retained = durable(kept.select("trait", F.col("trait_order").cast("int").alias("trait_order"), position.cast("long").alias("position"), "factor"))
+    left = retained.count()
+    if left < traits and invalid_h2_action == "error":
         raise EstimationFailure("invalid heritability; see the trait QC table", trait_qc=qc)
-    if len(kept) < 2:
+    if left < 2:
         raise EstimationFailure("fewer than two traits remain after heritability QC", trait_qc=qc)
-    selected = rows.filter(F.col("trait_order").isin(kept))
-    second = regression.pair_regressions(regression.snp_vectors(selected, ldscores, weights, traits), m, n_blocks=n_blocks)
-    return second.filter(F.col("i").isin(kept) & F.col("j").isin(kept)), qc
+    numbers = retained.select("trait_order")
+    second = first.join(numbers.withColumnRenamed("trait_order", "i"), "i", "left_semi").join(numbers.withColumnRenamed("trait_order", "j"), "j", "left_semi")
+    return TwoPass(second, qc, fit, retained)
 
 
 # --- pair table ----------------------------------------------------------------------------------
@@ -422,6 +443,11 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
         report = report.filter(F.col("pair_i").isin(positions) & F.col("pair_j").isin(positions))
         reports.update(matrices=cells, heritability=pairs.heritability_report(own), correlations=report,
                        validation=pairs.validation_summary(own, collapsed, report))
+    return _assessed(pca, cti, traits, positions, settings, reports)
+
+
+def _assessed(pca: DataFrame, cti: DataFrame, traits: DataFrame, positions: Sequence[int], settings: PanelSettings, reports: dict[str, DataFrame]) -> PanelResult:
+    """PC1 and CTI of the matrices used, with the policies on them."""
     loadings = durable(panels.panel_loadings(pca, settings.pc1_orientation))
     values = durable(panels.panel_eigenvalues(pca, settings.matrix_eigen_tolerance))
     pc1 = panels.pc1_report(loadings, values, negative_action=settings.negative_eigen_action)
@@ -439,6 +465,39 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
     return PanelResult(traits, loadings, reports, names, panel_matrix(cti, positions) if full else None, vector)
 
 
+def bundle_panel(bundle: DataFrame, labels: DataFrame, manifest: DataFrame, settings: PanelSettings = PanelSettings()) -> PanelResult:
+    """PC1 and CTI from a matrix bundle (``sources.read_matrix_bundle``) whose rows ``labels`` (``trait, position``) name.
+
+    Checks leave events (``reports["events"]``, with a summary per trait); one with the action ``stop`` ends the job. The matrices are those of the traits
+    retained, in manifest order; V keeps every genuine covariance of their pairs.
+    """
+    settings.check()
+    policy = bundles.BundlePolicy(settings.allow_missing_traits, settings.failed_action, settings.rg_out_of_range_action, settings.h2_z_warn_threshold)
+    events, kept = bundles.bundle_events(bundle, labels, manifest, policy)
+    events = durable(events)
+    reports: dict[str, DataFrame] = {"events": events, "warnings": events.filter("Severity = 'warning'"), "removed_traits": events.filter("Action = 'removed'"),
+                                     "trait_summary": pairs.audit_summary(events, manifest, "event_order", retained=kept)}
+    stops = events.filter("Action = 'stop'").orderBy("event_order").take(1)
+    if stops:
+        raise EstimationFailure(f"{stops[0]['Trait']}: {stops[0]['Reason']}" if stops[0]["Trait"] else stops[0]["Reason"], **reports)
+    kept = durable(kept)
+    positions = [r[0] for r in kept.select("trait_order").orderBy("trait_order").collect()]  # one number a trait
+    if len(positions) < 2:
+        raise EstimationFailure("fewer than two traits remain", **reports)
+    by_manifest = bundle.join(kept.select(F.col("position").alias("i"), F.col("trait_order").alias("_i")), "i").join(kept.select(F.col("position").alias("j"), F.col("trait_order").alias("_j")), "j")
+    cells = durable(by_manifest.filter(F.col("matrix").isin("S", "I", "S_Stand")).select("panel_id", "matrix", F.col("_i").alias("i"), F.col("_j").alias("j"), "value"))
+    new = kept.select(F.lit("all").alias("panel_id"), F.col("position").alias("old_position"), (F.row_number().over(Window.orderBy("trait_order")) - 1).cast("long").alias("new_position"))
+    reports["matrices"] = cells
+    for name in ("V", "V_Stand"):
+        part = bundle.filter(F.col("matrix") == name).select(F.lit("all").alias("panel_id"), F.col("i").alias("pair_a"), F.col("j").alias("pair_b"), "value")
+        reports[name] = matrices.subset_vech(part, new)
+    used = "S_Stand" if settings.pca_matrix == "correlation" else "S"
+
+    def pick(name):
+        return cells.filter(F.col("matrix") == name).select(F.lit("all").alias("panel_id"), "i", "j", "value")
+    return _assessed(pick(used), pick("I"), kept.select("trait", "trait_order"), positions, settings, reports)
+
+
 # --- combination and export ----------------------------------------------------------------------
 
 def combine_snps(assoc: DataFrame, panel: PanelResult, *, kernel=None) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -7,21 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which every executor reaches; a local master may do without and gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's checkpoint folder, so later passes survive lost executors.
 
     The folder is read from ``spark.checkpoint.dir``. Only a local master may fall back to a folder of
     its own; on a cluster a machine-local path would lose data with its machine, so that is refused.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assocspark.operators import filters, pairs
 from assocspark.plans import jobs
-from assocspark.sources import text
+from assocspark.sources import tables, text
 
 TRAITS = ("A", "001", "NA")
 PER_CHROMOSOME = 60
@@ -218,10 +218,22 @@ def test_two_pass(spark, simulated):
     rows = [(t, s, "G", "A", 50_000.0, float(z)) for t, f in enumerate((1, .9, 0)) for s, z in zip(frame.SNP, f * base + (1 - f) * (.02 if f == 0 else 1) * rng.standard_normal(len(frame)) * (50 / frame.L2 if f == 0 else 1))]
     munged = spark.createDataFrame(rows, "trait_order int, SNP string, A1 string, A2 string, N double, Z double")
     manifest = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "trait string, trait_order int")
-    estimates, qc = jobs.two_pass_regression(munged, manifest, reference, reference, m, n_blocks=20)
-    actions = {r.trait: r.QC_action for r in qc.collect()}
+    passed = jobs.two_pass_regression(munged, manifest, reference, reference, m, n_blocks=20)
+    actions = {r.trait: r.QC_action for r in passed.trait_qc.collect()}
     assert actions == {"a": "retained", "b": "retained", "c": "removed"}
-    assert estimates.count() == 3
+    assert passed.estimates.count() == 3
+    bundle = passed.bundle()
+    tables.check_bundle(bundle)
+    panel = jobs.bundle_panel(bundle, passed.retained, manifest, jobs.PanelSettings(allow_missing_traits=True, failed_action="drop_traits"))
+    assert panel.names == ("a", "b") and panel.cti.shape == (2, 2)
+    absent = panel.reports["removed_traits"].first()
+    assert (absent.Trait, absent.Reason, absent.Scope) == ("c", "Trait absent from the bundle", "trait")
+    summary = {r.trait: (r.Retained, r.Removed) for r in panel.reports["trait_summary"].collect()}
+    assert summary == {"a": (True, False), "b": (True, False), "c": (False, True)}
+    with pytest.raises(jobs.EstimationFailure, match="absent"):
+        jobs.bundle_panel(bundle, passed.retained, manifest)
+    with pytest.raises(jobs.EstimationFailure, match="invalid heritability"):
+        jobs.two_pass_regression(munged, manifest, reference, reference, m, n_blocks=20, invalid_h2_action="error")
 
 
 def test_chisq_job(spark):
