@@ -2,9 +2,14 @@
 
 Passages are pasted in the middle of physical lines and wrapped anew, so a line here is any ``LINE`` consecutive words: one starts at every
 word. Of every ``WINDOW`` neighbouring line hashes, which span ``LINE + WINDOW - 1`` = 40 words, the smallest (the last of equals) is kept as
-a fingerprint; equal stretches of 40 words keep the same one. So only stretches whose fingerprint occurs again can: their hashes are compared
-one by one, whatever documents they are in. The first occurrence of a stretch in (doc_id, word) order stays; the words of every later one are
-marked, and marks that overlap or touch are one deleted run, of ``MIN_WORDS`` words at least.
+a fingerprint; equal stretches of 40 words keep the same one, so positions are joined by fingerprint.
+
+A joined position is extended both ways over all stretches that keep its fingerprint (20 starts at most): that window is one hash. Equal windows are
+matched whole, each later one with the first. Only where the windows of one fingerprint differ, at the ends of runs, are the stretches of the first of
+each window compared one by one. The first occurrence of a stretch in (doc_id, word) order stays, whatever documents have it; the words of every later one
+are marked, and marks that overlap or touch are one deleted run, of ``MIN_WORDS`` words at least.
+
+Both comparisons are one shuffle each, read as a sorted stream that holds one row, so a fingerprint that every document has needs no memory.
 """
 from __future__ import annotations
 
@@ -12,11 +17,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import only_ids
-from .text import id_text, in_steps, polynomial, span, stage, string_hashes, words
+from .text import expand, id_text, in_steps, polynomial, span, stage, string_hashes, words
 
 LINE, WINDOW = 21, 20
 MIN_WORDS = LINE + WINDOW - 1
@@ -53,24 +58,86 @@ def winnow(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return place, lines[place]
 
 
-def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     codes, offsets, distinct = words(batch.column("text"))
-    place, lines = winnow(string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64), offsets)
-    doc = np.searchsorted(offsets, place, side="right") - 1
-    return pa.RecordBatch.from_pydict({"line": pa.array(lines.view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "at": pa.array((place - offsets[doc]).astype(np.int32))})
+    return string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64), offsets
 
 
-def _stretches(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Every 40 words of each text that keep one of the asked places, as a hash and the position of the first word."""
-    codes, offsets, distinct = words(batch.column("text"))
-    hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
-    _, first, place = _chosen(hashes, offsets)
-    doc, at = _flat(batch.column("places"))
-    asked = np.zeros(len(hashes), bool)
-    asked[(offsets[doc] + at)[at < np.diff(offsets)[doc]]] = True  # the others are places of another text of the same doc_id
-    first = first[asked[place]]
+def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Every fingerprint with its window: the stretches that keep it start at ``start`` and the ``n - 1`` words after."""
+    hashes, offsets = _hashes(batch)
+    lines, first, place = _chosen(hashes, offsets)
     doc = np.searchsorted(offsets, first, side="right") - 1
-    return pa.RecordBatch.from_pydict({"stretch": pa.array(span(polynomial(hashes), first, first + MIN_WORDS).view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "at": pa.array((first - offsets[doc]).astype(np.int32))})
+    new = np.ones(len(first), bool)
+    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+    head = np.flatnonzero(new)
+    n = np.diff(np.append(head, len(first)))
+    start, doc = first[head], doc[head]
+    window = span(polynomial(hashes), start, start + n + (MIN_WORDS - 1))
+    return pa.RecordBatch.from_pydict({"line": pa.array(lines[place[head]].view(np.int64)), "hash": pa.array(window.view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)),
+                                       "start": pa.array((start - offsets[doc]).astype(np.int32)), "n": pa.array(n.astype(np.int32))})
+
+
+def _stretches(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Every 40 words of the windows asked for, as a hash and the position of the first word."""
+    hashes, offsets = _hashes(batch)
+    doc, asked = _flat(batch.column("windows"))
+    start, n, window = (np.asarray(asked.field(name)) for name in ("start", "n", "hash"))
+    begin, end = offsets[doc] + start, offsets[doc] + start + n + (MIN_WORDS - 1)
+    sums = polynomial(hashes)
+    keep = np.flatnonzero(end <= offsets[doc + 1])
+    keep = keep[span(sums, begin[keep], end[keep]) == window[keep].view(np.uint64)]  # the others are in another text of the same doc_id
+    at, doc = expand(begin[keep], n[keep].astype(np.int64)), np.repeat(doc[keep], n[keep])
+    return pa.RecordBatch.from_pydict({"hash": pa.array(span(sums, at, at + MIN_WORDS).view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "start": pa.array((at - offsets[doc]).astype(np.int32))})
+
+
+def _matched(groups: tuple[str, ...]):
+    """Of rows sorted by ``groups``, doc_id, start: later rows of each group with the first one's doc_id as ``src``.
+
+    With a fingerprint above the window, the first rows of the windows of a fingerprint that has several follow, without ``src``.
+    """
+    outer = groups[0] if len(groups) > 1 else None
+
+    def run(batches):
+        last = None  # the first row of the group that is being read: its keys, doc_id, start
+        held = None  # that row as a batch, not known yet to have another window beside it; and whether one came before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [np.asarray(batch.column(g)) for g in groups]
+            doc, start = np.asarray(batch.column("doc_id")), np.asarray(batch.column("start"))
+            new = np.ones(len(doc), bool)
+            for c, k in enumerate(keys):
+                change = np.ones(len(doc), bool)
+                change[1:] = k[1:] != k[:-1]
+                change[0] = last is None or k[0] != last[0][c]
+                new = change if not c else new | change
+            at = np.maximum.accumulate(np.where(new, np.arange(len(doc)), -1))
+            src = np.where(at < 0, 0 if last is None else last[1], doc[np.maximum(at, 0)])
+            src_start = np.where(at < 0, 0 if last is None else last[2], start[np.maximum(at, 0)])
+            later = np.flatnonzero((doc != src) | (start != src_start))
+            n = batch.column("n").take(pa.array(later)) if outer else pa.array(np.ones(len(later), np.int32))
+            out = [pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(start[later]), n, batch.column("hash").take(pa.array(later)), pa.array(src[later])], _MARK_NAMES)]
+            heads = np.flatnonzero(new)
+            if len(heads):
+                last = tuple(k[heads[-1]] for k in keys), doc[heads[-1]], start[heads[-1]]
+            if outer and len(heads):
+                first = pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(heads)) for c in ("doc_id", "start", "n", "hash")), pa.nulls(len(heads), pa.int64())], _MARK_NAMES)
+                line = keys[0][heads]
+                before = np.concatenate([[held is not None and held[1] == line[0]], line[1:] == line[:-1]])
+                after = np.append(line[1:] == line[:-1], False)
+                if held is not None and (held[2] or before[0]):
+                    out.append(held[0])
+                out.append(first.slice(0, len(heads) - 1).filter(pa.array((before | after)[:-1], pa.bool_())))
+                held = first.slice(len(heads) - 1), line[-1], bool(before[-1])
+            yield from (b for b in out if b.num_rows)
+        if held is not None and held[2]:
+            yield held[0]
+    return run
+
+
+_MARKS = "doc_id long, start int, n int, hash long, src long"
+_MARK_NAMES = [c.split()[0] for c in _MARKS.split(", ")]
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray | pa.StructArray]:
@@ -84,20 +151,22 @@ def _clean(batch: pa.RecordBatch) -> pa.RecordBatch:
     codes, offsets, distinct = words(batch.column("text"))
     hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
     doc, marks = _flat(batch.column("runs"))
-    at, stretch, src = (np.asarray(marks.field(name)) for name in ("at", "stretch", "src_doc"))
-    begin = offsets[doc] + at
-    fits = begin + MIN_WORDS <= offsets[doc + 1]
-    doc, begin, stretch, src = doc[fits], begin[fits], stretch[fits], src[fits]
-    same = span(polynomial(hashes), begin, begin + MIN_WORDS) == stretch.view(np.uint64)  # the others are in another text of the same doc_id
+    start, n, stretch, src = (np.asarray(marks.field(name)) for name in ("start", "n", "hash", "src"))
+    begin = offsets[doc] + start
+    end = begin + n + (MIN_WORDS - 1)
+    fits = end <= offsets[doc + 1]
+    doc, begin, end, stretch, src = doc[fits], begin[fits], end[fits], stretch[fits], src[fits]
+    same = span(polynomial(hashes), begin, end) == stretch.view(np.uint64)  # the others are in another text of the same doc_id
     order = np.flatnonzero(same)[np.argsort(begin[same], kind="stable")]
-    doc, begin, src = doc[order], begin[order], src[order]
+    doc, begin, end, src = doc[order], begin[order], end[order], src[order]
+    reach = np.maximum.accumulate(end) if len(end) else end  # texts follow one another, so a later text's marks reach further
     new = np.ones(len(begin), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] > begin[:-1] + MIN_WORDS)
+    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] > reach[:-1])
     head = np.flatnonzero(new)
     last = np.append(head[1:], len(begin))[:len(head)] - 1
     source = np.minimum.reduceat(src, head) if len(head) else src
     owner = doc[head]
-    merged = np.stack([begin[head] - offsets[owner], begin[last] + MIN_WORDS - offsets[owner], source], axis=1).tolist()
+    merged = np.stack([begin[head] - offsets[owner], reach[last] - offsets[owner], source], axis=1).tolist()
     bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
     texts, found = [], []
     for d, text in enumerate(batch.column("text").to_pylist()):
@@ -120,15 +189,16 @@ _REMOVED = "array<struct<begin: long, end: long, n_words: long, source_doc_id: l
 
 
 def later_runs(rows: DataFrame) -> DataFrame:
-    """Per document with matches: doc_id and the 40 words that an earlier place has, each with the first document that has them. ``rows`` has doc_id and text."""
+    """Per document with matches: doc_id and the stretches of 40 words and more that an earlier place has, each with a document that has it. ``rows`` has doc_id and text."""
     rows = rows.where("doc_id IS NOT NULL")
-    prints = stage(rows.mapInArrow(in_steps(_fingerprints), "line long, doc_id long, at int"))
-    again = stage(prints.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line"))
-    asked = stage(prints.join(again, "line").groupBy("doc_id").agg(F.collect_list("at").alias("places")))
-    stretches = stage(only_ids(rows, asked.select("doc_id")).join(asked, "doc_id").mapInArrow(in_steps(_stretches), "stretch long, doc_id long, at int"))
-    first = stretches.groupBy("stretch").agg(F.min(F.struct("doc_id", "at")).alias("src"), F.count("*").alias("n")).where("n > 1").select("stretch", F.col("src.doc_id").alias("src_doc"), F.col("src.at").alias("src_at"))
-    later = stretches.join(stage(first), "stretch").where("doc_id <> src_doc OR at <> src_at")
-    return stage(later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "stretch", "src_doc")).alias("runs")))
+    windows = rows.mapInArrow(in_steps(_windows), "line long, hash long, doc_id long, start int, n int")
+    key = ["line", "hash", "doc_id", "start"]
+    found = stage(windows.repartition("line").sortWithinPartitions(*key).mapInArrow(_matched(("line", "hash")), _MARKS))
+    asked = stage(found.where("src IS NULL").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "hash")).alias("windows")))
+    stretches = only_ids(rows, asked.select("doc_id")).join(asked, "doc_id").mapInArrow(in_steps(_stretches), "hash long, doc_id long, start int")
+    later = stretches.repartition("hash").sortWithinPartitions("hash", "doc_id", "start").mapInArrow(_matched(("hash",)), _MARKS)
+    marks = found.where("src IS NOT NULL").unionByName(later)
+    return stage(marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "hash", "src")).alias("runs")))
 
 
 def removed_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -141,6 +141,26 @@ def test_excerpt_in_the_first_document_hides_no_later_copy(spark):
     assert all(len(got[d]) == 60 + d // 4 % 6 for d in got if d % 4 == 3)
 
 
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_edited_copies_and_nested_excerpts(spark, batch):
+    """Windows that differ at the ends of runs, whatever rows share an Arrow batch."""
+    rng, texts = random.Random(batch), []
+    bases = [[f"b{g}_{i}" for i in range(260)] for g in range(4)]
+    for d in range(60):
+        w = list(bases[d % 4])
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(w))
+            w[at:at + rng.randint(0, 3)] = [f"x{d}_{at}"] * rng.randint(0, 2)
+        a, b = sorted(rng.sample(range(len(w)), 2))
+        texts.append((d, " ".join((w if rng.random() < 0.4 else w[a:b]) * rng.choice([1, 1, 2]))))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {r["doc_id"]: r["text"].split() for r in linededup.remove_later_runs(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_removal(texts)
+
+
 def test_shared_doc_id_is_cut_where_the_run_is(spark):
     passage = prose(60, 50).split()
     texts = [(1, prose(61, 20).split() + passage), (2, prose(62, 30).split() + passage + prose(63, 40).split()), (2, prose(64, 150).split())]
