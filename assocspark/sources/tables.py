@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.pairs import BASE_NUMERIC, H2_COLUMNS, NATIVE_COLUMNS, coerce_numeric, raise_on_bad_cells, restrict
-from .text import first_line
+from ..session import small
+from .text import first_line, header_lines, owners
 
 # Required association columns, and the older names they may carry.
 ASSOC_COLUMNS = ("SNPID", "CHR", "BP", "EA", "OA", "EAF", "N", "Z", "P")
@@ -20,7 +21,7 @@ def detect_delimiter(header: str) -> str:
     return "\t" if header.count("\t") > header.count(",") else ","
 
 
-def delimited(spark: SparkSession, path: str, separator: str) -> DataFrame:
+def delimited(spark: SparkSession, path: str | list[str], separator: str) -> DataFrame:
     """All-text read that keeps NA, padding and empty strings as they are. A row with too few or too many fields stops the job."""
     return _strict(spark).csv(path, header=True, sep=separator, inferSchema=False, nullValue=None, emptyValue="", mode="FAILFAST",
                               ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -31,17 +32,33 @@ def _strict(spark: SparkSession):
     return spark.read.option("columnPruning", "false")
 
 
+def _layouts(spark: SparkSession, paths: dict[str, str]) -> dict[str, dict[str, str]]:
+    """Header line -> the named files that have it. Files of one header are read together, so plans grow with headers and not with files."""
+    out: dict[str, dict[str, str]] = {}
+    for name, header in header_lines(spark, paths).items():
+        out.setdefault(header, {})[name] = paths[name]
+    return out
+
+
+def _named(rows: DataFrame, members: dict[str, str]) -> DataFrame:
+    """``rows`` with ``_name`` of the path that ``_file`` belongs to."""
+    spark = rows.sparkSession
+    owner = owners(spark, members, spark.read.text(list(members.values())).inputFiles())
+    lookup = spark.createDataFrame(owner, "_file string, _name string")
+    return rows.join(small(lookup, len(owner)), "_file").drop("_file")
+
+
 def read_pairs(spark: SparkSession, paths: Sequence[str], traits: DataFrame | None = None) -> DataFrame:
     """Typed pair rows of all files with ``source_file`` and ``source_row``; only pairs of ``traits`` if given.
 
     Raises on missing or half-present columns (headers only), on unreadable numbers and on blank trait
     names (one job).
     """
+    numbered = {str(n): path for n, path in enumerate(paths)}
     tables = []
-    for number, path in enumerate(paths):
-        header = first_line(spark, path)
-        rows = delimited(spark, path, detect_delimiter(header))
-        columns = set(rows.columns)
+    for header, members in _layouts(spark, numbered).items():
+        rows = delimited(spark, list(members.values()), detect_delimiter(header))
+        columns, path = set(rows.columns), next(iter(members.values()))
         absent = ({"p1", "p2", *BASE_NUMERIC} - columns) or (set() if any(set(p) <= columns for p in H2_COLUMNS) else {"h2_obs or h2_liab pair"})
         if absent:
             raise ValueError(f"{path}: missing columns {sorted(absent)}")
@@ -50,10 +67,10 @@ def read_pairs(spark: SparkSession, paths: Sequence[str], traits: DataFrame | No
             raise ValueError(f"{path}: native columns must be all present or all absent")
         wanted = ["p1", "p2", *BASE_NUMERIC, *[c for pair in H2_COLUMNS if set(pair) <= columns for c in pair], *native,
                   *[c for c in ("rg_trait_wide", "normalization_status") if c in columns]]
-        tables.append(rows.select(*[F.trim(c).alias(c) if c in ("p1", "p2") else F.col(c) for c in wanted],
-                                  F.lit(path).alias("source_file"), F.lit(number).alias("source_number"),
-                                  F.monotonically_increasing_id().alias("source_row")))
+        tables.append(_named(rows.select(*[F.trim(c).alias(c) if c in ("p1", "p2") else F.col(c) for c in wanted], F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("source_row")), members))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    listed = spark.createDataFrame(list(enumerate(paths)), "source_number int, source_file string")
+    rows = rows.withColumn("source_number", F.col("_name").cast("int")).drop("_name").join(small(listed, len(paths)), "source_number")
     blank = rows.filter((F.coalesce("p1", F.lit("")) == "") | (F.coalesce("p2", F.lit("")) == "")).take(1)
     if blank:
         raise ValueError(f"missing trait identifier in {blank[0]['source_file']}")
@@ -89,18 +106,18 @@ def canonical_assoc_columns(columns: Sequence[str]) -> dict[str, str]:
 
 def read_assoc(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Long association table from one file (or folder of chromosome files) per trait, in manifest order."""
+    types = {"BP": "bigint", "CHR": "bigint", "EAF": "double", "N": "double", "Z": "double", "P": "double"}
     tables = []
-    for order, (trait, path) in enumerate(paths.items()):
+    for line, members in _layouts(spark, paths).items():
         # Spark resolves names without case, so P and p would clash: names come from the header line, columns are read by position.
-        header = [name.strip('"') for name in first_line(spark, path).split("\t")]
-        source = canonical_assoc_columns(header)
-        where = {name: f"c{header.index(column)}" for name, column in source.items()}
-        renamed = _strict(spark).csv(path, schema=", ".join(f"c{i} string" for i in range(len(header))), header=True, enforceSchema=True, sep="\t", nullValue=None, emptyValue="", mode="FAILFAST",
-                                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        types = {"BP": "bigint", "CHR": "bigint", "EAF": "double", "N": "double", "Z": "double", "P": "double"}
-        tables.append(renamed.select(F.lit(trait).alias("trait"), F.lit(order).alias("trait_order"), *[
-            (F.col(where[c]).try_cast(types[c]) if c in types else F.col(where[c])).alias(c) for c in ASSOC_COLUMNS]))
-    return reduce(DataFrame.unionByName, tables)
+        header = [name.strip('"') for name in line.split("\t")]
+        where = {name: f"c{header.index(column)}" for name, column in canonical_assoc_columns(header).items()}
+        rows = _strict(spark).csv(list(members.values()), schema=", ".join(f"c{i} string" for i in range(len(header))), header=True, enforceSchema=True, sep="\t", nullValue=None, emptyValue="", mode="FAILFAST",
+                                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        tables.append(_named(rows.select(F.input_file_name().alias("_file"), *[(F.col(where[c]).try_cast(types[c]) if c in types else F.col(where[c])).alias(c) for c in ASSOC_COLUMNS]), members))
+    rows = reduce(DataFrame.unionByName, tables).withColumnRenamed("_name", "trait")
+    order = spark.createDataFrame([(t, i) for i, t in enumerate(paths)], "trait string, trait_order int")
+    return rows.join(small(order, len(paths)), "trait").select("trait", "trait_order", *ASSOC_COLUMNS)
 
 
 def read_matrix_bundle(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ keeps the columns that say where a record came from, so later steps can break ti
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,8 +42,11 @@ def parse_vcf_lines(lines: DataFrame, fields: dict[str, str], *, info: Sequence[
     Other columns of ``lines`` are kept; header lines are dropped. A '.' becomes NULL. Lines, keys and values
     are each split once, whatever the number of fields read.
     """
-    kept = [c for c in lines.columns if c != "value"]
-    body = lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))
+    return _parsed(lines.filter(~F.col("value").startswith("#") & (F.col("value") != "")), fields, info)
+
+
+def _parsed(body: DataFrame, fields: dict[str, str], info: Sequence[str]) -> DataFrame:
+    kept = [c for c in body.columns if c != "value"]
     parts = evaluate_once(body.select(*kept, F.split(F.rtrim("value", F.lit("\r")), "\t").alias("_p")))
 
     def at(i):
@@ -57,42 +61,87 @@ def parse_vcf_lines(lines: DataFrame, fields: dict[str, str], *, info: Sequence[
                         *[info_field(key, "_info").alias(f"INFO_{key}") for key in info])
 
 
+def checked_vcf_lines(lines: DataFrame, group: str = "trait") -> DataFrame:
+    """The record lines of single-sample files. A header or record with another number of sample columns stops the job that reads them.
+
+    The check stands in the scan itself: files are read once, and nothing has to be counted beforehand. No other filter may stand on ``value``
+    above it: the optimizer would put it first, and headers would go unseen.
+    """
+    width = F.size(F.split(F.rtrim("value", F.lit("\r")), "\t")) - len(VCF_FIXED)
+    tested = F.col("value").startswith("#CHROM") | (~F.col("value").startswith("#") & (F.col("value") != ""))
+    wrong = F.raise_error(F.concat(F.lit("expected exactly one sample per file; found "), F.greatest(width, F.lit(0)).cast("string"), F.lit(" in "), F.coalesce(F.col(group).cast("string"), F.lit("?"))))
+    return lines.filter(F.when(tested & (width != 1), wrong.cast("boolean")).otherwise(~F.col("value").startswith("#") & (F.col("value") != "")))
+
+
 def vcf_sample_counts(lines: DataFrame, group: str = "trait") -> DataFrame:
     """Sample columns per file, from its header line; a file without one has no row."""
     return lines.filter(F.col("value").startswith("#CHROM")).select(
         group, (F.size(F.split("value", "\t")) - len(VCF_FIXED)).alias("samples")).groupBy(group).agg(F.max("samples").alias("samples"))
 
 
+def _plain(path: str) -> str:
+    """The path part of a URI, as Spark reports it for a file and as a caller writes it."""
+    return unquote(urlparse(path).path if "://" in path or path.startswith("file:") else path).rstrip("/")
+
+
+def owners(spark: SparkSession, paths: dict[str, str], files: Sequence[str]) -> list[tuple[str, str]]:
+    """(file, name of the path it is listed under, itself or a folder above it), for file names that Spark reports."""
+    listed: dict[str, str] = {}
+    for name, path in paths.items():
+        if _plain(path) in listed:
+            raise ValueError("a file is listed for more than one trait")
+        listed[_plain(path)] = name
+    out = []
+    for file in files:
+        at = _plain(file)
+        while at and at not in listed:
+            at = at.rpartition("/")[0]
+        if at:
+            out.append((file, listed[at]))
+    return out
+
+
 def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Lines of one file (or folder) per trait, all in one scan: ``trait, file_block, file_row, value``.
 
     The scan lists every file once; files are told apart by the name Spark itself reports for them.
     """
-    owner = [(name, trait) for trait, path in paths.items() for name in spark.read.text(path).inputFiles()]
-    if len({name for name, _ in owner}) != len(owner):
-        raise ValueError("a file is listed for more than one trait")
+    scan = spark.read.text(list(paths.values()))
+    owner = owners(spark, paths, scan.inputFiles())
     lookup = spark.createDataFrame(owner, "file string, trait string")
-    lines = spark.read.text(list(paths.values())).select(
+    lines = scan.select(
         "value", F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("file_block"),
         F.monotonically_increasing_id().alias("file_row"))
     return lines.join(small(lookup, len(owner)), "file").select("trait", *ROW_ORDER, "value")
 
 
+def header_lines(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
+    """First line of every named file (the same in all files of a folder), by one job however many there are; one short row a file reaches the driver."""
+    scan = spark.read.text(list(paths.values()))
+    lines = scan.select("value", F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("value"))
+    found = {r["file"]: r["value"].lstrip("\ufeff").rstrip("\r") for r in first.collect()}
+    out: dict[str, str] = {}
+    for file, name in owners(spark, paths, list(found)):
+        if out.setdefault(name, found[file]) != found[file]:
+            raise ValueError(f"{paths[name]}: its files have different headers")
+    for name, path in paths.items():
+        if name not in out:
+            raise ValueError(f"{path}: empty file")
+    return out
+
+
 def read_gwas_vcf(spark: SparkSession, paths: dict[str, str], fields: dict[str, str] | None = None, *, info: Sequence[str] = (),
                   partitions: int | None = None) -> DataFrame:
-    """Long table of the records of one single-sample variant file per trait (plain or gzip); runs one header job.
+    """Long table of the records of one single-sample variant file per trait (plain or gzip): one scan, which also checks the number of samples.
 
     A gzip file is read by one task; ``partitions`` spreads the lines of a few such files before they are parsed. Store the
     parsed table once and work from that.
     """
-    lines = read_lines(spark, paths)
-    counts = {r["trait"]: r["samples"] for r in vcf_sample_counts(lines).collect()}  # one row per trait
-    bad = {t: counts.get(t, 0) for t in paths if counts.get(t, 0) != 1}
-    if bad:
-        raise ValueError(f"expected exactly one sample per file; found {bad}")
+    lines = checked_vcf_lines(read_lines(spark, paths))
     if partitions:
         lines = lines.repartition(partitions, "trait", "file_row")
-    return parse_vcf_lines(lines, fields or PREPARE_FIELDS, info=info)
+    return _parsed(lines, fields or PREPARE_FIELDS, info)
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -135,8 +184,8 @@ def read_sumstats(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame
     Values stay text. Traits that share a header are read together.
     """
     layouts: dict[str, dict[str, str]] = {}
-    for trait, path in paths.items():
-        layouts.setdefault(first_line(spark, path), {})[trait] = path
+    for trait, header in header_lines(spark, paths).items():
+        layouts.setdefault(header, {})[trait] = paths[trait]
     tables, broken = [], []
     for header, members in layouts.items():
         names, separator = split_header(header)

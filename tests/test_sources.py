@@ -32,8 +32,29 @@ def test_vcf_scan_reads_keys_by_name(spark, tmp_path, rows):
 
 def test_vcf_needs_one_sample(spark, tmp_path):
     two = vcf(tmp_path / "two.vcf", [], HEADER.replace("trait", "a\tb"))
-    with pytest.raises(ValueError, match="exactly one sample"):
-        text.read_gwas_vcf(spark, {"T": two})
+    record = (1, 10, "rs1", "A", "G", ".", "PASS", ".", "AF", "0.1")
+    wide = vcf(tmp_path / "wide.vcf", [record, (*record, "0.2")])
+    none = vcf(tmp_path / "none.vcf", [record[:9]])
+    for path, found in ((two, 2), (wide, 2), (none, 0)):  # the scan that reads the records raises
+        with pytest.raises(Exception, match=f"exactly one sample per file; found {found} in T"):
+            text.read_gwas_vcf(spark, {"T": path}).collect()
+
+
+def test_many_files_are_one_scan(spark, tmp_path):
+    paths = {}
+    for k in range(300):
+        path = tmp_path / f"trait {k}.tsv"
+        path.write_text("SNPID\tCHR\tBP\tA1\tA2\tEAF\tN\tZ\tp\tP\n" if k % 2 else "SNPID\tCHR\tBP\tEA\tOA\tEAF\tN\tZ\tP\n")
+        with path.open("a") as f:
+            f.write(f"rs{k}\t1\t{k}\tA\tG\t.5\t10\t1.5\t" + ("9\t.25\n" if k % 2 else ".25\n"))
+        paths[f"t{k}"] = str(path)
+    rows = tables.read_assoc(spark, paths)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2
+    got = rows.collect()
+    assert {(r.trait, r.trait_order, r.SNPID, r.EA, r.P) for r in got} == {(f"t{k}", k, f"rs{k}", "A", .25) for k in range(300)} and len(got) == 300
+    with pytest.raises(ValueError, match="empty"):
+        (tmp_path / "void.tsv").write_text("")
+        tables.read_assoc(spark, {"v": str(tmp_path / "void.tsv")})
 
 
 FREQUENCIES = {None: None, ".": None, "0.2": .2, "0.2,.": None, "0.9": .9}
