@@ -9,7 +9,8 @@ matched whole, each later one with the first. Only where the windows of one fing
 each window compared one by one. The first occurrence of a stretch in (doc_id, word) order stays, whatever documents have it; the words of every later one
 are marked, and marks that overlap or touch are one deleted run, of ``MIN_WORDS`` words at least.
 
-Both comparisons are one shuffle each, read as a sorted stream that holds one row, so a fingerprint that every document has needs no memory.
+Both comparisons are one shuffle each, of what a batch of texts does not match within itself, read as a sorted stream that holds one row: a fingerprint that
+every document has needs no memory, and sends one row a batch to its task.
 """
 from __future__ import annotations
 
@@ -17,11 +18,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import only_ids
-from .text import expand, id_text, in_steps, polynomial, span, stage, string_hashes, words
+from .text import expand, id_text, in_steps, mix, polynomial, span, stage, string_hashes, words
 
 LINE, WINDOW = 21, 20
 MIN_WORDS = LINE + WINDOW - 1
@@ -63,8 +65,21 @@ def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64), offsets
 
 
+def _earliest(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the rows of a batch: the first of every key in (doc_id, start) order, the later ones, and the first row of each of those."""
+    order = np.lexsort((start, doc, *reversed(keys)))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+    source = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else order
+    later = (doc[order] != doc[source]) | (start[order] != start[source])
+    return order[new], order[later], source[later]
+
+
 def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Every fingerprint with its window: the stretches that keep it start at ``start`` and the ``n - 1`` words after."""
+    """Every fingerprint with its window: the stretches that keep it start at ``start`` and the ``n - 1`` words after.
+
+    What a batch repeats is matched at once: later rows have a ``src`` and are dealt by their place, so that no copy follows a frequent line to its task.
+    """
     hashes, offsets = _hashes(batch)
     lines, first, place = _chosen(hashes, offsets)
     doc = np.searchsorted(offsets, first, side="right") - 1
@@ -74,8 +89,12 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     n = np.diff(np.append(head, len(first)))
     start, doc = first[head], doc[head]
     window = span(polynomial(hashes), start, start + n + (MIN_WORDS - 1))
-    return pa.RecordBatch.from_pydict({"line": pa.array(lines[place[head]].view(np.int64)), "hash": pa.array(window.view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)),
-                                       "start": pa.array((start - offsets[doc]).astype(np.int32)), "n": pa.array(n.astype(np.int32))})
+    line, at, ids = lines[place[head]], (start - offsets[doc]).astype(np.int32), np.asarray(batch.column("doc_id"))[doc]
+    first, later, source = _earliest([line, window], ids, at)
+    rows = np.concatenate([first, later])
+    line = np.concatenate([line[first], mix(ids[later].view(np.uint64) ^ mix(at[later].astype(np.uint64)))])
+    return pa.RecordBatch.from_pydict({"line": pa.array(line.view(np.int64)), "hash": pa.array(window[rows].view(np.int64)), "doc_id": pa.array(ids[rows]), "start": pa.array(at[rows]), "n": pa.array(n[rows].astype(np.int32)),
+                                       "src": pa.array(np.concatenate([ids[first], ids[source]]), mask=np.arange(len(rows)) < len(first))})
 
 
 def _stretches(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -88,11 +107,16 @@ def _stretches(batch: pa.RecordBatch) -> pa.RecordBatch:
     keep = np.flatnonzero(end <= offsets[doc + 1])
     keep = keep[span(sums, begin[keep], end[keep]) == window[keep].view(np.uint64)]  # the others are in another text of the same doc_id
     at, doc = expand(begin[keep], n[keep].astype(np.int64)), np.repeat(doc[keep], n[keep])
-    return pa.RecordBatch.from_pydict({"hash": pa.array(span(sums, at, at + MIN_WORDS).view(np.int64)), "doc_id": batch.column("doc_id").take(pa.array(doc)), "start": pa.array((at - offsets[doc]).astype(np.int32))})
+    stretch, at, ids = span(sums, at, at + MIN_WORDS), (at - offsets[doc]).astype(np.int32), np.asarray(batch.column("doc_id"))[doc]
+    first, later, source = _earliest([stretch], ids, at)
+    rows = np.concatenate([first, later])
+    deal = np.concatenate([stretch[first], mix(ids[later].view(np.uint64) ^ mix(at[later].astype(np.uint64)))])
+    return pa.RecordBatch.from_pydict({"deal": pa.array(deal.view(np.int64)), "hash": pa.array(stretch[rows].view(np.int64)), "doc_id": pa.array(ids[rows]), "start": pa.array(at[rows]),
+                                       "n": pa.array(np.ones(len(rows), np.int32)), "src": pa.array(np.concatenate([ids[first], ids[source]]), mask=np.arange(len(rows)) < len(first))})
 
 
 def _matched(groups: tuple[str, ...]):
-    """Of rows sorted by ``groups``, doc_id, start: later rows of each group with the first one's doc_id as ``src``.
+    """Of rows sorted by ``groups``, doc_id, start: later rows of each group with the first one's doc_id as ``src``; rows that have one pass.
 
     With a fingerprint above the window, the first rows of the windows of a fingerprint that has several follow, without ``src``.
     """
@@ -102,6 +126,11 @@ def _matched(groups: tuple[str, ...]):
         last = None  # the first row of the group that is being read: its keys, doc_id, start
         held = None  # that row as a batch, not known yet to have another window beside it; and whether one came before
         for batch in batches:
+            known = pc.is_valid(batch.column("src"))
+            ready = batch.filter(known).select(_MARK_NAMES)
+            if ready.num_rows:
+                yield ready
+            batch = batch.filter(pc.invert(known))
             if not batch.num_rows:
                 continue
             keys = [np.asarray(batch.column(g)) for g in groups]
@@ -116,8 +145,7 @@ def _matched(groups: tuple[str, ...]):
             src = np.where(at < 0, 0 if last is None else last[1], doc[np.maximum(at, 0)])
             src_start = np.where(at < 0, 0 if last is None else last[2], start[np.maximum(at, 0)])
             later = np.flatnonzero((doc != src) | (start != src_start))
-            n = batch.column("n").take(pa.array(later)) if outer else pa.array(np.ones(len(later), np.int32))
-            out = [pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(start[later]), n, batch.column("hash").take(pa.array(later)), pa.array(src[later])], _MARK_NAMES)]
+            out = [pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(start[later]), batch.column("n").take(pa.array(later)), batch.column("hash").take(pa.array(later)), pa.array(src[later])], _MARK_NAMES)]
             heads = np.flatnonzero(new)
             if len(heads):
                 last = tuple(k[heads[-1]] for k in keys), doc[heads[-1]], start[heads[-1]]
@@ -191,12 +219,12 @@ _REMOVED = "array<struct<begin: long, end: long, n_words: long, source_doc_id: l
 def later_runs(rows: DataFrame) -> DataFrame:
     """Per document with matches: doc_id and the stretches of 40 words and more that an earlier place has, each with a document that has it. ``rows`` has doc_id and text."""
     rows = rows.where("doc_id IS NOT NULL")
-    windows = rows.mapInArrow(in_steps(_windows), "line long, hash long, doc_id long, start int, n int")
+    windows = rows.mapInArrow(in_steps(_windows), "line long, hash long, doc_id long, start int, n int, src long")
     key = ["line", "hash", "doc_id", "start"]
     found = stage(windows.repartition("line").sortWithinPartitions(*key).mapInArrow(_matched(("line", "hash")), _MARKS))
     asked = stage(found.where("src IS NULL").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "hash")).alias("windows")))
-    stretches = only_ids(rows, asked.select("doc_id")).join(asked, "doc_id").mapInArrow(in_steps(_stretches), "hash long, doc_id long, start int")
-    later = stretches.repartition("hash").sortWithinPartitions("hash", "doc_id", "start").mapInArrow(_matched(("hash",)), _MARKS)
+    stretches = only_ids(rows, asked.select("doc_id")).join(asked, "doc_id").mapInArrow(in_steps(_stretches), "deal long, hash long, doc_id long, start int, n int, src long")
+    later = stretches.repartition("deal").sortWithinPartitions("hash", "doc_id", "start").mapInArrow(_matched(("hash",)), _MARKS)
     marks = found.where("src IS NOT NULL").unionByName(later)
     return stage(marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "hash", "src")).alias("runs")))
 
