@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.variant_qc import variant_id
+from ..session import durable, small
 from ..operators.filters import fold_maf
 
 CHROMOSOMES = 22
@@ -25,18 +26,26 @@ def missing_chromosomes(assoc: DataFrame) -> DataFrame:
     return per_trait.select("trait", F.array_except(every, "_c").alias("missing")).filter(F.size("missing") > 0)
 
 
-def write_assoc(assoc: DataFrame, path: str, *, split: bool = True) -> None:
-    """Association table partitioned by trait, and by chromosome if ``split`` (which needs all 22 per trait).
+def writer_counts(assoc: DataFrame, keys: list[str], rows_per_file: int) -> DataFrame:
+    """Per value of ``keys``: its rows and the number of writers they call for."""
+    return assoc.groupBy(*keys).agg(F.count("*").alias("rows")).withColumn("writers", F.ceil(F.col("rows") / rows_per_file).cast("int"))
 
-    Rows are spread by trait and chromosome plus a hash of the SNP, so a trait with most rows is still
-    written by many tasks.
+
+def write_assoc(assoc: DataFrame, path: str, *, split: bool = True, rows_per_file: int = 1_000_000) -> None:
+    """Association table partitioned by trait, and by chromosome if ``split`` (which needs all 22 per trait), in one commit.
+
+    Each part of the table gets writers in proportion to its rows: they are counted first, and rows are dealt by a hash of the SNP among as
+    many files of about ``rows_per_file`` rows. One part is as many rows as all others together, or a few: files come out alike.
     """
+    keys = ["trait", "CHR"] if split else ["trait"]
+    counts = durable(writer_counts(assoc, keys, rows_per_file))
     if split:
-        bad = missing_chromosomes(assoc).take(1)
+        bad = missing_chromosomes(counts).take(1)
         if bad:
             raise ValueError(f"{bad[0]['trait']}: split output needs chromosomes 1-22; missing {bad[0]['missing']}")
-    keys = ["trait", "CHR"] if split else ["trait"]
-    spread = assoc.repartition(*keys, F.pmod(F.xxhash64("SNPID"), F.lit(16)))
+    parts, files = counts.agg(F.count("*"), F.sum("writers")).first()
+    dealt = assoc.join(small(counts.select(*keys, "writers"), parts), keys).withColumn("_writer", F.pmod(F.xxhash64("SNPID"), F.col("writers")))
+    spread = dealt.repartition(max(1, int(files or 1)), *keys, "_writer").drop("writers", "_writer")
     spread.write.mode("errorifexists").partitionBy(*keys).parquet(path)
 
 
@@ -55,5 +64,5 @@ def munge_input(good: DataFrame, layout: str = "shared", id_source: str = "vcf_i
 
 
 def write_table(df: DataFrame, path: str, *, separator: str = ",", compression: str = "gzip") -> None:
-    """Delimited text: doubles in their shortest exact form, NULL and '' as empty cells."""
-    df.write.mode("errorifexists").csv(path, sep=separator, header=True, nullValue="", emptyValue="", compression=compression)
+    """Delimited text: doubles in their shortest exact form, NULL and '' as empty cells, quotes doubled within quoted cells."""
+    df.write.mode("errorifexists").csv(path, sep=separator, header=True, nullValue="", emptyValue="", escape='"', compression=compression)
