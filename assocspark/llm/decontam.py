@@ -3,7 +3,10 @@
 Texts are compared in lower case with every run of white space as one blank. An item of n characters is found where a stretch of a
 document is within e = min(n / 10, (n - 8) / 8) edits of the whole item. By the q-gram lemma such a stretch shares at least
 n - 7 - 8 e of the item's 8-grams, and all of them lie within e diagonals of each other. Shared 8-grams are counted per item in
-bands of 2 (e + 1) diagonals that overlap by half; bands with enough of them are aligned, the rest cannot hold the item.
+bands of 2 (e + 1) diagonals that overlap by half; bands with too few cannot hold the item.
+
+Benchmarks are often templated. An item leaves out 8-grams that many items have, as many as the lemma allows, and needs that many fewer. A band
+that passes then has to hold n - 3 - 4 e of the item's 4-grams, which the lemma asks for as well; only what passes both is aligned.
 
 A task holds the index of a bounded chunk of the benchmark (``CHUNK_CHARS`` characters or one longer item); a larger benchmark takes
 more than one pass over the documents, each with its own chunk. Documents are never shuffled.
@@ -26,6 +29,9 @@ Q = 8
 #: Items with fewer characters take no part: too little to tell them from chance.
 SHORTEST = 2 * Q
 CHUNK_CHARS = 2_000_000
+#: Places in a chunk from which on an 8-gram may be left out, the length of the second sieve's grams, and places looked up at a time.
+COMMON, SMALL = 32, 4
+STEP = 2_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 21
 FOUND = "doc_id long, item_id long, begin long, end long, distance int"
@@ -46,10 +52,10 @@ def normal(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(blank[at], 32, flat[at]).astype(np.uint32), np.concatenate([[0], np.cumsum(keep)])[bounds], at - np.repeat(bounds[:-1], sizes)[at]
 
 
-def grams(points: np.ndarray) -> np.ndarray:
-    """Hash of every Q characters, by doubling."""
+def grams(points: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hash of every ``q`` characters (a power of two), by doubling."""
     h, width, b = points.astype(np.uint64) + np.uint64(1), 1, int(_B)
-    while width < Q:
+    while width < q:
         h = h[:-width] + h[width:] * np.uint64(b) if len(h) > width else h[:0]
         width, b = 2 * width, b * b % (1 << 64)
     return h * _B ^ (h >> np.uint64(29))
@@ -70,6 +76,9 @@ class Index(NamedTuple):
     texts: list
     edits: np.ndarray
     least: np.ndarray
+    fours: np.ndarray
+    four_first: np.ndarray
+    four_codes: np.ndarray
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
@@ -87,12 +96,23 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
     all_grams = [grams(c) for c in clean]
     count = np.array([len(g) for g in all_grams], np.int64)
     flat = np.concatenate(all_grams) if kept else np.zeros(0, np.uint64)
+    item, at = np.repeat(np.arange(len(kept)), count), expand(np.zeros(len(kept), np.int64), count)
+    _, which, times = np.unique(flat, return_inverse=True, return_counts=True)
+    least = n - Q + 1 - Q * edits
+    # Of an item's 8-grams, the most frequent ones beyond COMMON places go, but for as many as it needs; ``rank`` counts them within the item.
+    by_use = np.lexsort((at, -times[which], item)) if len(flat) else np.zeros(0, np.int64)
+    rank = np.empty(len(flat), np.int64)
+    rank[by_use] = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
+    out = (times[which] > COMMON) & (rank < (least - 1)[item])
+    least = least - np.bincount(item[out], minlength=len(kept))
+    flat, item, at = flat[~out], item[~out], at[~out]
     order = np.argsort(flat, kind="stable")
     hashes, first = np.unique(flat[order], return_index=True)
     used = np.zeros(1 << _TABLE_BITS, bool)
     used[_slot(hashes)] = True
-    item, at = np.repeat(np.arange(len(kept)), count), expand(np.zeros(len(kept), np.int64), count)
-    return Index(used, hashes, np.append(first, len(flat)), item[order], at[order], ids, clean, edits, n - Q + 1 - Q * edits)
+    small = [grams(c, SMALL) for c in clean]
+    fours, codes = np.unique(np.concatenate(small) if kept else np.zeros(0, np.uint64), return_inverse=True)
+    return Index(used, hashes, np.append(first, len(flat)), item[order], at[order], ids, clean, edits, least, fours, np.cumsum([0, *map(len, small)]), codes)
 
 
 def align(item: np.ndarray, region: np.ndarray, edits: int) -> tuple[int, int] | None:
@@ -134,6 +154,46 @@ def _stretch(item: np.ndarray, region: np.ndarray, edits: int) -> tuple[int, int
     return distance, end - (back[1] if back else len(item)), end
 
 
+def _bands(index: Index, place: np.ndarray, doc: np.ndarray, gram: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document and item, band of diagonals) with enough shared 8-grams, sorted."""
+    posting = expand(index.first[gram], times)
+    item = index.item[posting]
+    diagonal = np.repeat(place, times) - index.at[posting]
+    band = diagonal // (index.edits[item] + 1)
+    pair = np.repeat(doc, times) * len(index.ids) + item
+    pair, band = np.concatenate([pair, pair]), np.concatenate([band, band - 1])
+    key, count = np.unique((pair << 32) + (band + (1 << 31)), return_counts=True)
+    pair, band = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
+    enough = count >= index.least[pair % len(index.ids)]
+    return pair[enough], band[enough]
+
+
+def _may_hold(index: Index, points: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """The lemma for 4-grams: whether enough places of each item have a 4-gram of points[begin:end].
+
+    Regions are first looked up by the page around them, of two to four times their length, all items of a page at once; then one by one.
+    """
+    keep = np.ones(len(item), bool)
+    have = np.zeros(len(index.fours) + 1, bool)
+    width = 1 << np.ceil(np.log2(np.maximum(end - begin, 1))).astype(np.int64)
+    for low, high in ((begin // width * width, begin // width * width + 2 * width), (begin, end)):
+        todo = np.flatnonzero(keep)
+        order = todo[np.lexsort((high[todo], low[todo]))]
+        new = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+        for group in np.split(order, np.flatnonzero(new) + 1) if len(order) else ():
+            h = grams(points[low[group[0]]:high[group[0]]], SMALL)
+            at = np.minimum(np.searchsorted(index.fours, h), len(index.fours) - 1)
+            seen = at[index.fours[at] == h]
+            have[seen] = True
+            i = item[group]
+            size = index.four_first[i + 1] - index.four_first[i]
+            hits = have[index.four_codes[expand(index.four_first[i], size)]]
+            count = np.bincount(np.repeat(np.arange(len(group)), size), hits, len(group))
+            have[seen] = False
+            keep[group] = count >= size - SMALL * index.edits[i]
+    return keep
+
+
 def scan(index: Index, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     points, bounds, original = normal(batch.column("text"))
     h = grams(points)
@@ -145,32 +205,25 @@ def scan(index: Index, batch: pa.RecordBatch) -> pa.RecordBatch | None:
     real = (index.hashes[gram] == h[hit]) & (hit + Q <= bounds[doc + 1])
     hit, doc, gram = hit[real], doc[real], gram[real]
     times = index.first[gram + 1] - index.first[gram]
-    posting = expand(index.first[gram], times)
-    item = index.item[posting]
-    diagonal = np.repeat(hit - bounds[doc], times) - index.at[posting]
-    doc = np.repeat(doc, times)
-    width = index.edits[item] + 1
-    band = diagonal // width
-    pair = doc * len(index.ids) + item
-    pair, band = np.concatenate([pair, pair]), np.concatenate([band, band - 1])
-    key, count = np.unique((pair << 32) + (band + (1 << 31)), return_counts=True)
-    pair, band = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
-    enough = count >= index.least[pair % len(index.ids)]
-    pair, band = pair[enough], band[enough]
+    steps = np.cumsum(np.bincount(doc, times, batch.num_rows)) // STEP  # a document is looked up in one step
+    parts = [_bands(index, hit[take] - bounds[doc[take]], doc[take], gram[take], times[take]) for take in (steps[doc] == k for k in np.unique(steps[doc]))]
+    pair, band = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
     if not len(pair):
         return None
     out = []
     start = np.ones(len(pair), bool)
     start[1:] = (np.diff(pair) != 0) | (np.diff(band) > 2)
-    for a, b in zip(np.flatnonzero(start), [*np.flatnonzero(start)[1:], len(pair)], strict=True):
-        d, i = divmod(int(pair[a]), len(index.ids))
-        e, n, text = int(index.edits[i]), len(index.texts[i]), points[bounds[d]:bounds[d + 1]]
-        begin = max(0, int(band[a]) * (e + 1) - e)
-        region = text[begin:max(0, (int(band[b - 1]) + 2) * (e + 1) + n + e)]
-        found = _stretch(index.texts[i], region, e)
+    a = np.flatnonzero(start)
+    doc, item = pair[a] // len(index.ids), pair[a] % len(index.ids)
+    edits, sizes = index.edits[item], np.array([len(t) for t in index.texts], np.int64)[item]
+    low, size = bounds[doc], bounds[doc + 1] - bounds[doc]
+    begin = low + np.maximum(0, band[a] * (edits + 1) - edits)
+    end = low + np.minimum(np.maximum(0, (band[np.append(a[1:], len(pair)) - 1] + 2) * (edits + 1) + sizes + edits), size)
+    for k in np.flatnonzero(_may_hold(index, points, begin, end, item)).tolist():
+        found = _stretch(index.texts[item[k]], points[begin[k]:end[k]], int(edits[k]))
         if found:
-            place = original[bounds[d]:bounds[d + 1]]
-            out.append((d, int(index.ids[i]), int(place[begin + found[1]]) if begin + found[1] < len(place) else 0, int(place[begin + found[2] - 1]) + 1, found[0]))
+            place, first = original[low[k]:low[k] + size[k]], int(begin[k] - low[k])
+            out.append((int(doc[k]), int(index.ids[item[k]]), int(place[first + found[1]]) if first + found[1] < len(place) else 0, int(place[first + found[2] - 1]) + 1, found[0]))
     if not out:
         return None
     d, ids, begin, end, distance = zip(*out, strict=True)

@@ -20,6 +20,8 @@ from .text import id_text, in_steps
 
 #: Training documents and landmarks per language at most.
 PER_LANGUAGE = 300
+#: Length up to which a document may be drawn for training, and languages that are learnt at most; prediction has neither limit.
+TRAIN_CHARS, MAX_LANGUAGES = 50_000, 100
 LANDMARKS = 60
 SLOTS = 1 << 15
 ORDERS = 4
@@ -105,16 +107,32 @@ def predict(model: Model, texts: pa.StringArray) -> tuple[list, np.ndarray]:
     return names.tolist(), score
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on at most ``per_language`` documents of each language, none of them held out; null ids, texts and languages are left out."""
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, train_chars: int = TRAIN_CHARS,
+          max_languages: int = MAX_LANGUAGES) -> Model:
+    """Fit on at most ``per_language`` documents of each language, none of them held out; null ids, texts and languages are left out.
+
+    Samples are drawn from documents of up to ``train_chars`` characters; a language that has none is learnt from its shortest document. Of more than
+    ``max_languages`` distinct values the most frequent are learnt (ties: the smaller name), which bounds the model and what the driver holds.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    chosen, _ = sample_ids(rows.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out()), "lang", per_language)
-    sample = trimmed(chosen.where(F.length("text") <= 50_000).select("doc_id", "lang", "text").collect(), per_language)
+    rows = rows.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
+    short = F.length("text") <= train_chars
+    top = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short"), F.min(F.struct(F.length("text"), "doc_id")).alias("least")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    sample: list = []
+    if usual := [r["lang"] for r in top if r["short"]]:
+        chosen, _ = sample_ids(rows.where(short & F.col("lang").isin(usual)), "lang", per_language)
+        sample = trimmed(chosen.select("doc_id", "lang", "text").collect(), per_language)
+    if long := {r["lang"]: r["least"]["doc_id"] for r in top if not r["short"]}:
+        texts = rows.where(F.col("lang").isin(list(long)) & F.col("doc_id").isin(list(long.values())))
+        sample += trimmed([r for r in texts.select("doc_id", "lang", "text").collect() if r[0] == long[r[1]]], 1)
     return fit([r[2] for r in sample], [r[1] for r in sample])
 
 
 def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred and score for every document."""
+    """doc_id, held_out, lang_pred and score for every row. Null texts and texts without a letter are ``und`` with score 0; of equal scores the first language by name counts.
+
+    Repeated rows are predicted one by one. Without a usable training row everything is ``und``; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

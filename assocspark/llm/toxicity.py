@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import held_out, sample_ids, trimmed
-from .text import expand, id_text, in_steps, polynomial, span, string_hashes, words
+from .text import expand, id_text, in_steps, polynomial, span, stage, string_hashes, words
 
 #: Training documents taken per label at most, and the length up to which one may be taken; scoring has no such limit.
 PER_LABEL = 1500
 TRAIN_CHARS = 20_000
+#: Documents of a class that has only longer ones.
+SHORTEST = 20
 CHAIN = 64
 #: Hash slots of emission features.
 SLOTS = 1 << 18
@@ -208,12 +210,22 @@ def tag(model: Model, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return 1 / (1 + np.exp(-np.clip(summaries(p, offsets) @ model.outer, -30, 30))), p, offsets
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL) -> Model:
-    """Fit on at most ``per_label`` labelled documents of either class, none of them held out. Null labels and ids are left out; of several labels of a document the largest counts."""
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL, train_chars: int = TRAIN_CHARS) -> Model:
+    """Fit on at most ``per_label`` labelled documents of either class, none of them held out. Null labels and ids are left out; of several labels of a document the largest counts.
+
+    Samples are drawn from documents of 1 to ``train_chars`` characters; a class that has none is learnt from its shortest documents.
+    """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
-    known = known.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen, sizes = sample_ids(known, "toxic", per_label)
-    rows = id_text(docs, id_col, text_col).where(F.length("text").between(1, TRAIN_CHARS)).join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").collect()
+    known = stage(known.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
+    texts = id_text(docs, id_col, text_col).where(F.length("text") >= 1)
+    length = texts.select("doc_id", F.length("text").alias("chars")).join(known, "doc_id").groupBy("toxic", "doc_id").agg(F.min("chars").alias("chars"))
+    usable = stage(length)
+    chosen, drawn = sample_ids(usable.where(F.col("chars") <= train_chars).select("doc_id", "toxic"), "toxic", per_label)
+    for label in sizes.keys() - drawn.keys():
+        chosen = chosen.unionByName(usable.where(F.col("toxic") == label).orderBy("chars", "doc_id").limit(SHORTEST).select("doc_id", "toxic"))
+    limit = F.when(F.col("toxic").isin(list(drawn)), train_chars).otherwise(1 << 30) if drawn else F.lit(1 << 30)
+    rows = texts.join(F.broadcast(chosen), "doc_id").where(F.length("text") <= limit).select("doc_id", "toxic", "text").collect()  # at most 2.4 per_label short texts a class
     rows = trimmed(rows, per_label)
     return fit([r[2] for r in rows], [r[1] for r in rows], sizes)
 
@@ -239,14 +251,17 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 
 def classify(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
-    """Train, then doc_id, held_out, score and predicted (score of 0.5 or more) for every document."""
+    """Train, then doc_id, held_out, score and predicted (score of 0.5 or more) for every row. Null and empty texts get the score of a text without toxic tokens.
+
+    Repeated rows are scored one by one; an empty table gives no rows.
+    """
     model = train(docs, labels, **names)
     return score(docs, model, **{k: v for k, v in names.items() if k in ("id_col", "text_col")}).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose score is under ``least``."""
+    """Rows of ``docs``, with all their columns, whose score is under ``least``; null and empty texts count as texts without toxic tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"c{i}" for i in range(len(docs.columns))]
     body = names[docs.columns.index(text_col)]

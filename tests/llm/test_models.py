@@ -121,3 +121,22 @@ def test_languages_of_odd_rows(odd, nothing, speech):
     assert sum(r["lang_pred"] == "und" for r in got) == 4
     assert langid.identify(nothing).collect() == []
     assert langid.predict(langid.fit([], []), pa.array(["abc"]))[0] == ["und"]
+
+
+def test_a_language_of_long_texts_is_learnt(spark):
+    rows = [(i, " ".join(f"{'ka' if i % 2 else 'zo'}{j % 7}x" for j in range(20 + i)), "ka" if i % 2 else "zo") for i in range(30)] + [(100 + i, "mimu " * (400 + i), "mi") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.train(docs, train_chars=1000).languages) == {"ka", "zo", "mi"}
+    assert langid.train(docs, max_languages=2).languages == ["ka", "zo"]
+    held = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert held[104] == "mi" and held[1] == "ka" and held[2] == "zo"
+
+
+def test_a_class_of_long_texts_is_learnt(spark):
+    rows = [(i, prose(i, 15 + i % 5), 0) for i in range(200)] + [(1000 + i, prose(500 + i, 30) + " vile scum " * 6 + prose(900 + i, 30), 1) for i in range(60)]
+    assert min(len(t) for _, t, toxic in rows if toxic) > 300 > max(len(t) for _, t, toxic in rows if not toxic)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, train_chars=300)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert min(got[i] for i in got if i >= 1000) > 0.5 > max(got[i] for i in got if i < 1000)

@@ -169,3 +169,32 @@ def test_nearest_of_empty_tables_and_clashing_names(vector_rows, spark):
     more = df.withColumns({"score": F.lit("x"), "dim": F.lit(1), "i": F.lit(2), "asks": F.lit(None)})
     assert vectors.nearest(more, "vec_id % 20 = 0", 3).count() == vectors.nearest(df, "vec_id % 20 = 0", 3).count()
     assert vectors.nearest(spark.createDataFrame([(None, [1.0]), (20, [1.0])], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").collect() == []
+
+
+def test_templated_items_equal_brute_force(monkeypatch):
+    """Items that share a long opening; documents that quote the opening, an item with edits, or a cut item. Sieves may only save work."""
+    rng = random.Random(6)
+    prose_of = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    opening = prose_of(12)
+    items = [f"{opening} {prose_of(rng.randint(4, 30))}" for _ in range(60)]
+    docs = []
+    for k in range(24):
+        inner = list(items[k])
+        for _ in range(rng.randint(0, len(inner) // 12)):
+            inner[rng.randrange(len(inner))] = rng.choice("xyz")
+        docs.append(f"{prose_of(60)} {opening} {prose_of(30)} {''.join(inner) if k % 3 else items[k][:len(items[k]) // 2]} {prose_of(900 if k == 5 else 30)}")
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(24)), "text": pa.array(docs)})
+
+    def found(index):
+        out = decontam.scan(index, batch)
+        return sorted(map(str, out.to_pylist())) if out is not None else []
+
+    index = decontam.build_index(list(range(60)), items)
+    assert index.first[-1] < sum(len(decontam.grams(c)) for c in index.texts)  # the opening is left out where the lemma allows it
+    got = found(index)
+    assert len(got) >= 12
+    monkeypatch.setattr(decontam, "STEP", 500)
+    assert found(index) == got
+    monkeypatch.setattr(decontam, "COMMON", 10 ** 9)
+    monkeypatch.setattr(decontam, "_may_hold", lambda index, points, begin, end, item: np.ones(len(item), bool))
+    assert found(decontam.build_index(list(range(60)), items)) == got
