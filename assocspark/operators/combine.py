@@ -1,7 +1,6 @@
 """N-weighted combination of all traits per SNP, and QC of the combined associations."""
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -11,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_finite, two_sided_p
+from ..session import durable
 from .alleles import orientation
 
-MAX_TRAITS = 4096  # bounds the trait-by-trait matrix shipped to the tasks (128 MB of doubles)
-INVERSE_CACHE = 512
+PATTERN_BYTES = 64 << 20  # factors of all availability patterns up to which every task gets them; beyond it they meet their rows by pattern
+PATTERN_ROWS = 50_000  # rows of a pattern that one task combines in the other case
 COMBINED_SCHEMA = ("SNPID string, CHR bigint, BP bigint, EA string, OA string, EAF double, N_eff double, "
                    "N_obs double, BETA double, SE double, Z double, Direction string")
 # Combined columns that must be numbers, and those that must also be positive.
@@ -42,64 +42,110 @@ def snp_contributions(assoc: DataFrame) -> DataFrame:
         F.transform("r", lambda x: F.when(swapped(x), 1 - x.EAF).otherwise(x.EAF)).alias("eaf"))
 
 
-def _batch_combiner(cti: np.ndarray, loadings: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    traits = len(loadings)
+def availability_patterns(contributions: DataFrame, cti: np.ndarray) -> DataFrame:
+    """The distinct sets of available traits, each with its rows and its part of the CTI factored once.
 
+    ``traits`` is the set in manifest order, ``rows`` how many SNPs have it, ``factor`` the Cholesky factor of the CTI among them (row by row), or, where
+    that is not positive definite (``definite`` false), the matrix itself.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inverses: OrderedDict[bytes, np.ndarray | None] = OrderedDict()
-
-        def inverse(mask: np.ndarray):
-            # Inverse of the CTI among the available traits, once per availability pattern.
-            key = mask.tobytes()
-            if key not in inverses:
-                index = np.flatnonzero(mask)
+        for batch in batches:
+            factors, definite = [], []
+            for traits in batch.column("traits").to_pylist():
+                part = cti[np.ix_(traits, traits)]
                 try:
-                    inverses[key] = np.linalg.inv(cti[np.ix_(index, index)])
+                    part, ok = np.linalg.cholesky(part), True
                 except np.linalg.LinAlgError:
-                    inverses[key] = None
-                if len(inverses) > INVERSE_CACHE:
-                    inverses.popitem(last=False)
-            else:
-                inverses.move_to_end(key)
-            return inverses[key]
+                    ok = False
+                factors.append(np.ascontiguousarray(part).tobytes())
+                definite.append(ok)
+            yield pa.RecordBatch.from_arrays([batch.column("traits"), batch.column("rows"), pa.array(factors, pa.binary()), pa.array(definite, pa.bool_())], ["traits", "rows", "factor", "definite"])
+    return contributions.groupBy("traits").agg(F.count("*").alias("rows")).mapInArrow(run, "traits array<int>, rows long, factor binary, definite boolean")
 
-        for batch in batches:
-            rows = batch.num_rows
-            if not rows:
-                continue
-            lists = batch.column("traits")
-            row = np.repeat(np.arange(rows), np.asarray(lists.value_lengths()))
-            trait = np.asarray(lists.flatten())
-            n, z, eaf = (np.asarray(batch.column(c).flatten()) for c in ("n", "z", "eaf"))
-            present = np.zeros((rows, traits), bool)
-            root_n = np.zeros((rows, traits))
-            present[row, trait] = True
-            root_n[row, trait] = np.sqrt(n)
-            weight = root_n * loadings
-            quadratic = ((weight @ cti) * weight).sum(1)
-            numerator = np.bincount(row, weight[row, trait] * z, rows)
-            total_n = np.bincount(row, n, rows)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                mean_eaf = np.bincount(row, n * eaf, rows) / total_n
-                combined = np.where(quadratic > 0, numerator / np.sqrt(quadratic), np.nan)
-                se = 1 / np.sqrt(total_n * 2 * mean_eaf * (1 - mean_eaf))
-            effective = np.full(rows, np.nan)
-            patterns, member = np.unique(present, axis=0, return_inverse=True)
-            for k, mask in enumerate(patterns):
-                matrix = inverse(mask)
-                if matrix is not None and mask.any():
-                    chosen = np.flatnonzero(member.ravel() == k)
-                    part = root_n[np.ix_(chosen, np.flatnonzero(mask))]
-                    effective[chosen] = ((part @ matrix) * part).sum(1)
-            signs = np.full((rows, traits), "?", "U1")
-            signs[row, trait] = np.where(z < 0, "-", "+")
-            direction = np.ascontiguousarray(signs).view(f"U{traits}").ravel()
-            numbers = dict(EAF=mean_eaf, N_eff=effective, N_obs=total_n, BETA=combined * se, SE=se, Z=combined)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("SNPID", "CHR", "BP", "EA", "OA")]
-                + [pa.array(v, mask=~np.isfinite(v)) for v in numbers.values()] + [pa.array(direction)],
-                names=["SNPID", "CHR", "BP", "EA", "OA", *numbers, "Direction"])
-    return run
+
+def _combine(rows: pa.Table | pa.RecordBatch, factor_of: Callable[[tuple], tuple[np.ndarray, bool]], loadings: np.ndarray) -> pa.RecordBatch:
+    """Combined associations of a batch, pattern by pattern."""
+    traits = len(loadings)
+    lists = rows.column("traits")
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    size = np.asarray(lists.value_lengths())
+    row, trait = np.repeat(np.arange(len(size)), size), np.asarray(lists.flatten())
+
+    def flat(name):
+        column = rows.column(name)
+        return np.asarray((column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten())
+    n, z, eaf = flat("n"), flat("z"), flat("eaf")
+    count = rows.num_rows
+    present = np.zeros((count, traits), bool)
+    present[row, trait] = True
+    root_n = np.zeros((count, traits))
+    root_n[row, trait] = np.sqrt(n)
+    weight = root_n * loadings
+    quadratic, effective = np.zeros(count), np.full(count, np.nan)
+    patterns, member = np.unique(present, axis=0, return_inverse=True)
+    for k, mask in enumerate(patterns):
+        index = np.flatnonzero(mask)
+        if not len(index):
+            continue
+        chosen = np.flatnonzero(member.ravel() == k)
+        factor, definite = factor_of(tuple(index.tolist()))
+        w, s = weight[np.ix_(chosen, index)], root_n[np.ix_(chosen, index)]
+        if definite:
+            quadratic[chosen] = ((w @ factor) ** 2).sum(1)
+            effective[chosen] = (np.linalg.solve(factor, s.T) ** 2).sum(0)
+        else:
+            quadratic[chosen] = ((w @ factor) * w).sum(1)
+            try:
+                effective[chosen] = (s.T * np.linalg.solve(factor, s.T)).sum(0)
+            except np.linalg.LinAlgError:
+                pass
+    numerator = np.bincount(row, weight[row, trait] * z, count)
+    total_n = np.bincount(row, n, count)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean_eaf = np.bincount(row, n * eaf, count) / total_n
+        combined = np.where(quadratic > 0, numerator / np.sqrt(quadratic), np.nan)
+        se = 1 / np.sqrt(total_n * 2 * mean_eaf * (1 - mean_eaf))
+    signs = np.full((count, traits), "?", "U1")
+    signs[row, trait] = np.where(z < 0, "-", "+")
+    direction = np.ascontiguousarray(signs).view(f"U{traits}").ravel()
+    numbers = dict(EAF=mean_eaf, N_eff=effective, N_obs=total_n, BETA=combined * se, SE=se, Z=combined)
+    fixed = [c.combine_chunks() if isinstance(c := rows.column(name), pa.ChunkedArray) else c for name in ("SNPID", "CHR", "BP", "EA", "OA")]
+    return pa.RecordBatch.from_arrays(fixed + [pa.array(v, mask=~np.isfinite(v)) for v in numbers.values()] + [pa.array(direction)],
+                                      names=["SNPID", "CHR", "BP", "EA", "OA", *numbers, "Direction"])
+
+
+def _unpack(traits: Sequence[int], factor: bytes, definite: bool) -> tuple[np.ndarray, bool]:
+    return np.frombuffer(factor).reshape(len(traits), -1), definite
+
+
+def _combined(contributions: DataFrame, cti: np.ndarray, loadings: np.ndarray) -> DataFrame:
+    contributions = durable(contributions)
+    patterns = durable(availability_patterns(contributions, cti))
+    size = patterns.agg(F.coalesce(F.sum(F.length("factor")), F.lit(0))).first()[0]
+    if size <= PATTERN_BYTES:
+        known = {tuple(r["traits"]): (r["factor"], r["definite"]) for r in patterns.select("traits", "factor", "definite").collect()}  # at most PATTERN_BYTES
+        shared = contributions.sparkSession.sparkContext.broadcast(known)
+
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    yield _combine(batch, lambda t: _unpack(t, *shared.value[t]), loadings)
+        return contributions.mapInArrow(run, COMBINED_SCHEMA)
+    numbered = durable(patterns.select("traits", F.monotonically_increasing_id().alias("pattern"), F.ceil(F.col("rows") / PATTERN_ROWS).alias("parts"), "factor", "definite"))
+    rows = contributions.join(numbered.select("traits", "pattern", "parts"), "traits").withColumn("part", F.pmod(F.xxhash64("SNPID"), F.col("parts"))).drop("parts")
+    copies = numbered.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    copies = copies.select(F.col("pattern").alias("of_pattern"), F.col("part").alias("of_part"), "factor", "definite")
+
+    def meet(key, some, factors):
+        if not some.num_rows:
+            return pa.Table.from_batches([], pa.schema(_ARROW))
+        known = factors.slice(0, 1).to_pylist()[0]
+        return pa.Table.from_batches([_combine(some, lambda t: _unpack(t, known["factor"], known["definite"]), loadings)])
+    return rows.groupBy("pattern", "part").cogroup(copies.groupBy("of_pattern", "of_part")).applyInArrow(meet, COMBINED_SCHEMA)
+
+
+_ARROW = [(name, {"string": pa.string(), "bigint": pa.int64(), "double": pa.float64()}[kind]) for name, kind in (c.split() for c in COMBINED_SCHEMA.split(", "))]
 
 
 def combine_traits(assoc: DataFrame, cti: np.ndarray, loadings: Sequence[float], *,
@@ -108,17 +154,17 @@ def combine_traits(assoc: DataFrame, cti: np.ndarray, loadings: Sequence[float],
 
     ``Z = sum(w z) / sqrt(w' C w)``, ``N_eff = sqrt(N)' C^-1 sqrt(N)`` over the available traits,
     ``SE = 1 / sqrt(sum(N) 2 EAF (1 - EAF))``, ``BETA = Z SE``; EAF is the N-weighted mean and ``N_obs`` the
-    sum of N. With all available weights zero Z is NULL, and :func:`combined_qc` reports it.
+    sum of N. With all available weights zero Z is NULL, and :func:`combined_qc` reports it. The CTI is factored once for each set of available traits.
 
     ``combine`` replaces the kernel: a pandas function of a batch of :func:`snp_contributions` rows, the
     CTI and the loadings, returning the columns of ``COMBINED_SCHEMA``. PVAL is always derived from Z here.
     """
     cti, loadings = np.asarray(cti, float), np.asarray(loadings, float)
-    if loadings.ndim != 1 or cti.shape != (len(loadings), len(loadings)) or not 0 < len(loadings) <= MAX_TRAITS:
-        raise ValueError(f"need one loading per trait, a square CTI, and at most {MAX_TRAITS} traits")
+    if loadings.ndim != 1 or not len(loadings) or cti.shape != (len(loadings), len(loadings)):
+        raise ValueError("need one loading per trait and a square CTI")
     rows = snp_contributions(assoc)
     if combine is None:
-        combined = rows.mapInArrow(_batch_combiner(cti, loadings), COMBINED_SCHEMA)
+        combined = _combined(rows, cti, loadings)
     else:
         def run(batches):
             for batch in batches:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 WORDS = 4  # of 64 bits: a whole SHA-256
 
 
@@ -45,3 +47,54 @@ def settings_differences(saved: DataFrame, current: DataFrame) -> DataFrame:
     both = current.select("trait", "name", F.col("value").alias("current")).join(
         saved.select("trait", "name", F.col("value").alias("saved")), ["trait", "name"], "full")
     return both.filter(~F.col("current").eqNullSafe(F.col("saved")))
+
+
+FANOUT_BITS = 4  # children of a node of the digest tree, as a power of two
+
+
+def digest_tree(df: DataFrame, columns: Sequence[str], *, group: str, key: Column, levels: int = 6) -> DataFrame:
+    """Digests of ranges of a table, and of ranges of ranges up to a root per ``group``: ``group, level, node, rows, digest``.
+
+    ``key`` is a non-negative number that rows are ordered by; a leaf (level 0) is one value of it, and a node of level k covers ``2 ** (FANOUT_BITS * k)``
+    of them. A leaf's digest adds up the SHA-256 words of its rows (the key is part of them, so order counts, and equal rows count as often as
+    they occur); a node's is the SHA-256 of its children's, in order. No leaf is gathered, and a node has sixteen children at most.
+    """
+    keyed = df.select(F.col(group).alias("group"), key.cast("long").alias("node"), *[F.col(c).alias(f"_{n}") for n, c in enumerate(columns)])
+    words = row_digest(["node", *[f"_{n}" for n in range(len(columns))]])
+    leaf = keyed.groupBy("group", "node").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws("-", *[F.sum(word).cast("string") for word in words], F.count("*").cast("string")), 256).alias("digest"))
+    tree = [durable(leaf.withColumn("level", F.lit(0)))]
+    for level in range(1, levels + 1):
+        below = tree[-1].withColumn("up", F.shiftright("node", FANOUT_BITS))
+        children = F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda x: F.concat_ws(":", x.node.cast("string"), x.digest))
+        tree.append(durable(below.groupBy("group", "up").agg(F.sum("rows").alias("rows"), F.sha2(F.array_join(children, ";"), 256).alias("digest")).withColumnRenamed("up", "node").withColumn("level", F.lit(level))))
+    out = tree[0]
+    for part in tree[1:]:
+        out = out.unionByName(part)
+    return out.select("group", "level", "node", "rows", "digest")
+
+
+def changed_ranges(old: DataFrame, new: DataFrame, levels: int = 6) -> DataFrame:
+    """Leaves that differ between two digest trees: ``group, node, change`` (added, removed or changed).
+
+    Trees are compared from the top: a level's nodes are looked at only below nodes that differ, so equal parts of a table cost one row.
+    """
+    differ = None
+    for level in range(levels, -1, -1):
+        sides = [t.filter(F.col("level") == level).select("group", "node", F.col("digest").alias(name)) for t, name in ((old, "before"), (new, "after"))]
+        if differ is not None:
+            above = differ.select("group", F.col("node").alias("_up"))
+            sides = [s.withColumn("_up", F.shiftright("node", FANOUT_BITS)).join(above, ["group", "_up"], "left_semi").drop("_up") for s in sides]
+        differ = durable(sides[0].join(sides[1], ["group", "node"], "full").filter(~F.col("before").eqNullSafe(F.col("after"))))
+        if differ.isEmpty():
+            break
+    change = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    return differ.select("group", "node", change.alias("change"))
+
+
+def pairs_of_changes(changes: DataFrame, plan: DataFrame) -> DataFrame:
+    """Pairs of ``plan`` (``p1, p2``) that have a trait (``group``) with a changed range, and how many ranges that is."""
+    touched = changes.groupBy("group").agg(F.count("*").alias("ranges"))
+    sides = [touched.select(F.col("group").alias(p), F.col("ranges").alias(f"_{p}")) for p in ("p1", "p2")]
+    rows = plan.select("p1", "p2").join(sides[0], "p1", "left").join(sides[1], "p2", "left")
+    total = F.coalesce("_p1", F.lit(0)) + F.when(F.col("p1") != F.col("p2"), F.coalesce("_p2", F.lit(0))).otherwise(0)
+    return rows.select("p1", "p2", total.alias("ranges")).filter("ranges > 0")

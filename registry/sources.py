@@ -87,10 +87,45 @@ def bundle_sizes(spark, sf):
     return tables.bundle_sizes(rows).select("panel_id", "matrix", "entries", "dimension", "asymmetric", "valid")
 
 
+LEAF = "CHR * 4096 + POS div 64"
+
+
+def _versions(spark, sf):
+    """The variant records, and a version of them with one trait's records of a range edited, some of another trait's dropped, and a new range added."""
+    old = v.raw(spark, sf).select("trait", "SNP", "CHR", "POS", "A1", "A2", "beta", "N")
+    new = old.filter("NOT (trait = 'T2' AND CHR = 5 AND POS < 1000)").withColumn("beta", F.when(F.expr("trait = 'T4' AND CHR = 7 AND POS % 200 < 3"), F.col("beta") + 1).otherwise(F.col("beta")))
+    return old, new.unionByName(old.filter("trait = 'T6' AND CHR = 3").withColumn("POS", F.col("POS") + 100_000))
+
+
+def _changes(spark, sf):
+    trees = [provenance.digest_tree(t, ["SNP", "POS", "A1", "A2", "beta", "N"], group="trait", key=F.expr(LEAF)) for t in _versions(spark, sf)]
+    return provenance.changed_ranges(*trees)
+
+
+def changed_ranges(spark, sf):
+    return _changes(spark, sf).withColumnRenamed("group", "trait")
+
+
+def pairs_of_changes(spark, sf):
+    return provenance.pairs_of_changes(_changes(spark, sf), pair_ops.plan_pairs(pq.manifest(spark, sf).withColumn("ref", F.lit("yes"))))
+
+
 _SHA = "sha256(concat_ws('|', " + ", ".join(f"'=' || CAST({c} AS STRING)" for c in ("SNP", "CHR", "POS", "A1", "A2")) + "))"
 _WORDS = "concat_ws('-', " + ", ".join(f"CAST(sum(CAST(CAST('0x' || substr({_SHA}, {16 * k + 1}, 16) AS UBIGINT) AS HUGEINT)) AS STRING)" for k in range(4)) + ")"
 
+_CHANGES = f"""va AS (SELECT trait, {LEAF.replace('div', '//')} AS node, SNP, POS, A1, A2, beta, N, CHR FROM raw0),
+vb0 AS (SELECT trait, CHR, SNP, POS, A1, A2, CASE WHEN trait = 'T4' AND CHR = 7 AND POS % 200 < 3 THEN beta + 1 ELSE beta END AS beta, N FROM raw0 WHERE NOT (trait = 'T2' AND CHR = 5 AND POS < 1000)
+  UNION ALL SELECT trait, CHR, SNP, POS + 100000, A1, A2, beta, N FROM raw0 WHERE trait = 'T6' AND CHR = 3),
+vb AS (SELECT trait, {LEAF.replace('div', '//')} AS node, SNP, POS, A1, A2, beta, N FROM vb0),
+sa AS (SELECT trait, node, list_sort(list({{'s': SNP, 'p': POS, 'a': A1, 'b': A2, 'e': beta, 'n': N}})) AS rows FROM va GROUP BY 1, 2), sb AS (SELECT trait, node, list_sort(list({{'s': SNP, 'p': POS, 'a': A1, 'b': A2, 'e': beta, 'n': N}})) AS rows FROM vb GROUP BY 1, 2),
+changes AS (SELECT coalesce(sa.trait, sb.trait) AS trait, CAST(coalesce(sa.node, sb.node) AS BIGINT) AS node, CASE WHEN sa.trait IS NULL THEN 'added' WHEN sb.trait IS NULL THEN 'removed' ELSE 'changed' END AS change
+  FROM sa FULL JOIN sb ON sa.trait = sb.trait AND sa.node = sb.node WHERE sa.rows IS DISTINCT FROM sb.rows)"""
+
 QUERIES = {
+    "changed_ranges": (changed_ranges, _v("SELECT trait, node, change FROM changes").replace(" SELECT trait, node, change FROM changes", f", {_CHANGES} SELECT trait, node, change FROM changes")),
+    "pairs_of_changes": (pairs_of_changes, _v("SELECT p1, p2 FROM x9").replace(" SELECT p1, p2 FROM x9", f""", {_CHANGES}, {pq.MANIFEST}, t AS (SELECT trait, count(*) AS k FROM changes GROUP BY trait)
+  SELECT a.trait AS p1, b.trait AS p2, coalesce(x.k, 0) + CASE WHEN a.trait <> b.trait THEN coalesce(y.k, 0) ELSE 0 END AS ranges FROM manifest a CROSS JOIN manifest b LEFT JOIN t x ON x.trait = a.trait LEFT JOIN t y ON y.trait = b.trait
+  WHERE x.k IS NOT NULL OR y.k IS NOT NULL""")),
     "vcf_scan": (vcf_scan, f"""SELECT {', '.join(ROW)}, CASE WHEN l_quantity <> 7 THEN 'rs' || l_partkey END AS SNP, CASE WHEN l_linenumber = 1 THEN 'chr' ELSE '' END || (l_partkey % 22 + 1) AS CHR,
   CAST(l_partkey + 1 AS STRING) AS POS, 'G' AS A1, 'A' AS A2, CASE WHEN l_linenumber <> 3 THEN CAST(l_partkey AS STRING) END AS LP, CASE WHEN l_linenumber NOT IN (3, 4) THEN CAST(l_suppkey AS STRING) END AS beta,
   CASE WHEN l_linenumber <> 4 THEN CAST(l_orderkey AS STRING) END AS N, CAST(NULL AS STRING) AS INFO, CASE WHEN l_linenumber <> 2 THEN CAST(l_suppkey AS STRING) END AS INFO_AF,

@@ -133,3 +133,29 @@ def test_global_rank_and_medians(spark):
     medians = {r.g: r["median"] for r in ordering.exact_medians(df, ["g"], "v").collect()}
     frame = pd.DataFrame(values, columns=["g", "v", "id"])
     assert medians == frame.groupby("g").v.median().to_dict()
+
+
+def test_pattern_factors_meet_their_rows_either_way(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    traits, snps = 5, 120
+    root = rng.standard_normal((traits, traits))
+    cti, loadings = root @ root.T / traits + np.eye(traits), rng.uniform(.2, 1, traits)
+    rows = [(t, f"rs{s}", "A", "G", 1, s, .3, 1000.0 * (t + 1), float(rng.standard_normal())) for s in range(snps) for t in range(traits) if rng.random() < .6]
+    assoc = spark.createDataFrame(rows, "trait_order int, SNPID string, EA string, OA string, CHR bigint, BP bigint, EAF double, N double, Z double")
+    patterns = combine.availability_patterns(combine.snp_contributions(assoc), cti).collect()
+    assert len({tuple(p.traits) for p in patterns}) == len(patterns) and sum(p.rows for p in patterns) == len({r[1] for r in rows})
+    for p in patterns:
+        factor = np.frombuffer(p.factor).reshape(len(p.traits), -1)
+        assert p.definite and np.allclose(factor @ factor.T, cti[np.ix_(p.traits, p.traits)])
+    want = {r.SNPID: r for r in combine.combine_traits(assoc, cti, loadings).collect()}
+    monkeypatch.setattr(combine, "PATTERN_BYTES", 0)
+    monkeypatch.setattr(combine, "PATTERN_ROWS", 3)
+    got = combine.combine_traits(assoc, cti, loadings).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert r.Direction == want[r.SNPID].Direction and np.allclose([r.Z, r.N_eff, r.BETA], [want[r.SNPID].Z, want[r.SNPID].N_eff, want[r.SNPID].BETA])
+    some = got[0]
+    mine = [(t, n, z) for t, s, _, _, _, _, _, n, z in rows if s == some.SNPID]
+    index, s = [m[0] for m in mine], np.sqrt([m[1] for m in mine])
+    part, w = cti[np.ix_(index, index)], s * loadings[index]
+    assert some.N_eff == pytest.approx(s @ np.linalg.solve(part, s)) and some.Z == pytest.approx(w @ [m[2] for m in mine] / np.sqrt(w @ part @ w))
