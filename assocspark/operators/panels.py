@@ -359,7 +359,9 @@ def bundle_pair_reasons(bundle: DataFrame, se: DataFrame) -> DataFrame:
 
 
 def bundle_consistency(bundle: DataFrame) -> DataFrame:
-    """Per panel: largest gap between ``S_Stand`` and ``S / sqrt(diag diag)``, and whether it is within tolerance."""
+    """Per panel: largest gap between ``S_Stand`` and ``S / sqrt(diag diag)``, entries that cannot be compared, and whether there are none and the gap is within tolerance."""
+    from ..functions import is_finite
+
     def pick(name):
         return bundle.filter(F.col("matrix") == name)
     own = pick("S").filter(F.col("i") == F.col("j"))
@@ -368,10 +370,10 @@ def bundle_consistency(bundle: DataFrame) -> DataFrame:
          .join(own.select("panel_id", "j", F.col("value").alias("d_j")), ["panel_id", "j"])
          .join(pick("S_Stand").select("panel_id", "i", "j", F.col("value").alias("r")), ["panel_id", "i", "j"]))
     expected = F.try_divide(F.col("s"), F.sqrt(F.col("d_i") * F.col("d_j")))
-    return s.withColumn("expected", expected).groupBy("panel_id").agg(
-        F.max(F.abs(F.col("expected") - F.col("r"))).alias("maximum_error"),
-        F.greatest(F.lit(1.0), F.max(F.abs("expected"))).alias("scale")).withColumn(
-        "consistent", F.col("maximum_error") <= SYMMETRY_TOLERANCE * F.col("scale"))
+    error = F.abs(F.col("expected") - F.col("r"))
+    return s.withColumn("expected", expected).withColumns({"error": F.when(is_finite(error), error), "size": F.when(is_finite("expected"), F.abs("expected"))}).groupBy("panel_id").agg(
+        F.max("error").alias("maximum_error"), F.greatest(F.lit(1.0), F.max("size")).alias("scale"), F.count_if(F.col("error").isNull()).alias("unusable")).withColumn(
+        "consistent", (F.col("unusable") == 0) & F.coalesce(F.col("maximum_error") <= SYMMETRY_TOLERANCE * F.col("scale"), F.lit(False)))
 
 
 def bundle_drop_traits(trait_reasons: DataFrame, pair_reasons: DataFrame) -> DataFrame:

@@ -96,12 +96,13 @@ def position_keys(spark, sf):
 
 
 def position_order(spark, sf):
-    rows = ordering.position_keys(stored_results(spark, sf)).filter("_chr IS NOT NULL AND _bp IS NOT NULL")
+    """Rank of every record; an unreadable position stands below all others of its chromosome."""
+    rows = ordering.position_keys(stored_results(spark, sf)).withColumns({c: F.coalesce(c, F.lit(0).cast("decimal(38,0)")) for c in ("_chr", "_bp")})
     return ordering.global_rank(rows, ["_chr", "_bp", "SNPID"]).select("SNPID", "rank")
 
 
 def position_sorted(spark, sf):
-    rows = stored_results(spark, sf).filter(F.col("BP").rlike("^[0-9]+$")).withColumn("k", F.substring("SNPID", 3, 20).cast("bigint"))
+    rows = stored_results(spark, sf).withColumn("k", F.substring("SNPID", 3, 20).cast("bigint"))
     return ordering.is_position_sorted(rows, ["k"])
 
 
@@ -176,8 +177,8 @@ QUERIES = {
                             f"count(*) AS Total_Rows, count(*) FILTER (WHERE NOT {_SPARSE_OK}) AS Invalid_Rows, 4 * count(*) FILTER (WHERE NOT {_SPARSE_OK}) AS Issue_Count FROM o"),
     "direction_counts": (direction_counts, f"{_combined_ctes()} SELECT SNPID, {_COUNTS} FROM o"),
     "position_keys": (position_keys, f"WITH {_KEYED} SELECT SNPID, chr_key, bp_key FROM keyed"),
-    "position_order": (position_order, f"WITH {_KEYED} SELECT SNPID, row_number() OVER (ORDER BY chr_key, bp_key, SNPID) - 1 AS rank FROM keyed WHERE chr_key IS NOT NULL AND bp_key IS NOT NULL"),
-    "position_sorted": (position_sorted, f"WITH {_KEYED}, n AS (SELECT chr_key, bp_key, lead(chr_key) OVER w AS c2, lead(bp_key) OVER w AS b2 FROM keyed WHERE regexp_matches(BP, '^[0-9]+$') "
+    "position_order": (position_order, f"WITH {_KEYED} SELECT SNPID, row_number() OVER (ORDER BY coalesce(chr_key, 0), coalesce(bp_key, 0), SNPID) - 1 AS rank FROM keyed"),
+    "position_sorted": (position_sorted, f"WITH {_KEYED}, z AS (SELECT SNPID, coalesce(chr_key, 0) AS chr_key, coalesce(bp_key, 0) AS bp_key FROM keyed), n AS (SELECT chr_key, bp_key, lead(chr_key) OVER w AS c2, lead(bp_key) OVER w AS b2 FROM z "
                         "WINDOW w AS (ORDER BY CAST(substr(SNPID, 3) AS BIGINT))) SELECT count(*) = 0 AS is_sorted, count(*) AS order_breaks FROM n WHERE (chr_key, bp_key) > (c2, b2)"),
     "export_qc_issues": (export_qc_issues, f"WITH {_EXPORTED} SELECT source, SNPID, Reason FROM e WHERE Reason <> ''"),
     "export_qc_summary": (export_qc_summary, f"WITH {_EXPORTED} SELECT source, count(*) AS Total_Rows, count(*) FILTER (WHERE Reason <> '') AS Invalid_Rows, "

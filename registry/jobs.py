@@ -1,15 +1,20 @@
 """The public jobs run on the given tables, checks and policies included."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from assocspark.operators import filters
 from assocspark.plans import jobs
+from assocspark.plans.ledger import StageLedger
+from assocspark.session import shared_folder
 
 from . import combine as cq
 from . import pairs as pq
 from . import sources as sq
 from . import views as v
+from .variants import _v
 from .views import q6, r6
 
 
@@ -81,6 +86,18 @@ def job_export(spark, sf):
     return table.select("SNPID", "count_question", "count_plus", "count_minus")
 
 
+def stage_reruns(spark, sf):
+    """Two stages over the variant records, run four times: anew, again, with another parameter of the second, and with other records."""
+    ledger = StageLedger(spark, f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}")
+    raw = v.raw(spark, sf).select("trait", "SNP", "beta", "se", "N", *v.ORDER)
+    out = []
+    for run, (rows, least) in enumerate([(raw, 10_000), (raw.repartition(3), 10_000), (raw, 20_000), (raw.filter("trait <> 'T1'"), 20_000)]):
+        usable = ledger.stage("usable", {"raw": rows}, {}, lambda rows=rows: rows.filter("se > 0"))
+        counts = ledger.stage("counts", {"usable": usable}, {"least": least}, lambda usable=usable, least=least: usable.table.filter(F.col("N") >= least).groupBy("trait").agg(F.count("*").alias("n"), F.sum("N").alias("total")))
+        out += [(run, "usable", usable.reused, usable.rows), (run, "counts", counts.reused, counts.table.agg(F.sum("n")).first()[0])]
+    return spark.createDataFrame(out, "run int, stage string, reused boolean, rows long")
+
+
 _OWN_N = "CASE WHEN l_suppkey % 8 = 3 THEN 40000 ELSE 1000 * l_quantity END AS N"
 _REGRESSION = v.variant_ctes(require_info=True).replace("1000 * l_quantity AS N", _OWN_N)
 
@@ -94,6 +111,10 @@ QUERIES = {
   FROM x WHERE INFO_AF IS NOT NULL AND INFO_EUR = '0.25' AND CAST(SI AS DOUBLE) >= CAST('0.7' AS DOUBLE) AND CAST(AF AS DOUBLE) BETWEEN CAST('0.01' AS DOUBLE) AND 1 - CAST('0.01' AS DOUBLE)"""),
     "job_compile_pairs": (job_compile_pairs, f"WITH {pq.CLEAN} SELECT min(row_id) AS row_id, p1, p2, {q6('max(rg)')} AS rg, {q6('max(se)')} AS se, {q6('max(h2_obs)')} AS h2_obs FROM clean GROUP BY p1, p2"),
     "job_panel_matrices": (job_panel_matrices, pq.QUERIES["matrix_cells"][1]),
+    "stage_reruns": (stage_reruns, _v("SELECT run, stage FROM x9").replace(" SELECT run, stage FROM x9", """, u AS (SELECT * FROM raw0 WHERE se > 0), k AS (SELECT count(*) AS every, count(*) FILTER (WHERE trait <> 'T1') AS fewer,
+  count(*) FILTER (WHERE N >= 10000) AS low, count(*) FILTER (WHERE N >= 20000) AS high, count(*) FILTER (WHERE N >= 20000 AND trait <> 'T1') AS high_fewer FROM u)
+  SELECT CAST(unnest([0, 0, 1, 1, 2, 2, 3, 3]) AS INT) AS run, unnest(['usable', 'counts', 'usable', 'counts', 'usable', 'counts', 'usable', 'counts']) AS stage, unnest([false, false, true, true, true, false, false, false]) AS reused,
+  unnest([every, low, every, low, every, high, fewer, high_fewer]) AS rows FROM k""")),
     "job_combine": (job_combine, cq.QUERIES["combined"][1]),
     "job_export": (job_export, cq.QUERIES["direction_counts"][1]),
 }

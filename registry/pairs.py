@@ -197,7 +197,7 @@ def rg_report(spark, sf):
     return pairs.rg_report(pairs.collapse_pairs(indexed(spark, sf)), manifest(spark, sf)).withColumns(
         r6("rg", "SE", "Z", "Z_From_RG_SE", "Z_Relative_Difference", "P", "gcov_int", "gcov_int_se")).select(
         "pair_i", "pair_j", "Trait_1", "Trait_2", F.when(~F.isnan("rg"), F.col("rg")).alias("rg"), "SE", "Z", "Z_From_RG_SE", "Z_Relative_Difference",
-        "Z_Inconsistent_With_RG_SE", "P", "gcov_int", "gcov_int_se", "Source_Rows_Collapsed", "RG_Outside_Unit_Interval").filter("rg IS NOT NULL")
+        "Z_Inconsistent_With_RG_SE", "P", "gcov_int", "gcov_int_se", "Source_Rows_Collapsed", "RG_Outside_Unit_Interval")
 
 
 def validation_summary(spark, sf):
@@ -374,9 +374,9 @@ _CELLS = """cells AS (SELECT matrix, i, j, value FROM (
   SELECT unnest(['S_Stand', 'I', 'rg_se', 'intercept_se']), trait_order, trait_order, unnest([CAST(1 AS DOUBLE), h2_int, se, h2_int_se]) FROM own))"""
 _CLEAN_ALL = f"WITH {CLEAN}, {MANIFEST}, {_IDX.format(t='clean')}, {_COLL}, {_SELF}, {_CELLS}"
 _ZREL = "abs(z - rg / se) / greatest(1, abs(z), abs(rg / se))"
-_RG_OUT = f"""SELECT pair_i, pair_j, concat('T', pair_i) AS Trait_1, concat('T', pair_j) AS Trait_2, {q6('rg')} AS rg, {q6('se')} AS SE, {q6('z')} AS Z, {q6('rg / se')} AS Z_From_RG_SE,
-  {q6(_ZREL)} AS Z_Relative_Difference, {_ZREL} > CAST('0.01' AS DOUBLE) + 1e-12 AS Z_Inconsistent_With_RG_SE, {q6('p')} AS P, {q6('gcov_int')} AS gcov_int, {q6('gcov_int_se')} AS gcov_int_se,
-  source_row_count AS Source_Rows_Collapsed, abs(rg) > 1 AS RG_Outside_Unit_Interval FROM coll WHERE pair_i < pair_j AND isfinite(rg)"""
+_RG_OUT = f"""SELECT pair_i, pair_j, concat('T', pair_i) AS Trait_1, concat('T', pair_j) AS Trait_2, CASE WHEN isfinite(rg) THEN {q6('rg')} END AS rg, {q6('se')} AS SE, {q6('z')} AS Z, {q6('rg / se')} AS Z_From_RG_SE,
+  {q6(_ZREL)} AS Z_Relative_Difference, coalesce({_ZREL} > CAST('0.01' AS DOUBLE) + 1e-12, false) AS Z_Inconsistent_With_RG_SE, {q6('p')} AS P, {q6('gcov_int')} AS gcov_int, {q6('gcov_int_se')} AS gcov_int_se,
+  source_row_count AS Source_Rows_Collapsed, coalesce(NOT isnan(rg) AND abs(rg) > 1, false) AS RG_Outside_Unit_Interval FROM coll WHERE pair_i < pair_j"""
 _COV = """cov AS (SELECT c.i, c.j, c.value AS rg, a.h2 AS h2_i, b.h2 AS h2_j, CASE WHEN c.i = c.j THEN a.h2 ELSE c.value * (sqrt(a.h2) * sqrt(b.h2)) END AS value
   FROM cells c JOIN own a ON a.trait_order = c.i JOIN own b ON b.trait_order = c.j WHERE matrix = 'S_Stand')"""
 _EV = "ev AS (SELECT row_id, CASE WHEN p1 = p2 THEN 'warning' ELSE 'error' END AS sev, p1, p2, Reason, p1 = 'T7' AS removed FROM st WHERE Status <> 'valid')"

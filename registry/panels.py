@@ -158,8 +158,7 @@ def bundle_pair_reasons(spark, sf):
 
 def bundle_consistency(spark, sf):
     rows, _ = bundle(spark, sf)
-    good = rows.filter("i <> 6 AND j <> 6")
-    return panels.bundle_consistency(good).select("panel_id", "consistent", F.round("maximum_error", 6).alias("maximum_error"))
+    return panels.bundle_consistency(rows).select("panel_id", "consistent", "unusable", F.round("maximum_error", 6).alias("maximum_error"))
 
 
 def bundle_removals(spark, sf):
@@ -259,10 +258,14 @@ QUERIES = {
                               "d1 AS (SELECT panel_id, r * CASE WHEN sum(o * r) OVER (PARTITION BY panel_id) < 0 THEN -1 ELSE 1 END - o AS d FROM d0) "
                               f"SELECT panel_id, {q6('sqrt(avg(d * d))')} AS loading_rmse, {q6('max(abs(d))')} AS maximum_absolute_change FROM d1 GROUP BY panel_id"),
     "selected_traits": (selected_traits, None),
-    "bundle_trait_reasons": (bundle_trait_reasons, f"{_ALL}, {_MEMBERS} SELECT panel_id, t AS i, CASE WHEN t = 6 THEN 'Non-finite or non-positive heritability' ELSE '' END AS reason, false AS diagonal_inconsistent FROM members"),
+    "bundle_trait_reasons": (bundle_trait_reasons, f"{_ALL}, {_MEMBERS}, {_BUNDLE}, o AS (SELECT panel_id, i, max(value) FILTER (WHERE matrix = 'S') AS s, max(value) FILTER (WHERE matrix = 'I') AS c, max(value) FILTER (WHERE matrix = 'S_Stand') AS st FROM bd WHERE i = j GROUP BY 1, 2) "
+                             "SELECT panel_id, i, concat_ws('; ', CASE WHEN NOT coalesce(isfinite(s) AND s > 0, false) THEN 'Non-finite or non-positive heritability' END, CASE WHEN NOT coalesce(isfinite(c) AND c > 0, false) THEN 'Non-finite or non-positive self intercept' END, "
+                             "CASE WHEN NOT coalesce(isfinite(st), false) THEN 'Non-finite standardized diagonal' END) AS reason, coalesce(abs(st - 1) > 1e-8, false) AS diagonal_inconsistent FROM o"),
     "bundle_pair_reasons": (bundle_pair_reasons, f"{_ALL}, {_MEMBERS} SELECT a.panel_id, a.t AS pair_i, b.t AS pair_j, concat_ws('; ', CASE WHEN a.t = 2 AND b.t IN (4, 5) THEN 'Missing/non-finite I pair estimate' END, "
                             "CASE WHEN a.t + b.t = 13 THEN 'Non-finite or non-positive rg SE' END) AS reason FROM members a JOIN members b ON b.panel_id = a.panel_id AND a.t < b.t"),
-    "bundle_consistency": (bundle_consistency, f"{_ALL}, {_MEMBERS} SELECT DISTINCT panel_id, true AS consistent, CAST(0 AS DOUBLE) AS maximum_error FROM members"),
+    "bundle_consistency": (bundle_consistency, f"{_ALL}, {_MEMBERS}, {_BUNDLE}, dg AS (SELECT panel_id, i, value FROM bd WHERE matrix = 'S' AND i = j), g AS (SELECT s.panel_id, abs(CASE WHEN a.value * b.value > 0 THEN s.value / sqrt(a.value * b.value) END - r.value) AS e "
+                           "FROM bd s JOIN bd r ON r.matrix = 'S_Stand' AND r.panel_id = s.panel_id AND r.i = s.i AND r.j = s.j JOIN dg a ON a.panel_id = s.panel_id AND a.i = s.i JOIN dg b ON b.panel_id = s.panel_id AND b.i = s.j WHERE s.matrix = 'S') "
+                           f"SELECT panel_id, count(*) FILTER (WHERE e IS NULL) = 0 AND max(e) <= 1e-8 AS consistent, count(*) FILTER (WHERE e IS NULL) AS unusable, {q6('max(e)')} AS maximum_error FROM g GROUP BY panel_id"),
     "bundle_removals": (bundle_removals, f"{_ALL}, {_MEMBERS}, h AS (SELECT panel_id, bool_or(t = 6) AS six, bool_or(t = 2) AS two, bool_or(t = 4) AS four, bool_or(t = 5) AS five FROM members GROUP BY panel_id) "
                         "SELECT panel_id, 1 AS step, 'warning' AS Severity, 6 AS trait_order, 'Non-finite or non-positive heritability' AS Reason, 'removed' AS Action FROM h WHERE six UNION ALL "
                         "SELECT panel_id, 1 + six::INT, 'warning', 2, 'Removed to resolve invalid pairs: ' || concat_ws('; ', CASE WHEN four THEN '2: 4: Missing/non-finite I pair estimate' END, "
