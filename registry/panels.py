@@ -228,6 +228,20 @@ _SECOND = f"""md AS (SELECT m.panel_id, m.i, m.j, m.value - e.lambda * a.x * b.x
   JOIN e1_v b ON b.panel_id = m.panel_id AND b.i = m.j), {_power('e2', 'md', rounds=4000)}"""
 _PASS = "'PC1 numerical checks passed'"
 
+_PRE = f"{pq._D}, {pq._IDX.format(t='dirty')}, {pq._OK}, {pq._GRID}"
+_LIVE = "list_filter(bp, lambda q: NOT list_contains(gone, q.a) AND NOT list_contains(gone, q.b))"
+_WORST = f"list_max(list_transform(ms, lambda m: {{'d': len(list_filter({_LIVE}, lambda q: q.a = m.t OR q.b = m.t)), 's': -m.z, 'n': m.t}}))"
+#: The greedy selection as a recursion: what is gone grows by the trait with most failed pairs left (then lower Z, then later position).
+_SELECTED = f"""{_PRE.replace('WITH ', 'WITH RECURSIVE ', 1)}, pv AS ({pq.QUERIES['pair_validity'][1][len(_PRE):]}), {pq._SELF}, so AS ({pq._SELF_OUT}), {_MEMBERS},
+mm AS (SELECT m.panel_id, m.t, NOT so.Self_QC_Pass AS sf, so.Self_QC_Failure_Reason AS why, so.H2_Z FROM members m JOIN so ON so.trait_order = m.t),
+ed AS (SELECT DISTINCT a.panel_id, pair_i AS a, pair_j AS b FROM pv JOIN members a ON a.t = pair_i JOIN members b ON b.t = pair_j AND b.panel_id = a.panel_id WHERE NOT Pair_Valid),
+dg AS (SELECT panel_id, t, count(*) AS k FROM (SELECT panel_id, a AS t FROM ed UNION ALL SELECT panel_id, b FROM ed WHERE a <> b) x GROUP BY 1, 2),
+walk AS (SELECT p.panel_id, 0 AS step, g.gone, coalesce(e.bp, []) AS bp, p.ms, CAST(0 AS BIGINT) AS d FROM (SELECT panel_id, list({{'t': t, 'z': CASE WHEN isfinite(H2_Z) THEN H2_Z ELSE -1e300 END}}) AS ms FROM mm GROUP BY 1) p
+  JOIN (SELECT panel_id, coalesce(list(t ORDER BY t) FILTER (WHERE sf), []) AS gone FROM mm GROUP BY 1) g ON g.panel_id = p.panel_id LEFT JOIN (SELECT panel_id, list({{'a': a, 'b': b}}) AS bp FROM ed WHERE a <> b GROUP BY 1) e ON e.panel_id = p.panel_id
+  UNION ALL SELECT panel_id, step + 1, list_append(gone, ({_WORST}).n), bp, ms, ({_WORST}).d FROM walk WHERE len({_LIVE}) > 0)
+SELECT w.panel_id, CAST(len(w.gone) AS INT) AS exclusion_step, mm.t AS trait_order, '{panels.GREEDY_REASON}' AS reason, CAST(w.d AS INT) AS failed_pairs, {q6('mm.H2_Z')} AS H2_Z FROM walk w JOIN mm ON mm.panel_id = w.panel_id AND mm.t = w.gone[len(w.gone)] WHERE w.step > 0
+UNION ALL SELECT mm.panel_id, CAST(row_number() OVER (PARTITION BY mm.panel_id ORDER BY mm.t) AS INT), mm.t, mm.why, CAST(coalesce(dg.k, 0) AS INT), {q6('mm.H2_Z')} FROM mm LEFT JOIN dg ON dg.panel_id = mm.panel_id AND dg.t = mm.t WHERE mm.sf"""
+
 QUERIES = {
     "panel_cells": (panel_cells, f"{_ALL}, {_MEMBERS}, {_PANELCELLS} SELECT panel_id, i, j, {q6('value')} AS value FROM pc WHERE matrix = 'S_Stand'"),
     "pair_loadings": (pair_loadings, f"{_ALL}, {_TWO} SELECT panel_id, k AS i, 'PASS' AS qc_status, {q6('sqrt((1 + abs(r)) / 2) * CASE WHEN r < 0 AND k = j THEN -1 ELSE 1 END')} AS loading "
@@ -257,7 +271,7 @@ QUERIES = {
     "selection_sensitivity": (selection_sensitivity, f"{_PC1}, d0 AS (SELECT b.panel_id, a.l * a.s AS o, b.l * b.s AS r FROM ld a JOIN ld b ON b.i = a.i WHERE a.panel_id = 'all' AND b.panel_id <> 'all'), "
                               "d1 AS (SELECT panel_id, r * CASE WHEN sum(o * r) OVER (PARTITION BY panel_id) < 0 THEN -1 ELSE 1 END - o AS d FROM d0) "
                               f"SELECT panel_id, {q6('sqrt(avg(d * d))')} AS loading_rmse, {q6('max(abs(d))')} AS maximum_absolute_change FROM d1 GROUP BY panel_id"),
-    "selected_traits": (selected_traits, None),
+    "selected_traits": (selected_traits, _SELECTED),
     "bundle_trait_reasons": (bundle_trait_reasons, f"{_ALL}, {_MEMBERS}, {_BUNDLE}, o AS (SELECT panel_id, i, max(value) FILTER (WHERE matrix = 'S') AS s, max(value) FILTER (WHERE matrix = 'I') AS c, max(value) FILTER (WHERE matrix = 'S_Stand') AS st FROM bd WHERE i = j GROUP BY 1, 2) "
                              "SELECT panel_id, i, concat_ws('; ', CASE WHEN NOT coalesce(isfinite(s) AND s > 0, false) THEN 'Non-finite or non-positive heritability' END, CASE WHEN NOT coalesce(isfinite(c) AND c > 0, false) THEN 'Non-finite or non-positive self intercept' END, "
                              "CASE WHEN NOT coalesce(isfinite(st), false) THEN 'Non-finite standardized diagonal' END) AS reason, coalesce(abs(st - 1) > 1e-8, false) AS diagonal_inconsistent FROM o"),
