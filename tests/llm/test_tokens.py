@@ -117,6 +117,55 @@ def test_partitions_with_gaps_exchange(spark):
     assert together.where("round > 0").count() > 0
 
 
+def fewest(sizes, capacity):
+    """The least number of bins, by trying every assignment up to the naming of bins."""
+    best = len(sizes)
+
+    def place(i, used):
+        nonlocal best
+        if len(used) >= best:
+            return
+        if i == len(sizes):
+            best = len(used)
+            return
+        for b in range(len(used)):
+            if used[b] + sizes[i] <= capacity:
+                used[b] += sizes[i]
+                place(i + 1, used)
+                used[b] -= sizes[i]
+        place(i + 1, [*used, sizes[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=8))
+def test_bound_and_packing_enclose_the_optimum(sizes):
+    optimum = fewest(sizes, 20)
+    bins, _ = packing.best_fit_decreasing(np.array(sizes, np.int64), 20)
+    assert packing.lower_bound(np.array(sizes, np.int64), 20) <= optimum <= len(set(bins.tolist())) <= 11 / 9 * optimum + 6 / 9
+    size, times = np.unique(np.array(sizes, np.int64), return_counts=True)
+    assert packing.lower_bound(size, 20, times) == packing.lower_bound(np.array(sizes, np.int64), 20)
+
+
+def test_partitions_that_meet_their_own_bounds_exchange_until_the_bound_over_all(spark):
+    lengths = np.random.default_rng(5).integers(10, 500, 800).tolist()
+    parts = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing.PIECES)
+    bound = packing.lower_bound(np.array(lengths), 2048)
+    alone, together = packing.pack(parts, rounds=0, per_part=200), packing.pack(parts, per_part=200)
+    assert alone.where("certified").count() > 0 and alone.select("sequence_id").distinct().count() > bound
+    assert together.select("sequence_id").distinct().count() == bound
+    placed = together.groupBy("sequence_id").agg({"length": "sum"}).collect()
+    assert together.count() == 800 and max(r[1] for r in placed) <= 2048
+
+
+def test_equal_pieces_are_dealt_to_many_partitions(spark):
+    parts = spark.createDataFrame([(7, 0, 0, 700, 1)] * 600, packing.PIECES)
+    rows = packing.pack(parts, per_part=60).selectExpr("sequence_id", "shiftright(sequence_id, 32) AS part").collect()
+    assert len(rows) == 600 and len({r["sequence_id"] for r in rows}) <= 300 + 10 and len({r["part"] for r in rows}) == 10
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="abcé", min_size=1, max_size=8), max_size=8))
 def test_trie_counts_are_those_of_the_best_split(found):
