@@ -10,7 +10,7 @@ A stored table holds one row per segment: ``part`` and ``segment`` number it in
 
 The width is the one that holds ``percentile`` of a block's values. Segments travel in Parquet, so that Spark's commit protocol keeps
 lost executors from leaving half-written output, and any store that Spark writes will do. A document stays whole in one segment;
-null texts count as empty, a null doc_id comes first, equal doc_ids are ordered by their text.
+null texts count as empty, a null doc_id comes first, rows of equal doc_ids are ordered by the hash of their text and then by the text, within parts and across them.
 """
 from __future__ import annotations
 
@@ -178,7 +178,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, end_id: int
             made.append(close())
         yield from made
 
-    rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(encode, SEGMENTS).write.parquet(path)
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))  # hashes, so that range bounds hold no texts
+    rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text").mapInArrow(encode, SEGMENTS).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, *, ids: bool = True) -> DataFrame:

@@ -59,6 +59,17 @@ def test_token_files_hold_every_document_in_order(spark, odd, monkeypatch):
     assert [s for _, s in known] == sorted(s for _, s in known)
 
 
+def test_texts_of_one_doc_id_keep_their_order_across_parts(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(7 if k % 4 else 8, f"text {k} {'again ' * (k % 9)}") for k in range(400)] + [(7, None), (7, ""), (7, None)], "doc_id long, text string")
+    path = text.work_folder(spark)
+    token_files.write_token_files(docs, path, BPE, end_id=2, parts=6)
+    got = token_files.read_token_files(spark, path).orderBy("start").collect()
+    want = docs.orderBy("doc_id", F.xxhash64("text"), "text").collect()
+    assert [(r["doc_id"], list(r["ids"])) for r in got] == [(r["doc_id"], [*library_ids(r["text"]), 2]) for r in want]
+    assert spark.read.parquet(path).select("part").distinct().count() > 2
+
+
 def test_token_files_of_an_empty_table(spark, nothing):
     path = text.work_folder(spark)
     token_files.write_token_files(nothing, path, BPE)
