@@ -3,8 +3,8 @@
 Text is normalised (lower case, letters, digits and inner dots kept, everything else a blank). A unit is one line, the whole text where it has several, or a
 notice: words in a row, across lines or within one, that no line or whole text above them covers. Notices are searched from bigram to bigram shared with a
 template, up to the size at which the template can still reach the coefficient; of overlapping ones the best stays. Dice of
-two bigram sets cannot exceed 2 min / (min + max) of their sizes, so only templates of a fitting size are looked at, and of those
-only the ones that share a bigram with the unit. Templates travel with the task; they are a short list, not data.
+two bigram sets cannot exceed 2 min / (min + max) of their sizes, so of the templates that share a bigram with a unit
+(a list per bigram, in order of size) only the stretch of a fitting size is looked at. Templates travel with the task; they are a short list, not data.
 """
 from __future__ import annotations
 
@@ -74,15 +74,20 @@ class Library(NamedTuple):
     sizes: np.ndarray
     grams: np.ndarray  # distinct bigrams of all templates, sorted
     first: np.ndarray
-    template: np.ndarray
+    template: np.ndarray  # by bigram, and within one by the template's size
+    by_size: np.ndarray  # sizes of all templates, sorted
+    key: np.ndarray  # number of the bigram times the number of templates, plus the template's place by size
 
 
 def library(templates=TEMPLATES) -> Library:
     grams, bounds = bigrams(normal(pa.array([t for _, t in templates], pa.string())))
     owner = np.repeat(np.arange(len(templates)), np.diff(bounds))
-    order = np.argsort(grams, kind="stable")
-    distinct, first = np.unique(grams[order], return_index=True)
-    return Library([n for n, _ in templates], np.diff(bounds), distinct, np.append(first, len(grams)), owner[order])
+    sizes = np.diff(bounds)
+    ranked = np.argsort(sizes, kind="stable")
+    rank = np.argsort(ranked)
+    order = np.lexsort((rank[owner], grams))
+    distinct, first, number = np.unique(grams[order], return_index=True, return_inverse=True)
+    return Library([n for n, _ in templates], sizes, distinct, np.append(first, len(grams)), owner[order], sizes[ranked], number * len(sizes) + rank[owner[order]])
 
 
 def best_templates(lib: Library, texts, dice: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,15 +96,17 @@ def best_templates(lib: Library, texts, dice: float) -> tuple[np.ndarray, np.nda
     size = np.diff(bounds)
     if not len(lib.grams) or not len(grams):
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    fits = (size >= lib.sizes[lib.sizes > 0].min() * dice / (2 - dice)) & (size <= lib.sizes.max() * (2 - dice) / dice)
+    low = np.searchsorted(lib.by_size, size * dice / (2 - dice) - 1e-9)
+    high = np.searchsorted(lib.by_size, size * (2 - dice) / dice + 1e-9, side="right")
     text = np.repeat(np.arange(len(size)), size)
-    near = fits[text]
+    near = (low < high)[text]
     grams, text = grams[near], text[near]
     place = np.minimum(np.searchsorted(lib.grams, grams), len(lib.grams) - 1)
     hit = lib.grams[place] == grams
     place, text = place[hit], text[hit]
-    times = lib.first[place + 1] - lib.first[place]
-    template = lib.template[expand(lib.first[place], times)]
+    begin = np.searchsorted(lib.key, place * len(lib.names) + low[text])
+    times = np.searchsorted(lib.key, place * len(lib.names) + high[text]) - begin
+    template = lib.template[expand(begin, times)]
     pair, shared = np.unique(np.repeat(text, times) * len(lib.names) + template, return_counts=True)
     text, template = np.divmod(pair, len(lib.names))
     value = 2 * shared / (size[text] + lib.sizes[template])
