@@ -3,7 +3,8 @@
 Vectors are dealt to blocks; a tile is one block of queries against one block of candidates. Inside a tile both are quantised to int8 with a
 scale per vector. The product of the codes is an inner product with a known bound on its error, so a candidate whose upper bound lies below
 the k-th best lower bound cannot be among the k nearest; the others are computed again in double precision, in component order. Each
-query keeps its k best of a tile (a running heap over strips of candidates), and those of all tiles are merged.
+query keeps its k best of a tile (a running heap over strips of candidates), and those of all tiles are merged. Rows that repeat an id and a
+vector become one before they are dealt, and vectors of one id are dealt to all blocks of candidates, so that no id fills a tile.
 """
 from __future__ import annotations
 
@@ -98,12 +99,13 @@ def nearest(vectors: DataFrame, queries: Column | str, k: int = 20, *, id_col: s
     """
     condition = F.expr(queries) if isinstance(queries, str) else queries
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(condition, F.lit(False)).alias("asks"))
-    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).withColumn("dim", F.size("vector"))
+    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).groupBy("vec_id", "vector").agg(
+        F.bool_or("asks").alias("asks")).withColumn("dim", F.size("vector"))
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
     q_blocks, v_blocks = max(1, -(-asked // QUERIES)), max(1, -(-n // CANDIDATES))
     hashed = F.xxhash64("vec_id", F.lit(1))
     ask = rows.where("asks").select("dim", F.pmod(hashed, F.lit(q_blocks)).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("j"), F.lit(True).alias("asks"), "vec_id", "vector")
-    base = rows.select("dim", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("i"), F.pmod(hashed, F.lit(v_blocks)).cast("int").alias("j"), F.lit(False).alias("asks"), "vec_id", "vector")
+    base = rows.select("dim", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("i"), F.pmod(F.xxhash64("vec_id", "vector"), F.lit(v_blocks)).cast("int").alias("j"), F.lit(False).alias("asks"), "vec_id", "vector")
 
     def tile(table: pa.Table) -> pa.Table:
         asks = np.asarray(table.column("asks"))

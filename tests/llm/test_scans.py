@@ -171,6 +171,31 @@ def test_nearest_of_empty_tables_and_clashing_names(vector_rows, spark):
     assert vectors.nearest(spark.createDataFrame([(None, [1.0]), (20, [1.0])], "vec_id long, embedding array<double>"), "vec_id % 20 = 0").collect() == []
 
 
+def test_an_id_of_many_equal_rows_counts_once_and_is_dealt_once(vector_rows, monkeypatch):
+    monkeypatch.setattr(vectors, "CANDIDATES", 25)
+    rows, df = vector_rows
+    many = df.union(df.sparkSession.createDataFrame([rows[20]] * 3000 + [(5, [float(k)] * 8) for k in range(1, 60)], df.schema))
+    once = df.union(df.sparkSession.createDataFrame([(5, [float(k)] * 8) for k in range(1, 60)], df.schema))
+    assert vectors.nearest(many, "vec_id % 20 = 0", 20).collect() == vectors.nearest(once, "vec_id % 20 = 0", 20).collect()
+    plan = vectors.nearest(many, "vec_id % 20 = 0", 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("FlatMapGroupsInArrow") < plan.index("partial_max(asks")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcde"), min_size=1, max_size=25), min_size=1, max_size=6), st.lists(st.lists(st.sampled_from("abcdex"), max_size=25), max_size=6), st.sampled_from([0.5, 0.8, 1.0]))
+def test_templates_of_fitting_size_equal_all_templates(templates, texts, dice):
+    def bigrams(words):
+        return set(zip(words, words[1:], strict=False))
+    lib = licenses.library([(str(k), " ".join(t)) for k, t in enumerate(templates)])
+    want = []
+    for n, t in enumerate(texts):
+        values = [(2 * len(bigrams(t) & bigrams(m)) / (len(bigrams(t)) + len(bigrams(m))), -k) for k, m in enumerate(templates) if bigrams(t) & bigrams(m)]
+        if values and max(values)[0] >= dice:
+            want.append((n, -max(values)[1], max(values)[0]))
+    got = licenses.best_templates(lib, pa.array([" ".join(t) for t in texts], pa.string()), dice)
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == want
+
+
 def test_templated_items_equal_brute_force(monkeypatch):
     """Items that share a long opening; documents that quote the opening, an item with edits, or a cut item. Sieves may only save work."""
     rng = random.Random(6)
