@@ -6,7 +6,7 @@ keeps the audits beside the result, and raises only after they exist.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -256,7 +256,7 @@ class CompiledPairs:
 
 def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error", row: str = "row_id", duplicate_tolerance: float = pairs.DUPLICATE_TOLERANCE,
                   duplicate_z_tolerance: float = pairs.DUPLICATE_Z_TOLERANCE, self_rg_tolerance: float = pairs.SELF_RG_TOLERANCE,
-                  h2_z_warn_threshold: float = pairs.H2_Z_WARNING) -> CompiledPairs:
+                  h2_z_warn_threshold: float = pairs.H2_Z_WARNING, comparison_epsilon: float = pairs.COMPARISON_EPSILON) -> CompiledPairs:
     """Validated, ordered and normalised pair table under one failure policy.
 
     ``error`` raises on any failed estimate, ``report`` keeps it, ``drop_traits`` selects a complete subset
@@ -269,12 +269,13 @@ def compile_pairs(table: DataFrame, manifest: DataFrame, *, action: str = "error
     if dropping and manifest.filter(F.coalesce(F.col("ref"), F.lit("")) != "yes").take(1):
         raise ValueError("drop_traits requires ref=yes for every trait")
     table = durable(table)
-    pairs.raise_on_conflicts(pairs.duplicate_conflicts(pairs.index_pairs(table, manifest), tolerance=duplicate_tolerance, z_tolerance=duplicate_z_tolerance))
+    pairs.raise_on_conflicts(pairs.duplicate_conflicts(pairs.index_pairs(table, manifest), tolerance=duplicate_tolerance, z_tolerance=duplicate_z_tolerance, epsilon=comparison_epsilon))
     coverage = durable(pairs.pair_coverage(table, pairs.plan_pairs(manifest)))
     bad = coverage.filter((F.col("coverage") == "unexpected") | F.lit(not dropping)).take(1)
     if bad:
         raise StructuralFailure(f"pair comparison mismatch: {bad[0]['coverage']} {bad[0]['p1']}, {bad[0]['p2']}", coverage=coverage)
-    status = pairs.pair_status(table, self_rg_tolerance=self_rg_tolerance, h2_z_warning=h2_z_warn_threshold).select(row, "p1", "p2", "Status", "Reason", "Warning")
+    status = pairs.pair_status(table, self_rg_tolerance=self_rg_tolerance, h2_z_warning=h2_z_warn_threshold,
+                               comparison_epsilon=comparison_epsilon).select(row, "p1", "p2", "Status", "Reason", "Warning")
     missing = coverage.select(F.lit(None).cast(table.schema[row].dataType).alias(row), "p1", "p2", F.lit("missing_result").alias("Status"),
                               F.lit("Missing requested comparison").alias("Reason"), F.lit("").alias("Warning"))
     status = durable(pairs.sort_by_manifest(status.unionByName(missing), manifest, row))
@@ -322,6 +323,7 @@ class PanelSettings:
     duplicate_tolerance: float = pairs.DUPLICATE_TOLERANCE
     duplicate_z_tolerance: float = pairs.DUPLICATE_Z_TOLERANCE
     self_rg_tolerance: float = pairs.SELF_RG_TOLERANCE
+    comparison_epsilon: float = pairs.COMPARISON_EPSILON
     h2_z_warn_threshold: float = pairs.H2_Z_WARNING
     z_consistency_tolerance: float = pairs.Z_CONSISTENCY_TOLERANCE
     matrix_eigen_tolerance: float = panels.MATRIX_EIGEN_TOLERANCE
@@ -340,7 +342,7 @@ class PanelSettings:
     validate_only: bool = False
 
     def check(self) -> None:
-        limits = {name: value for name, value in vars(self).items() if name.endswith(("_tolerance", "_threshold"))}
+        limits = {name: value for name, value in vars(self).items() if name.endswith(("_tolerance", "_threshold", "_epsilon"))}
         if bad := [name for name, value in limits.items() if not (np.isfinite(value) and value >= 0)]:
             raise ValueError(f"{', '.join(bad)} must be finite and not negative")
         if self.pc1_only and self.validate_only:
@@ -352,6 +354,9 @@ class PanelSettings:
         if self.cti_action == "error" and self.max_cti_drop_fraction:
             raise ValueError("max_cti_drop_fraction requires explore_drop")
 
+    def policy(self) -> pairs.PairPolicy:
+        return pairs.PairPolicy(**{f.name: getattr(self, f.name) for f in fields(pairs.PairPolicy)})
+
 
 @dataclass(frozen=True)
 class PanelResult:
@@ -390,9 +395,9 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
     if bad:
         raise EstimationFailure(f"{bad[0]['trait']}: {bad[0]['error']}", **reports)
     rows = durable(pairs.index_pairs(scaled, traits))
-    pairs.raise_on_conflicts(pairs.duplicate_conflicts(rows, tolerance=settings.duplicate_tolerance, z_tolerance=settings.duplicate_z_tolerance))
-    own = durable(pairs.self_pair_qc(rows, traits, tolerance=settings.self_rg_tolerance, h2_z_warning=settings.h2_z_warn_threshold))
-    validity = durable(pairs.pair_validity(rows, traits, settings.self_rg_tolerance))
+    pairs.raise_on_conflicts(pairs.duplicate_conflicts(rows, tolerance=settings.duplicate_tolerance, z_tolerance=settings.duplicate_z_tolerance, epsilon=settings.comparison_epsilon))
+    own = durable(pairs.self_pair_qc(rows, traits, tolerance=settings.self_rg_tolerance, h2_z_warning=settings.h2_z_warn_threshold, epsilon=settings.comparison_epsilon))
+    validity = durable(pairs.pair_validity(rows, traits, settings.self_rg_tolerance, settings.comparison_epsilon))
     reports.update(self_pair_qc=own, failed_pairs=validity.filter(~F.col("Pair_Valid")))
     if validity.filter(~F.col("Pair_Valid")).take(1) or own.filter(~F.col("Self_QC_Pass")).take(1):
         if not dropping:
@@ -408,17 +413,23 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
     if len(positions) < 2:
         raise EstimationFailure("fewer than two traits remain", **reports)
     collapsed = durable(pairs.collapse_pairs(rows))
-    report = pairs.rg_report(collapsed, traits, z_tolerance=settings.z_consistency_tolerance)
+    report = pairs.rg_report(collapsed, traits, z_tolerance=settings.z_consistency_tolerance, epsilon=settings.comparison_epsilon)
     for flag, policy, what in (("RG_Outside_Unit_Interval", settings.rg_out_of_range_action, "correlation outside [-1,1]"),
                                ("Z_Inconsistent_With_RG_SE", settings.z_consistency_action, "Z differs from rg / SE")):
         if policy == "error" and report.filter(flag).take(1):
             raise EstimationFailure(what, **reports)
-    rg = pairs.select_rg(collapsed, rows, settings.rg_normalization, tolerance=settings.duplicate_tolerance, out_of_range_action=settings.rg_out_of_range_action)
+    rg = pairs.select_rg(collapsed, rows, settings.rg_normalization, tolerance=settings.duplicate_tolerance, out_of_range_action=settings.rg_out_of_range_action,
+                         epsilon=settings.comparison_epsilon)
     cells = durable(matrices.assemble_matrices(collapsed, own, rg=rg))
     correlation = cells.filter("matrix = 'S_Stand'").select(F.lit("all").alias("panel_id"), "i", "j", "value")
     cti = cells.filter("matrix = 'I'").select(F.lit("all").alias("panel_id"), "i", "j", "value")
-    reports.update(matrices=cells, heritability=pairs.heritability_report(own), correlations=report,
-                   validation=pairs.validation_summary(own, collapsed, report))
+    validated = pairs.Validated(own, collapsed, report, cells)
+    total = table.count()
+
+    def describe(valid: pairs.Validated, intercepts: DataFrame) -> None:
+        reports.update(matrices=valid.cells, heritability=pairs.heritability_report(valid.self_qc), correlations=valid.report, validation=valid.summary(
+            settings.policy(), source_rows_read=total, scales=choice, intercept_eigenvalues=panels.panel_eigenvalues(intercepts, settings.matrix_eigen_tolerance)))
+    describe(validated, cti)
     pca = correlation
     if settings.pca_matrix == "covariance":
         covariance = durable(matrices.covariance_matrix(correlation, own.select("trait_order", F.col("Self_H2").alias("h2"))))
@@ -438,11 +449,7 @@ def panel_analysis(table: DataFrame, manifest: DataFrame, settings: PanelSetting
         keep = F.col("i").isin(positions) & F.col("j").isin(positions)
         pca, cti = pca.filter(keep), cti.filter(keep)
         reports["selection_sensitivity"] = panels.selection_sensitivity(baseline, panels.panel_loadings(pca, settings.pc1_orientation))[1]
-        cells, collapsed = cells.filter(keep), collapsed.filter(F.col("pair_i").isin(positions) & F.col("pair_j").isin(positions))
-        own = own.filter(F.col("trait_order").isin(positions))
-        report = report.filter(F.col("pair_i").isin(positions) & F.col("pair_j").isin(positions))
-        reports.update(matrices=cells, heritability=pairs.heritability_report(own), correlations=report,
-                       validation=pairs.validation_summary(own, collapsed, report))
+        describe(validated.subset(traits), cti)
     return _assessed(pca, cti, traits, positions, settings, reports)
 
 

@@ -207,6 +207,28 @@ def validation_summary(spark, sf):
     return pairs.validation_summary(pairs.self_pair_qc(rows, m), collapsed, pairs.rg_report(collapsed, m)).withColumns(r6("Self_H2", "Self_H2_SE", "Self_H2_Z"))
 
 
+def validated(spark, sf):
+    m = manifest(spark, sf)
+    rows = durable(scaled(spark, sf, clean))
+    collapsed = pairs.collapse_pairs(rows)
+    return pairs.Validated(pairs.self_pair_qc(rows, m), collapsed, pairs.rg_report(collapsed, m))
+
+
+def _summary(valid, policy, **more):
+    return valid.summary(policy, **more).withColumns(r6("Self_RG", "Self_RG_Deviation", "Self_H2", "Self_H2_SE", "Self_H2_Z")).drop("Minimum_Intercept_Matrix_Eigenvalue")
+
+
+def validation_policy(spark, sf):
+    """The summary of all traits with the tolerances and actions in force."""
+    policy = pairs.PairPolicy(z_consistency_action="error", comparison_epsilon=1e-9)
+    return _summary(validated(spark, sf), policy, source_rows_read=clean(spark, sf).count())
+
+
+def validated_subset(spark, sf):
+    """The summary after two traits were removed: every count is that of the traits left."""
+    return _summary(validated(spark, sf).subset(manifest(spark, sf).filter("trait NOT IN ('T2', 'T5')")), pairs.PairPolicy())
+
+
 def events(spark, sf):
     status = pairs.pair_status(dirty(spark, sf)).filter("Status <> 'valid'").select(
         F.col("row_id").alias("event"), F.when(F.col("p1") == F.col("p2"), "warning").otherwise("error").alias("Severity"), F.col("p1").alias("Trait"),
@@ -384,6 +406,15 @@ _AUDIT = """ends AS (SELECT row_id, sev, p1 AS t, Reason FROM ev UNION ALL SELEC
 f AS (SELECT t, Reason, min(row_id) AS o, min(row_id) FILTER (WHERE sev = 'warning') AS w FROM ends GROUP BY 1, 2),
 g AS (SELECT t, string_agg(Reason, '; ' ORDER BY o) AS a, string_agg(Reason, '; ' ORDER BY w) FILTER (WHERE w IS NOT NULL) AS w FROM f GROUP BY t)
 SELECT m.trait_order, m.trait, m.trait IN (SELECT p1 FROM ev WHERE removed) AS Removed, coalesce(g.w, '') AS Warning_Reasons, coalesce(g.a, '') AS All_QC_Reasons FROM manifest m LEFT JOIN g ON g.t = m.trait"""
+_POLICY_SQL = f"""k AS (SELECT count(*) AS k FROM manifest), r AS ({_RG_OUT}), tot AS (SELECT CAST(sum(source_row_count) AS BIGINT) AS rows, count(*) AS uniq FROM coll)
+SELECT trait_order, trait, n > 0 AS Self_Pair_Found, true AS Self_QC_Pass, false AS Self_RG_Zero_SE_Exception, '' AS Self_QC_Note, {q6('rg')} AS Self_RG, {q6('abs(rg - 1)')} AS Self_RG_Deviation,
+  {q6('h2')} AS Self_H2, {q6('h2_se')} AS Self_H2_SE, CAST(NULL AS STRING) AS Heritability_Scale_Used, {q6('h2 / h2_se')} AS Self_H2_Z, h2 / h2_se < 2 AS Low_H2_Z_Diagnostic,
+  (SELECT count(*) FROM coll WHERE trait_order IN (pair_i, pair_j)) AS Unique_Pairs_With_Selected_Traits, k.k AS Expected_Pairs_With_Selected_Traits, tot.rows AS Selected_Source_Rows,
+  k.k * (k.k + 1) // 2 AS Expected_Unique_Rows, tot.uniq AS Observed_Unique_Rows, tot.rows - tot.uniq AS Duplicate_Rows_Collapsed,
+  (SELECT count(*) FROM own WHERE h2 / h2_se < 2) AS Low_H2_Z_Diagnostic_Count, (SELECT count(*) FROM r WHERE Z_Inconsistent_With_RG_SE) AS Z_Inconsistent_With_RG_SE_Count,
+  (SELECT count(*) FROM r WHERE RG_Outside_Unit_Interval) AS Off_Diagonal_RG_Outside_Unit_Interval, {{read}} AS Total_Source_Rows_Read, CAST('0.001' AS DOUBLE) AS Duplicate_Tolerance,
+  CAST('0.01' AS DOUBLE) AS Duplicate_Z_Tolerance, CAST('0.01' AS DOUBLE) AS Self_RG_Tolerance, CAST('{{epsilon}}' AS DOUBLE) AS Comparison_Epsilon, CAST(2 AS DOUBLE) AS H2_Z_Warn_Threshold,
+  CAST('0.01' AS DOUBLE) AS Z_Consistency_Tolerance, '{{z_action}}' AS Z_Consistency_Action, 'warn' AS RG_Out_Of_Range_Action FROM own, k, tot"""
 _D = f"WITH {DIRTY}, {MANIFEST}"
 _SKEW = "sk AS (SELECT i, j, CASE WHEN i = 1 AND j = 2 THEN value + CAST('0.001' AS DOUBLE) {e} ELSE value END AS value FROM cells WHERE matrix = 'S_Stand'), mm AS (SELECT a.*, b.value AS m FROM sk a JOIN sk b ON a.i = b.j AND a.j = b.i)"
 _SKEW_E = _SKEW.format(e="WHEN i = 0 AND j = 5 THEN NULL")
@@ -425,6 +456,9 @@ SELECT trait_order, trait, true AS Self_QC_Pass, {q6('h2')} AS Self_H2, {q6('h2_
   k.k * (k.k + 1) // 2 AS Expected_Unique_Rows, tot.uniq AS Observed_Unique_Rows, tot.rows - tot.uniq AS Duplicate_Rows_Collapsed,
   (SELECT count(*) FROM own WHERE h2 / h2_se < 2) AS Low_H2_Z_Diagnostic_Count, (SELECT count(*) FROM r WHERE Z_Inconsistent_With_RG_SE) AS Z_Inconsistent_With_RG_SE_Count,
   (SELECT count(*) FROM r WHERE RG_Outside_Unit_Interval) AS Off_Diagonal_RG_Outside_Unit_Interval FROM own, k, tot"""),
+    "validation_policy": (validation_policy, f"{_CLEAN_ALL}, {_POLICY_SQL.format(z_action='error', epsilon='1e-9', read='(SELECT count(*) FROM clean)')}"),
+    "validated_subset": (validated_subset, f"WITH {CLEAN}, {MANIFEST.replace('manifest AS', 'everyone AS', 1)}, manifest AS (SELECT * FROM everyone WHERE trait NOT IN ('T2', 'T5')), {_IDX.format(t='clean').replace('ix AS', 'ix0 AS', 1)}, "
+                         f"ix AS (SELECT * FROM ix0 WHERE pair_i NOT IN (2, 5) AND pair_j NOT IN (2, 5)), {_COLL}, {_SELF}, {_POLICY_SQL.format(z_action='warn', epsilon='1e-12', read='CAST(NULL AS BIGINT)')}"),
     "audit_summary": (audit_summary, f"{_D}, {_status_sql()}, {_EV}, {_AUDIT}"),
     "matrix_cells": (matrix_cells, f"{_CLEAN_ALL} SELECT matrix, i, j, {q6('value')} AS value FROM cells"),
     "covariance_cells": (covariance_cells, f"{_CLEAN_ALL}, {_COV} SELECT i, j, {q6('value')} AS value, CAST(0 AS DOUBLE) AS reconstruction_error FROM cov"),

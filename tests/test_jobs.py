@@ -88,11 +88,11 @@ def both(a, b):
     return {(a, b), (b, a)}
 
 
-def compiled(spark, rows, action="drop_traits"):
+def compiled(spark, rows, action="drop_traits", **limits):
     schema = "p1 string, p2 string, rg double, se double, z double, p double, h2_int double, h2_int_se double, gcov_int double, gcov_int_se double, h2_obs double, h2_obs_se double, row_id int"
     table = spark.createDataFrame([Row(**r) for r in rows], schema)
     manifest = spark.createDataFrame([(n, i, "yes", None) for i, n in enumerate(RIVERS)], "trait string, trait_order int, ref string, population_prevalence double")
-    return jobs.compile_pairs(table, manifest, action=action)
+    return jobs.compile_pairs(table, manifest, action=action, **limits)
 
 
 SELECTION = {
@@ -159,6 +159,10 @@ def test_panel(spark, matrix):
     assert np.allclose(np.diag(panel.cti), 1) and panel.names == RIVERS
     report = panel.reports["eigenvalues"].toPandas().sort_values("PC")
     assert np.isclose(report.cumulative_percent_raw.iloc[-1], 100)
+    summary = panel.reports["validation"].toPandas()
+    assert np.allclose(summary.Minimum_Intercept_Matrix_Eigenvalue, np.linalg.eigvalsh(panel.cti)[0])
+    assert set(summary.Heritability_Scale_Used) == {"observed"} and set(summary.Total_Source_Rows_Read) == {len(RIVERS) ** 2}
+    assert set(summary.Comparison_Epsilon) == {pairs.COMPARISON_EPSILON} and set(summary.RG_Out_Of_Range_Action) == {"warn"}
 
 
 def test_panel_policies(spark):
@@ -187,6 +191,24 @@ def test_panel_explores_a_singular_cti(spark, limit, monkeypatch):
     assert jobs.panel_analysis(table, rivers(spark), jobs.PanelSettings(pc1_only=True)).cti is None
     panel = jobs.panel_analysis(table, rivers(spark), jobs.PanelSettings(cti_action="explore_drop", max_cti_drop_fraction=.3))
     assert len(panel.names) == 4 and {"oder", "saale", "unstrut"} < set(panel.names) and panel.cti.shape == (4, 4)
+    summary = panel.reports["validation"].toPandas()
+    assert set(summary.trait) == set(panel.names) and set(summary.Unique_Pairs_With_Selected_Traits) == {4}
+    assert set(summary.Expected_Unique_Rows) == set(summary.Observed_Unique_Rows) == {10} and set(summary.Selected_Source_Rows) == {16}
+    assert panel.reports["correlations"].count() == 6 and panel.reports["matrices"].filter("matrix = 'I'").count() == 16
+
+
+def test_epsilon_decides_at_the_limit(spark):
+    """A self-pair that misses its tolerance by a little fails, unless the comparison allows for it; the same in every check of a panel."""
+    rows = [{**r, "rg": 1 - 1.0001e-2} if r["p1"] == r["p2"] == "oder" else r for r in grid()]
+    with pytest.raises(jobs.EstimationFailure):
+        compiled(spark, rows, "error")
+    table = compiled(spark, rows, "error", comparison_epsilon=1e-5).pairs
+    with pytest.raises(jobs.EstimationFailure, match="missing or invalid"):
+        jobs.panel_analysis(table, rivers(spark))
+    panel = jobs.panel_analysis(table, rivers(spark), jobs.PanelSettings(comparison_epsilon=1e-5))
+    assert panel.names == RIVERS and set(panel.reports["validation"].toPandas().Comparison_Epsilon) == {1e-5}
+    with pytest.raises(ValueError, match="comparison_epsilon"):
+        jobs.PanelSettings(comparison_epsilon=-1.0).check()
 
 
 def test_reuse(spark):
