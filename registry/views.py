@@ -57,10 +57,17 @@ def exprs(columns: dict[str, str]) -> list[str]:
     return [f"{e.replace('VARCHAR(10)', 'STRING').replace('VARCHAR(20)', 'STRING')} AS {n}" for n, e in columns.items()]
 
 
+#: Rows of a task: more of them make its sorts and what it reads of a shuffle too large.
+ROWS_PER_TASK = 2_000_000
+
+
 def lineitem(spark: SparkSession, sf: str) -> DataFrame:
     rows, cores = table(spark, sf, "lineitem").select(*ORDER), spark.sparkContext.defaultParallelism
-    # One file of one row group is one task; a table of many files fills the cores as it is.
-    return rows.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey") if len(rows.inputFiles()) < cores else rows
+    # One file of one row group is one task, however large; a table whose tasks are many and small enough stays as it is. Only footers are read for this.
+    held = [n for _, n in rows.groupBy(F.spark_partition_id()).count().collect()]
+    if len(held) >= cores and max(held) <= ROWS_PER_TASK:
+        return rows
+    return rows.repartition(max(cores, -(-sum(held) // ROWS_PER_TASK)), "l_orderkey", "l_linenumber", "l_partkey")
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
