@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder: for wide tables that several passes read, as it is compressed and read by column, which ``durable`` is not."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Rows up to which a lookup of known size is sent to every task.
 BROADCAST_ROWS = 100_000
 
@@ -39,6 +48,12 @@ def small(lookup: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup
 
 
+def counted(lookup: DataFrame) -> DataFrame:
+    """``lookup`` (a row a trait, say) stored and counted, so that a large table meets it where it lies and is not dealt by a key of few values."""
+    stored = durable(lookup)
+    return small(stored, stored.count())
+
+
 def local_session(cores: int | str = 8, *, app: str = "assocspark", shuffle_partitions: int | None = None,
                   memory: str = "12g") -> SparkSession:
     """Session for tests and the benchmark; cluster jobs bring their own."""
