@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_string, evaluate_once, is_finite, is_missing, list_reasons, quantile_from_parts, quantile_parts, to_double
+from ..session import counted
 from .ordering import exact_medians
 
 # Spellings of a missing number in munged tables, and of a missing prevalence or N.
@@ -123,9 +124,9 @@ def auto_chisq_cutoff(df: DataFrame, matched: DataFrame, columns: Sequence[str]
 
 
 def with_cutoff(df: DataFrame, cutoff: float | DataFrame) -> DataFrame:
-    """Attach ``chisq_max``: a constant, or one row per trait joined back (size left to the optimizer)."""
+    """Attach ``chisq_max``: a constant, or one row per trait joined back."""
     if isinstance(cutoff, DataFrame):
-        return df.join(cutoff.select("trait", "chisq_max"), "trait", "left")
+        return df.join(counted(cutoff.select("trait", "chisq_max")), "trait", "left")
     if isinstance(cutoff, bool) or not math.isfinite(cutoff) or cutoff <= 0:
         raise ValueError("chisq_max must be a positive finite number or a table of per-trait cutoffs")
     return df.withColumn("chisq_max", F.lit(float(cutoff)))
@@ -137,7 +138,7 @@ def chisq_filter(df: DataFrame, cutoff: float | DataFrame) -> tuple[DataFrame, D
     The summary's ``fatal_rows`` counts non-numeric or non-finite Z and overflowing squares; they are in
     neither output, and :func:`check_chisq_summary` turns them (or an empty result) into an error.
     """
-    rows = with_cutoff(chisq_rows(df), cutoff)
+    rows = evaluate_once(with_cutoff(chisq_rows(df), cutoff))
     usable = ~F.col("_missing_z") & is_finite("CHISQ")
     keep = usable & (F.col("CHISQ") <= F.col("chisq_max"))
     drop = usable & (F.col("CHISQ") > F.col("chisq_max"))
@@ -172,7 +173,7 @@ def hm3_select(df: DataFrame, reference: DataFrame, *, snp: str = "SNP", keys: S
 
 def override_n(df: DataFrame, manifest: DataFrame) -> DataFrame:
     """Manifest N replaces the record's N where given; ``N_source`` says which one was used."""
-    per_trait = manifest.select("trait", F.col("N").alias("_n_override"))
+    per_trait = counted(manifest.select("trait", F.col("N").alias("_n_override")))
     return (df.join(per_trait, "trait", "left")
             .withColumn("N_source", F.when(F.col("_n_override").isNotNull(), "manifest_N").otherwise("FORMAT/NEF"))
             .withColumn("N", F.coalesce("_n_override", "N")).drop("_n_override"))

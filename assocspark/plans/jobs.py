@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import is_finite
 from ..operators import alleles, bundles, combine, export, filters, matrices, ordering, pairs, panels, provenance, regression
 from ..operators import variant_qc as vq
-from ..session import durable, small
+from ..session import counted, durable, small, stored
 from ..sources import sinks
 
 MAX_PANEL_TRAITS = 4096
@@ -95,6 +95,8 @@ def prepare(raw: DataFrame, manifest: DataFrame, *, order: Sequence[str], mode:
     if mode != "regression":
         qc = vq.validate_variants(raw, order=order, p_min=p_min, id_source=assoc_id_source)
         assoc = sinks.assoc_table(qc.good.join(manifest.select("trait", "trait_order"), "trait") if "trait_order" not in raw.columns else qc.good, assoc_id_source)
+        if check:
+            assoc = stored(assoc)
         out.update(assoc=assoc, assoc_qc=qc)
         if check:
             _require_rows(assoc, manifest, "association records")
@@ -107,6 +109,8 @@ def prepare(raw: DataFrame, manifest: DataFrame, *, order: Sequence[str], mode:
                 raise ValueError(f"{bad[0]['trait']}: {bad[0]['reason']}")
         qc = regression_variants(raw, metadata, hm3, order=order, p_min=p_min, id_source=munge_id_source)
         table = sinks.munge_input(qc.good, "shared", "vcf_id")
+        if check:
+            table = stored(table)
         out.update(regression=table, regression_qc=qc)
         if check:
             _require_rows(table, manifest, "records on the reference SNP list")
@@ -139,7 +143,7 @@ def extract(records: DataFrame, manifest: DataFrame, *, settings: filters.Varian
     impossible = resolved.filter(F.col("reason").contains("strictly between 0 and 1")).take(1)  # a missing sample prevalence is inferred below
     if impossible:
         raise ValueError(f"{impossible[0]['trait']}: {impossible[0]['reason']}")
-    metadata = resolved.select("trait", "sample_prevalence", "population_prevalence")
+    metadata = counted(resolved.select("trait", "sample_prevalence", "population_prevalence"))
     joined = kept.join(metadata, "trait")
     binary = F.col("population_prevalence").isNotNull()
     n = F.when(binary, F.col("NC") + F.col("NCO")).otherwise(F.col("NEF")) if "NC" in kept.columns else F.col("NEF")
@@ -510,7 +514,7 @@ def bundle_panel(bundle: DataFrame, labels: DataFrame, manifest: DataFrame, sett
 def combine_snps(assoc: DataFrame, panel: PanelResult, *, kernel=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Combined associations of a panel's traits, with their QC (issues, summary). Raises if any SNP fails."""
     order = assoc.sparkSession.createDataFrame(list(enumerate(panel.names)), "trait_order int, trait string")
-    rows = assoc.drop("trait_order").join(small(order, len(panel.names)), "trait")
+    rows = stored(assoc.drop("trait_order").join(small(order, len(panel.names)), "trait"))  # read by the checks, the combination and its QC
     vq.assert_ids(rows, "SNPID")
     absent = order.join(rows.select("trait").distinct(), "trait", "left_anti").take(1)
     if absent:
