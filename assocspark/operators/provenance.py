@@ -6,15 +6,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import evaluate_once
 from ..session import durable
 
 WORDS = 4  # of 64 bits: a whole SHA-256
 
 
-def row_digest(columns: Sequence[str]) -> list[Column]:
-    """The SHA-256 of a row as four 64-bit numbers; NULL and '' differ, and column borders are kept."""
+def row_digest(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``keep`` and the SHA-256 of each row as four 64-bit numbers, and their columns; NULL and '' differ, and column borders are kept.
+
+    Hash and numbers are fixed as attributes: inside a decimal sum each of them would be made anew wherever the sum names its argument.
+    """
     text = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns])
-    return [F.conv(F.substring(F.sha2(text, 256), 16 * k + 1, 16), 16, 10).cast("decimal(20,0)") for k in range(WORDS)]
+    hashed = evaluate_once(df.select(*keep, F.sha2(text, 256).alias("_sha")))
+    words = [F.conv(F.substring("_sha", 16 * k + 1, 16), 16, 10).cast("decimal(20,0)").alias(f"_word{k}") for k in range(WORDS)]
+    return evaluate_once(hashed.select(*keep, *words)), [F.col(f"_word{k}") for k in range(WORDS)]
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str], *, group: Sequence[str] = ("trait",)) -> DataFrame:
@@ -22,8 +28,9 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str], *, group: Sequence[
 
     Include a rank column (see ``global_rank``) among ``columns`` to make the fingerprint order-aware.
     """
-    sums = F.concat_ws("-", *[F.sum(word).cast("string") for word in row_digest(columns)])
-    return df.groupBy(*group).agg(F.count("*").alias("rows"), sums.alias("fingerprint"))
+    hashed, words = row_digest(df, group, columns)
+    sums = F.concat_ws("-", *[F.sum(word).cast("string") for word in words])
+    return hashed.groupBy(*group).agg(F.count("*").alias("rows"), sums.alias("fingerprint"))
 
 
 def pairs_to_compute(plan: DataFrame, completed: DataFrame) -> DataFrame:
@@ -60,8 +67,8 @@ def digest_tree(df: DataFrame, columns: Sequence[str], *, group: str, key: Colum
     they occur); a node's is the SHA-256 of its children's, in order. No leaf is gathered, and a node has sixteen children at most.
     """
     keyed = df.select(F.col(group).alias("group"), key.cast("long").alias("node"), *[F.col(c).alias(f"_{n}") for n, c in enumerate(columns)])
-    words = row_digest(["node", *[f"_{n}" for n in range(len(columns))]])
-    leaf = keyed.groupBy("group", "node").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws("-", *[F.sum(word).cast("string") for word in words], F.count("*").cast("string")), 256).alias("digest"))
+    hashed, words = row_digest(keyed, ["group", "node"], ["node", *[f"_{n}" for n in range(len(columns))]])
+    leaf = hashed.groupBy("group", "node").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws("-", *[F.sum(word).cast("string") for word in words], F.count("*").cast("string")), 256).alias("digest"))
     tree = [durable(leaf.withColumn("level", F.lit(0)))]
     for level in range(1, levels + 1):
         below = tree[-1].withColumn("up", F.shiftright("node", FANOUT_BITS))

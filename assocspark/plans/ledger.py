@@ -8,8 +8,9 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, StringType
 
 from ..operators.provenance import table_fingerprint
 
@@ -26,10 +27,19 @@ class Stage:
     reused: bool
 
 
+def _text(kind: DataType, value: Column) -> Column:
+    """One text for each value. Numbers and dates hold none of the digest's signs, texts tell their length; all else is JSON."""
+    if isinstance(kind, NumericType | BooleanType | DateType):
+        return value.cast("string")
+    if isinstance(kind, StringType):
+        return F.concat(F.length(value).cast("string"), F.lit(":"), value)
+    return F.to_json(F.struct(value.alias("v")))
+
+
 def digest_of(table: DataFrame) -> tuple[str, int]:
     """Digest of a table's columns and rows, whatever their order, and its number of rows; one pass of partial sums."""
     names = sorted(table.columns)
-    texts = table.select([F.to_json(F.struct(F.col(f"`{c}`").alias("v"))).alias(f"c{n}") for n, c in enumerate(names)])
+    texts = table.select([_text(table.schema[c].dataType, F.col(f"`{c}`")).alias(f"c{n}") for n, c in enumerate(names)])
     row = table_fingerprint(texts.withColumn("trait", F.lit("all")), [f"c{n}" for n in range(len(names))]).first()
     described = json.dumps([names, [dict(table.dtypes)[c] for c in names], row["fingerprint"] if row else "", row["rows"] if row else 0])
     return hashlib.sha256(described.encode()).hexdigest(), row["rows"] if row else 0

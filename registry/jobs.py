@@ -91,7 +91,7 @@ def stage_reruns(spark, sf):
     ledger = StageLedger(spark, f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}")
     raw = v.raw(spark, sf).select("trait", "SNP", "beta", "se", "N", *v.ORDER)
     out = []
-    for run, (rows, least) in enumerate([(raw, 10_000), (raw.repartition(3), 10_000), (raw, 20_000), (raw.filter("trait <> 'T1'"), 20_000)]):
+    for run, (rows, least) in enumerate([(raw, 10_000), (raw.repartition("SNP"), 10_000), (raw, 20_000), (raw.filter("trait <> 'T1'"), 20_000)]):
         usable = ledger.stage("usable", {"raw": rows}, {}, lambda rows=rows: rows.filter("se > 0"))
         counts = ledger.stage("counts", {"usable": usable}, {"least": least}, lambda usable=usable, least=least: usable.table.filter(F.col("N") >= least).groupBy("trait").agg(F.count("*").alias("n"), F.sum("N").alias("total")))
         out += [(run, "usable", usable.reused, usable.rows), (run, "counts", counts.reused, counts.table.agg(F.sum("n")).first()[0])]
