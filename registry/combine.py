@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assocspark.functions.tails import two_sided_p_sql
 from assocspark.operators import alleles, combine, export, ordering
-from assocspark.session import durable
+from assocspark.session import durable, stored
 
 from . import views as v
 from .views import q6, r6
@@ -60,8 +60,9 @@ def combined_custom(spark, sf):
 
 
 def combined_qc_issues(spark, sf):
-    result = durable(combined_rows(spark, sf, SPARSE_LOADINGS))
-    return combine.combined_qc(result, SPARSE_LOADINGS, assoc=v.assoc(spark, sf))[0]
+    assoc = stored(v.assoc(spark, sf))  # read by the combination and by its QC
+    result = durable(combine.combine_traits(assoc, CTI, SPARSE_LOADINGS))
+    return combine.combined_qc(result, SPARSE_LOADINGS, assoc=assoc)[0]
 
 
 def combined_qc_summary(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assocspark.operators import combine
-from assocspark.session import shared_folder
+from assocspark.session import shared_folder, stored
 from assocspark.sources import layout, sinks, tables, text
 
 from . import combine as cq
@@ -98,7 +98,7 @@ ASSOC_LINE = ("concat_ws('\t', SNPID, CAST(CHR AS STRING), CAST(BP AS STRING), E
 def association_files(spark, sf):
     """A folder a trait: even traits have the older names, and a column p beside P."""
     path = folder(spark)
-    rows = v.assoc(spark, sf).withColumn("t", F.col("trait_order"))
+    rows = stored(v.assoc(spark, sf).withColumn("t", F.col("trait_order")))  # written in two layouts
     write_lines(rows.filter("t % 2 = 0").select("t", F.expr(ASSOC_LINE.format(p="'7', CAST(P AS STRING)")).alias("line")), "SNPID\tCHR\tBP\tA1\tA2\tEAF\tN\tZ\tp\tP", f"{path}/0", "t")
     write_lines(rows.filter("t % 2 = 1").select("t", F.expr(ASSOC_LINE.format(p="CAST(P AS STRING)")).alias("line")), "SNPID\tCHR\tBP\tEA\tOA\tEAF\tN\tZ\tP", f"{path}/1", "t")
     read = tables.read_assoc(spark, {f"T{k}": f"{path}/{k % 2}/t={k}" for k in range(8)})
