@@ -239,10 +239,11 @@ def munge(df: DataFrame, alleles: DataFrame, *, info_min: float | None = 0.9, ma
     rows = df.withColumns({"A1": F.upper("A1"), "A2": F.upper("A2")}).filter(
         keep & F.col("A1").rlike("^[ACGT]$") & F.col("A2").rlike("^[ACGT]$")
         & (F.col("A1") != F.col("A2")) & ~is_palindromic("A1", "A2"))
-    # The first record of a SNP stays; a partial aggregate, so a repeated SNP is small before the shuffle.
+    # The first record of a SNP stays; a partial aggregate, so a repeated SNP is small before the shuffle. Keys in the order of
+    # ``dedup_best``, whose sorted rows need no other sort.
     first = F.min_by(F.struct("A1", "A2", "N", p.alias("P"), F.col(effect).alias("effect")),
                      F.struct(*(order or ["A1", "A2", "N", "P"])))
-    unique = rows.groupBy("trait", "SNP").agg(first.alias("r")).select("trait", "SNP", "r.*")
+    unique = rows.groupBy("SNP", "trait").agg(first.alias("r")).select("trait", "SNP", "r.*")
     reference = alleles.select("SNP", F.col("A1").alias("_r1"), F.col("A2").alias("_r2"))
     same = allele_match(F.col("A1"), F.col("A2"), F.col("_r1"), F.col("_r2"))
     q, r = quantile_parts(F.col("P") / 2)

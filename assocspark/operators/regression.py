@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from ..functions import is_finite, safe_div, two_sided_p
 from ..session import durable
-from ..sources.layout import store_by
+from ..sources.layout import default_buckets, store_by
 from .ordering import global_rank
 
 N_BLOCKS = 200
 TILE = 32  # traits on each side of a tile
-CELLS_PER_STEP = 2_000_000  # SNPs x pairs held at once by a task
+CELLS_PER_STEP = 50_000  # SNPs x pairs held at once by a task; arrays of this size stay in the processor's cache
+CHUNKS_PER_TASK = 4  # chunks of more SNPs come before more chunks
+CHUNK_ROWS = 20_000  # SNPs that a chunk may grow to
 _KEY = ["chunk", "a", "b"]
 _PAIR = ["i", "j"]
 
@@ -63,7 +65,8 @@ def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, tr
 
     ``sumstats``: ``trait_order, SNP, A1, A2, N, Z``; rows without finite Z and N are left out. Records of a SNP meet if their
     alleles are the same on either strand; Z is turned to one orientation. Records with other alleles stand in a row of their own, so
-    they take nothing from the others. ``ldscores``: ``SNP, CHR, BP, L2``; ``weights``: ``SNP, L2``.
+    they take nothing from the others. ``ldscores``: ``SNP, CHR, BP, L2``; ``weights``: ``SNP, L2``. A chunk has ``chunk_rows`` SNPs, or as many
+    more (``CHUNK_ROWS`` at most) as leave a task ``CHUNKS_PER_TASK`` of them: every pass pays for each chunk.
     """
     if traits < 1:
         raise ValueError("no traits to regress")
@@ -74,7 +77,8 @@ def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, tr
     panel = ldscores.select("SNP", "CHR", "BP", F.col("L2").cast("double").alias("l2")).join(
         weights.select("SNP", F.col("L2").cast("double").alias("wl")), "SNP")
     ranked = global_rank(grouped.join(panel, "SNP"), ["CHR", "BP", "SNP", "alleles"], rank="position")
-    placed = ranked.select(F.expr(f"cast(position div {int(chunk_rows)} as int)").alias("chunk"), "position", "l2", "wl", "r")
+    chunk_rows = _chunk_rows(chunk_rows, ranked.count(), default_buckets(ranked.sparkSession))
+    placed = ranked.select(F.expr(f"cast(position div {chunk_rows} as int)").alias("chunk"), "position", "l2", "wl", "r")
     if traits <= tile:
         tiled = placed.select("chunk", F.lit(0).alias("a"), F.lit(0).alias("b"), "position", "l2", "wl", "r")
     else:
@@ -88,6 +92,10 @@ def snp_vectors(sumstats: DataFrame, ldscores: DataFrame, weights: DataFrame, tr
     return TraitVectors(stored, traits, tile)
 
 
+def _chunk_rows(least: int, snps: int, tasks: int) -> int:
+    return max(int(least), min(CHUNK_ROWS, -(-snps // (CHUNKS_PER_TASK * tasks))))
+
+
 def _steps(rows: pa.Table, i: np.ndarray, j: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
     """The SNPs of one chunk and tile in genomic order, a few at a time, as SNPs x pairs."""
     rows = rows.sort_by("position").combine_chunks()

@@ -1,9 +1,11 @@
 """What keeps jobs in proportion to their tables: tasks by rows, lookups of known size, and one pass where several results need it."""
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assocspark.operators import filters, provenance, variant_qc as vq
+from assocspark.operators import filters, provenance, regression, variant_qc as vq
 from assocspark.plans import jobs
 from assocspark.plans.ledger import digest_of
 from registry import views
@@ -79,3 +81,40 @@ def test_chisq_reads_a_number_once(spark):
     rows = spark.range(3).select(F.lit("T0").alias("trait"), F.lit("rs").alias("SNP"), F.col("id").cast("string").alias("Z"))
     kept = filters.chisq_filter(rows, 2.0)[0]
     assert kept.count() == 2 and "inline" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_best_records_are_sorted_by_key_once(spark):
+    rows = spark.createDataFrame([RECORD | dict(INFO=0.9, P=0.5, row=1)]).withColumnsRenamed({"eaf_A1": "EAF", "beta": "BETA"})
+    alleles = spark.createDataFrame([("rs1", "A", "G")], "SNP string, A1 string, A2 string")
+    best = vq.dedup_best(rows, "SNP", ["row"])
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(SNP#\d+, trait#\d+", plan) and re.search(r"Sort \[SNP#\d+ ASC NULLS FIRST, trait#", plan)
+    both = filters.munge(best, F.broadcast(alleles))
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and both.count() == 1  # one on each side of the shuffle
+
+
+def _chain(spark, snps):
+    ld = spark.range(snps).select(F.concat(F.lit("rs"), "id").alias("SNP"), F.lit(1).alias("CHR"), F.col("id").alias("BP"), (1 + F.col("id") % 37).cast("double").alias("L2"))
+    stats = ld.crossJoin(spark.range(2).select(F.col("id").cast("int").alias("trait_order"))).select(
+        "trait_order", "SNP", F.lit("A").alias("A1"), F.lit("C").alias("A2"), F.lit(1000.0).alias("N"), (F.sin(F.col("BP") * (F.col("trait_order") + 3)) * F.sqrt("L2")).alias("Z"))
+    return stats, ld
+
+
+def test_chunks_follow_tasks_not_rows(spark):
+    assert regression._chunk_rows(500, 10_000, 200) == 500 and regression._chunk_rows(500, 6_480_000, 200) == 8_100
+    assert regression._chunk_rows(500, 10**9, 200) == regression.CHUNK_ROWS and regression._chunk_rows(30_000, 10**9, 200) == 30_000
+    stats, ld = _chain(spark, 640)
+    made = regression.snp_vectors(stats, ld, ld, 2, chunk_rows=1)
+    assert made.table.select("chunk").distinct().count() == regression.CHUNKS_PER_TASK * 4 and made.table.count() == 640
+
+
+def test_estimates_do_not_depend_on_chunks_and_steps(spark, monkeypatch):
+    stats, ld = _chain(spark, 640)
+    found = []
+    for chunk_rows, cells in ((40, 50), (640, 10**6)):
+        monkeypatch.setattr(regression, "CELLS_PER_STEP", cells)
+        found.append(regression.pair_regressions(regression.snp_vectors(stats, ld, ld, 2, chunk_rows=chunk_rows), 640.0, n_blocks=20).orderBy("i", "j").toPandas())
+    numbers = [c for c in found[0].select_dtypes("number").columns if c not in ("z", "p")]  # of a pair of one trait, a quotient of rounding errors
+    assert len(found[0]) == 3 and (found[0].snps == 640).all()
+    np.testing.assert_allclose(found[0][numbers].astype(float), found[1][numbers].astype(float), rtol=1e-6, atol=1e-6)
